@@ -10,6 +10,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zoneflow.operators.skew import small_side
+
 # The condition name and the status of a finished run.
 SNAPSHOT_PREVIOUS_DAY = "snapshot_previous_day"
 COMPLETE = "SUCCESS"
@@ -84,7 +86,8 @@ def met(wanted: DataFrame, deps: Mapping[str, Sequence], run_log: DataFrame) ->
 def gate(rows: DataFrame, deps: Mapping[str, Sequence], run_log: DataFrame) -> DataFrame:
     """Rows (with ``table_name`` and ``run_date``) whose prerequisites are all met.
 
-    The blocked side holds one row per table and day, so it stays small next to the rows.
+    The blocked side holds one row per table and day. It is broadcast after its size is checked,
+    so one busy table and day does not end up in one task.
     """
     blocked = (
         unmet(rows, deps, run_log)
@@ -92,4 +95,4 @@ def gate(rows: DataFrame, deps: Mapping[str, Sequence], run_log: DataFrame) -> D
         .distinct()
     )
     condition = (F.col("table_name") == F.col("_b_table")) & (F.col("run_date") == F.col("_b_date"))
-    return rows.join(blocked, condition, "left_anti")
+    return rows.join(small_side(blocked), condition, "left_anti")

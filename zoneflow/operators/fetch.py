@@ -56,22 +56,39 @@ def lookup_fetch(
 ) -> DataFrame:
     """Every table row whose id a notification names, once per notification.
 
-    An unknown id gives no row; several table rows with one id are all returned. Hot ids are split
-    by message (``skew``); ``None`` leaves the join to adaptive execution, which is also what a
-    stream-static join gets.
+    An unknown id gives no row; several table rows with one id are all returned. Ids that are hot
+    among the notifications or in the table are split (``skew``); ``None`` leaves the join to
+    adaptive execution, which is also what a stream-static join gets.
     """
     ids = _keyed_ids(notifications, table, id_column)
     keyed = _with_key(table, id_column)
-    plan = None if notifications.isStreaming else skew
-    fetched = skew_join(ids, keyed, ["_id"], "inner", spread_by=F.col("_notif_message_id"), plan=plan)
+    fetched = skew_join(
+        ids,
+        keyed,
+        ["_id"],
+        "inner",
+        spread_by=F.col("_notif_message_id"),
+        spread_right_by=_row_hash(keyed),
+        plan=None if notifications.isStreaming else skew,
+    )
     return _with_record_id(fetched.drop("_id"), table, id_column)
 
 
-def affected_rows(notifications: DataFrame, table: DataFrame, id_column: str = "record_id") -> DataFrame:
+def affected_rows(
+    notifications: DataFrame,
+    table: DataFrame,
+    id_column: str = "record_id",
+    skew: SkewPlan | None = DEFAULT_SKEW,
+) -> DataFrame:
     """Each table row that some notification names, once."""
     ids = _keyed_ids(notifications, table, id_column).select("_id").distinct()
     keyed = _with_key(table, id_column)
-    return _with_record_id(keyed.join(ids, "_id", "left_semi").drop("_id"), table, id_column)
+    touched = skew_join(keyed, ids, ["_id"], "left_semi", spread_by=_row_hash(keyed), plan=skew)
+    return _with_record_id(touched.drop("_id"), table, id_column)
+
+
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(f.name) for f in df.schema if not isinstance(f.dataType, T.MapType)])
 
 
 def _with_record_id(df: DataFrame, table: DataFrame, id_column: str) -> DataFrame:

@@ -65,8 +65,9 @@ def match_counts(
     The snapshot side is one row per id. Records of a hot id are spread by ``spread_by``, which
     must differ between them.
     """
-    counts = snapshot_counts(snapshot, id_column)
-    joined = skew_join(records, counts, [id_column], "left", spread_by=spread_by, plan=skew)
+    counts = snapshot_counts(snapshot, id_column).withColumnRenamed(id_column, "_id")
+    keyed = records.withColumn("_id", F.col(id_column).cast("string"))
+    joined = skew_join(keyed, counts, ["_id"], "left", spread_by=spread_by, plan=skew).drop("_id")
     aws = F.coalesce(F.col("aws_count"), F.lit(0).cast("bigint"))
     return joined.withColumns({"gcp_count": F.lit(1).cast("bigint"), "aws_count": aws}).withColumn(
         "count_match", F.col("gcp_count") == F.col("aws_count")
@@ -131,8 +132,15 @@ def column_diff(
         F.col(id_column).alias("_id"), F.struct(*names, "_n").alias("a")
     )
     ours = ours.where(F.col("_id").isNotNull())
-    spread = F.xxhash64("g", *carry)
-    pairs = skew_join(ours, theirs, ["_id"], "inner", spread_by=spread, plan=skew)
+    pairs = skew_join(
+        ours,
+        theirs,
+        ["_id"],
+        "inner",
+        spread_by=F.xxhash64("g", *carry),
+        spread_right_by=F.xxhash64("a"),
+        plan=skew,
+    )
     return (
         pairs.select(
             F.col("_id").alias(id_column),
@@ -168,7 +176,15 @@ def map_column_diff(
     """``column_diff`` for rows in map form (id, ``row map<string,string>``) with open-ended keys."""
     left = _map_variants(ours, id_column, "g")
     right = _map_variants(theirs, id_column, "a")
-    pairs = skew_join(left, right, ["_id"], "inner", spread_by=F.xxhash64("g"), plan=skew)
+    pairs = skew_join(
+        left,
+        right,
+        ["_id"],
+        "inner",
+        spread_by=F.xxhash64("g"),
+        spread_right_by=F.xxhash64("a"),
+        plan=skew,
+    )
     diff = map_diff(F.map_from_entries("g"), F.map_from_entries("a"))
     return (
         pairs.select(F.col("_id").alias(id_column), diff.alias("columns"), (F.col("_n_g") * F.col("_n_a")).alias("pairs"))

@@ -1,11 +1,10 @@
-"""Equi-join that splits hot keys.
-
-A key that holds a large part of the left side would land in one shuffle partition. Its left rows
-are spread over ``salts`` partitions and the matching right rows are repeated once per salt, so
-every pair is still produced exactly once. Keys are found with a frequent-items sketch: one pass
-over the key columns, no shuffle by key, and at most ``max_keys`` hashes come back. Without a hot
-key the join is a plain one, whose side sizes Spark can still judge; adaptive execution covers
-skew that only shows at run time.
+"""Equi-joins that stay balanced when one key holds a large part of the rows.
+
+Hot keys are found with a frequent-items sketch: one pass over the key columns, no shuffle by key,
+and a bounded list of hashes comes back. The rows of a hot key are spread over several partitions
+by a salt, and the matching rows of the other side are repeated once per salt, so every pair is
+still produced exactly once. Without a hot key the join is a plain one, whose side sizes Spark can
+still judge; adaptive execution covers skew that only shows at run time.
 """
 
 from __future__ import annotations
@@ -16,28 +15,32 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
 class SkewPlan:
     """A key with ``min_rows`` rows or more is hot. The sketch tracks ``tracked`` keys, enough to
-    see every key that holds more than about 1/4000 of the rows."""
+    see every key that holds more than about 1/4000 of the rows. A key that is hot on both sides
+    gets ``grid`` salts on each, so its rows are repeated ``grid`` times and not ``salts`` times."""
 
     min_rows: int = 1_000_000
     max_keys: int = 1024
     tracked: int = 10_000
     salts: int = 64
+    grid: int = 8
 
 
 DEFAULT_SKEW = SkewPlan()
+SMALL_SIDE_ROWS = 100_000
+
+_SALTED_TYPES = (T.IntegralType, T.StringType, T.DateType, T.BooleanType)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], plan: SkewPlan) -> list[int]:
     """Hashes of the hot keys of ``df``: a bounded list, and only a hint, since a missed or
     needless key changes the work and not the result."""
-    top = F.call_function(
-        "approx_top_k", F.xxhash64(*keys), F.lit(plan.max_keys), F.lit(plan.tracked)
-    )
+    top = F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(plan.max_keys), F.lit(plan.tracked))
     found = df.agg(top.alias("top")).select(F.inline("top"))
     return [row["item"] for row in found.where(F.col("count") >= plan.min_rows).collect()]
 
@@ -49,31 +52,76 @@ def skew_join(
     how: str = "inner",
     *,
     spread_by: Column,
+    spread_right_by: Column | None = None,
     plan: SkewPlan | None = DEFAULT_SKEW,
     null_safe: bool = False,
 ) -> DataFrame:
-    """``left`` joined to ``right`` on equally named and typed ``keys``, hot left keys split.
+    """``left`` joined to ``right`` on equally named and typed ``keys``, hot keys split.
 
     ``spread_by`` should differ between the left rows of one key; its hash picks the salt, so a
-    retried task picks the same one. ``how`` is inner or left: the right side is the one repeated.
-    With ``null_safe`` null keys match each other. ``plan`` None gives the plain join.
+    retried task picks the same one. ``spread_right_by`` also splits keys that are hot on the right
+    side of an inner join. ``how`` is inner, left, left_semi or left_anti. With ``null_safe`` null
+    keys match each other. ``plan`` None gives the plain join.
     """
-    if how not in ("inner", "left"):
+    if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
+    if spread_right_by is not None and how != "inner":
+        raise ValueError("the right side can be split in an inner join only")
     keys = list(keys)
-    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    for k in keys:
+        if left.schema[k].dataType != right.schema[k].dataType:
+            raise ValueError(f"key {k} has different types on the two sides")
+    if plan is not None and not all(isinstance(left.schema[k].dataType, _SALTED_TYPES) for k in keys):
+        plan = None
+
+    hot_left = set(hot_keys(left, keys, plan)) if plan is not None else set()
+    hot_right = set(hot_keys(right, keys, plan)) if plan is not None and spread_right_by is not None else set()
+    if hot_left or hot_right:
+        left = _salt(left, keys, "l", hot_left, hot_right, spread_by, plan)
+        right = _salt(right, keys, "r", hot_left, hot_right, spread_right_by, plan)
+        salts = ["_salt_l", "_salt_r"]
+    else:
+        salts = []
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in [*keys, *salts]})
     equal = [
         F.col(k).eqNullSafe(F.col(f"_right_{k}")) if null_safe else F.col(k) == F.col(f"_right_{k}")
         for k in keys
-    ]
-    hot = hot_keys(left, keys, plan) if plan is not None else []
-    if hot:
-        is_hot = F.xxhash64(*keys).isin(hot)
-        salt = F.pmod(F.xxhash64(spread_by), F.lit(plan.salts)).cast("int")
-        left = left.withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0)))
-        all_salts = F.sequence(F.lit(0), F.lit(plan.salts - 1))
-        copies = F.when(F.xxhash64(*[f"_right_{k}" for k in keys]).isin(hot), all_salts).otherwise(F.array(F.lit(0)))
-        renamed = renamed.withColumn("_right_salt", F.explode(copies))
-        equal.append(F.col("_salt") == F.col("_right_salt"))
+    ] + [F.col(s) == F.col(f"_right_{s}") for s in salts]
     joined = left.join(renamed, reduce(lambda a, b: a & b, equal), how)
-    return joined.drop("_salt", "_right_salt", *[f"_right_{k}" for k in keys])
+    return joined.drop(*salts, *[f"_right_{k}" for k in [*keys, *salts]])
+
+
+def _salt(
+    df: DataFrame,
+    keys: Sequence[str],
+    side: str,
+    hot_left: set[int],
+    hot_right: set[int],
+    spread_by: Column | None,
+    plan: SkewPlan,
+) -> DataFrame:
+    """Add the salts of both sides: a row picks the one of its own side and gets all of the other."""
+    own, other = (hot_left, hot_right) if side == "l" else (hot_right, hot_left)
+    key = F.xxhash64(*keys)
+
+    def count(hot: set[int], cold: set[int]) -> Column:
+        salts = F.lit(1)
+        if hot & cold:
+            salts = F.when(key.isin(sorted(hot & cold)), F.lit(plan.grid)).otherwise(salts)
+        if hot - cold:
+            salts = F.when(key.isin(sorted(hot - cold)), F.lit(plan.salts)).otherwise(salts)
+        return salts
+
+    mine = F.pmod(F.xxhash64(spread_by), count(own, other)).cast("int") if own else F.lit(0)
+    rest = F.explode(F.sequence(F.lit(0), count(other, own) - 1)) if other else F.lit(0)
+    picked, repeated = ("_salt_l", "_salt_r") if side == "l" else ("_salt_r", "_salt_l")
+    return df.withColumn(picked, mine).withColumn(repeated, rest)
+
+
+def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``max_rows`` rows, which is checked by taking
+    them; a larger one comes back as it is and is joined by shuffle."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.functions.casts import to_double, to_long
 from zoneflow.operators.cdc import DELETE
+from zoneflow.operators.skew import skew_join, small_side
 
 
 def order_totals(orders: DataFrame) -> DataFrame:
@@ -17,19 +18,25 @@ def order_totals(orders: DataFrame) -> DataFrame:
     )
 
 
+def _spread(members: DataFrame) -> Column:
+    """What tells the rows of one member apart: the notification if there is one."""
+    names = [c for c in ("_notif_message_id", "record_id") if c in members.columns]
+    return F.xxhash64(*names)
+
+
 def refine_members(members: DataFrame, nation: DataFrame, region: DataFrame, orders: DataFrame) -> DataFrame:
     """Members with nation, region, order totals and derived attributes; every member row stays.
 
-    Orders are reduced to one row per customer before the join. Nation and region are joined
-    together first, so members are joined once to a small side that Spark broadcasts by its size.
+    Orders are reduced to one row per customer before the join, and a member with very many rows
+    is split. Nation and region are joined together first; the size of that side is checked.
     """
     places = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").cast("bigint").alias("_nation"), F.col("n_name"), F.col("r_name")
     )
-    joined = (
-        members.withColumn("_member_nation", to_long(F.col("nation_key")))
-        .join(places, F.col("_member_nation") == F.col("_nation"), "left")
-        .join(order_totals(orders), F.col("record_id") == F.col("_order_member"), "left")
+    keyed = members.withColumn("_order_member", F.col("record_id"))
+    spent = skew_join(keyed, order_totals(orders), ["_order_member"], "left", spread_by=_spread(members))
+    joined = spent.withColumn("_member_nation", to_long(F.col("nation_key"))).join(
+        small_side(places), F.col("_member_nation") == F.col("_nation"), "left"
     )
     balance = to_double(F.col("balance"))
     amount = F.when(F.isnan(balance), None).otherwise(balance)

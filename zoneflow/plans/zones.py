@@ -97,6 +97,9 @@ def run_zones(
         else:
             before = passed(spark.read.parquet(folders[ZONES[position - 1]]))
             current = tag_zone(_transform(zone, cfg, hooks or {})(before), zone)
+        if any(rule.checks_unique for rule in cfg.rules):
+            # Counting keys reads the rows again: do that from a written copy.
+            current = spark.read.parquet(write_batch(current, f"{root}/_staged/{zone}", batch_id))
         folders[zone] = write_batch(with_flags(current, cfg.rules), cfg.table_path(root, zone), batch_id)
     run = ZoneRun(root, batch_id, folders)
     _write_logs(spark, run, cfg, snapshots or {}, window_seconds)
@@ -125,6 +128,7 @@ def _write_logs(
     dataset = cfg.dataset("framework")
     bounds = ["window_start", "window_end"]
     groups = {name: F.col(name) for name in bounds}
+    windowed = window_seconds is not None
     stages, quality, reconciled = [], [], []
     for zone in ZONES:
         rows = _with_window(run.written(spark, zone), window_seconds)
@@ -132,7 +136,7 @@ def _write_logs(
         if cfg.rules:
             quality.append(dq_log(rows, cfg.rules, cfg.domain, zone, cfg.table, str(run.batch_id)))
         if zone in snapshots:
-            reconciled.append(_reconcile_zone(rows, snapshots[zone], cfg, zone, bounds))
+            reconciled.append(_reconcile_zone(rows, snapshots[zone], cfg, zone, bounds, windowed))
     counts = _union(stages).withColumn("batch", F.lit(str(run.batch_id)))
     audit = audit_log(counts, cfg.table, dataset, ["batch", *bounds]).drop("batch")
     write_log(audit, cfg.log_path(run.root, PIPELINE_LOG), run.batch_id)
@@ -143,11 +147,13 @@ def _write_logs(
 
 
 def _reconcile_zone(
-    rows: DataFrame, snapshot: DataFrame, cfg: ZoneConfig, zone: str, bounds: list[str]
+    rows: DataFrame, snapshot: DataFrame, cfg: ZoneConfig, zone: str, bounds: list[str], windowed: bool
 ) -> DataFrame:
     columns = list(cfg.compare_columns) or compared_columns(rows.drop(*bounds), snapshot, cfg.id_column)
     tags = {"zone": F.lit(zone), "table_name": F.lit(cfg.table)}
-    counts = variant_counts(rows, snapshot, cfg.id_column, bounds).withColumns(tags)
-    diffs = column_diff(rows, snapshot, cfg.id_column, columns, bounds).withColumns(tags)
+    carry = bounds if windowed else []
+    nothing = {} if windowed else {b: F.lit(None).cast("timestamp") for b in bounds}
+    counts = variant_counts(rows, snapshot, cfg.id_column, carry).withColumns({**tags, **nothing})
+    diffs = column_diff(rows, snapshot, cfg.id_column, columns, carry).withColumns({**tags, **nothing})
     groups = {name: F.col(name) for name in ("zone", "table_name", *bounds)}
     return reconcile_log(counts, diffs, groups, cfg.domain, cfg.id_column)

@@ -38,8 +38,12 @@ def zone_stream(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        records = changed_records(batch, table_rows(), cfg)
-        run_zones(spark, records, cfg, root, batch_id, snapshots, hooks, window_seconds)
+        batch.persist()
+        try:
+            records = changed_records(batch, table_rows(), cfg)
+            run_zones(spark, records, cfg, root, batch_id, snapshots, hooks, window_seconds)
+        finally:
+            batch.unpersist()
 
     arrived = messages.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", redelivery)
     return (
