@@ -29,7 +29,15 @@ from zoneflow.operators.quality import DQRule
 from zoneflow.operators.structure import structure_cast
 from zoneflow.plans.batch import run_batch
 from zoneflow.plans.member import member_kpis, refine_members
-from zoneflow.plans.zones import PIPELINE_LOG, QUALITY_LOG, RECONCILE_LOG, ZoneRun, changed_records, run_zones
+from zoneflow.plans.zones import (
+    PIPELINE_LOG,
+    QUALITY_LOG,
+    RECONCILE_LOG,
+    ZoneRun,
+    changed_records,
+    fetch_changes,
+    run_zones,
+)
 from zoneflow.session import new_run_dir
 from zoneflow.sinks import tables as sink
 from zoneflow.sources import snapshots
@@ -85,16 +93,33 @@ def _micros(name: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {name})")
 
 
+_topics: dict[tuple[str, str, str], str] = {}
+
+
+def _topic(spark: SparkSession, sf: str, view: str = "notif") -> str:
+    """Folder of message files made from all events, written once per session."""
+    key = (spark.sparkContext.applicationId, sf, view)
+    if key not in _topics:
+        path = new_run_dir(spark, "topic")
+        sink.write_table(messages(spark, sf, view), path)
+        _topics[key] = path
+    return _topics[key]
+
+
+def _messages(spark: SparkSession, sf: str, view: str = "notif") -> DataFrame:
+    return read_messages(spark, _topic(spark, sf, view))
+
+
 def _parsed(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_notifications(messages(spark, sf), "member")
+    return parse_notifications(_messages(spark, sf), "member")
 
 
 def _fetched(spark: SparkSession, sf: str) -> DataFrame:
-    return lookup_fetch(_parsed(spark, sf), load(spark, sf, "src_member"))
+    return fetch_changes(_messages(spark, sf), load(spark, sf, "src_member"), MEMBER_CONFIG)
 
 
 def _records(spark: SparkSession, sf: str) -> DataFrame:
-    return changed_records(messages(spark, sf), load(spark, sf, "src_member"), MEMBER_CONFIG)
+    return changed_records(_messages(spark, sf), load(spark, sf, "src_member"), MEMBER_CONFIG)
 
 
 def _legacy_members(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,14 +148,14 @@ def notification_source(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dedup_notifications(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup_messages(messages(spark, sf, "notif_dup")).select(
+    return dedup_messages(_messages(spark, sf, "notif_dup")).select(
         attribute("message_id").alias("message_id"), "payload"
     )
 
 
 @query
 def event_time(spark: SparkSession, sf: str) -> DataFrame:
-    return with_event_time(messages(spark, sf)).select(
+    return with_event_time(_messages(spark, sf)).select(
         attribute("message_id").alias("message_id"), F.unix_micros("event_ts").alias("event_us")
     )
 
@@ -228,7 +253,7 @@ def audit_json(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def notification_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return filter_table(messages(spark, sf), "member").select(attribute("message_id").alias("message_id"), "payload")
+    return filter_table(_messages(spark, sf), "member").select(attribute("message_id").alias("message_id"), "payload")
 
 
 @query
@@ -245,7 +270,7 @@ def parsed_notifications(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def notification_dead_letter(spark: SparkSession, sf: str) -> DataFrame:
-    return dead_letters(messages(spark, sf), "member").select("message_id", "event_type", "content")
+    return dead_letters(_messages(spark, sf), "member").select("message_id", "event_type", "content")
 
 
 @query
@@ -402,8 +427,10 @@ def reconcile_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def reconcile_log(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_run_dir(spark, "member_raw")
+    sink.write_table(_fetched(spark, sf), path)
     start, end = windows.window_bounds(F.col("_notif_event_ts"), 3600)
-    records = _fetched(spark, sf).withColumns({"window_start": start, "window_end": end})
+    records = read_table(spark, path).withColumns({"window_start": start, "window_end": end})
     legacy = _legacy_members(spark, sf)
     bounds = ["window_start", "window_end"]
     tags = {"zone": F.lit("raw"), "table_name": F.lit("member")}
@@ -593,15 +620,15 @@ REPLAY = "TIMESTAMP_NTZ'2024-01-10 00:00:00'"
 
 @query
 def ingest_full(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest.ingest_full(load(spark, sf, "src_member"), messages(spark, sf), "member").select("record_id", "name")
+    return ingest.ingest_full(load(spark, sf, "src_member"), _messages(spark, sf), "member").select("record_id", "name")
 
 
 @query
 def ingest_full_not_notified(spark: SparkSession, sf: str) -> DataFrame:
     lines = load(spark, sf, "src_line")
     members = load(spark, sf, "src_member").select("record_id", "name")
-    unnamed = ingest.ingest_full(lines.select("record_id", F.col("line_status").alias("name")), messages(spark, sf), "line")
-    return ingest.ingest_full(members, messages(spark, sf), "member").unionByName(unnamed)
+    unnamed = ingest.ingest_full(lines.select("record_id", F.col("line_status").alias("name")), _messages(spark, sf), "line")
+    return ingest.ingest_full(members, _messages(spark, sf), "member").unionByName(unnamed)
 
 
 def _since_cutoff(spark: SparkSession, sf: str) -> DataFrame:
@@ -872,16 +899,10 @@ def stream_state_last_op(spark: SparkSession, sf: str) -> DataFrame:
     return stream_state.newest_state(sink.read_batches(spark, path), "user_id").select("user_id", "event_id", "event_type")
 
 
-def _message_files(spark: SparkSession, sf: str, view: str) -> str:
-    path = new_run_dir(spark, "messages")
-    sink.write_table(messages(spark, sf, view), path)
-    return path
-
-
 @query
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     path, checkpoint = new_run_dir(spark, "dedup"), new_run_dir(spark, "checkpoint")
-    stream = with_event_time(stream_messages(spark, _message_files(spark, sf, "notif_dup")))
+    stream = with_event_time(stream_messages(spark, _topic(spark, sf, "notif_dup")))
     stream_state.dedup_stream(stream, path, checkpoint, stream_windows.AVAILABLE).awaitTermination()
     return spark.read.parquet(path).select(attribute("message_id").alias("message_id"), "payload")
 
@@ -891,7 +912,7 @@ def stream_zone_chain(spark: SparkSession, sf: str) -> DataFrame:
     root, checkpoint = new_run_dir(spark, "zones"), new_run_dir(spark, "checkpoint")
     legacy = _legacy_members(spark, sf)
     zone_stream(
-        stream_messages(spark, _message_files(spark, sf, "notif_dup")),
+        stream_messages(spark, _topic(spark, sf, "notif_dup")),
         lambda: load(spark, sf, "src_member"),
         MEMBER_CONFIG,
         root,

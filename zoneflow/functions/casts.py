@@ -14,9 +14,9 @@ TYPE_NAMES = {
 }
 
 INT_TEXT = r"\A[+-]?[0-9]+\z"
-# Words that Spark reads as a double but a strict parser reads only in this exact spelling.
-SPECIAL_DOUBLE = r"(?i)\A\s*[+-]?(?:inf|infinity|nan)\s*\z"
-EXACT_SPECIAL = r"\A\s*[+-]?(?:Infinity|NaN)\s*\z"
+# A number too large for a double is infinite as well, so only the words are held to one spelling.
+SPECIAL_WORD = r"(?i)\A\s*[+-]?(?:inf|infinity|nan)\s*\z"
+EXACT_WORD = r"\A\s*[+-]?(?:Infinity|NaN)\s*\z"
 
 
 def spark_type(type_name: str) -> str:
@@ -31,16 +31,16 @@ def to_long(value: Column) -> Column:
 
 
 def to_double(value: Column) -> Column:
-    """Number text to DOUBLE, null when malformed."""
+    """Number text to DOUBLE, null when malformed.
+
+    Spark also reads words such as ``inf`` or ``nan`` in any case; only ``NaN`` and ``Infinity``
+    count. The spelling is looked at for those results alone.
+    """
     text = value.cast("string")
-    word = text.rlike(SPECIAL_DOUBLE)
-    special = (
-        F.when(~text.rlike(EXACT_SPECIAL), F.lit(None).cast("double"))
-        .when(F.contains(text, F.lit("NaN")), F.lit(float("nan")))
-        .when(F.contains(text, F.lit("-")), F.lit(float("-inf")))
-        .otherwise(F.lit(float("inf")))
-    )
-    return F.when(word, special).otherwise(text.try_cast("double"))
+    number = text.try_cast("double")
+    special = F.isnan(number) | (F.abs(number) == F.lit(float("inf")))
+    wrong = text.rlike(SPECIAL_WORD) & ~text.rlike(EXACT_WORD)
+    return F.when(special & wrong, F.lit(None).cast("double")).otherwise(number)
 
 
 def to_bool(value: Column) -> Column:

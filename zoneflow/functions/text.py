@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a ``value`` that is computed once, however often the body uses it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def equals_ignore_case(value: Column, word: str) -> Column:
     """True only for ``word`` in any letter case; null is false. A boolean cast would accept t, y and 1."""
     return F.coalesce(F.lower(value.cast("string")) == F.lit(word.lower()), F.lit(False))
@@ -29,6 +24,17 @@ def differs(left: Column, right: Column) -> Column:
     return ~left.eqNullSafe(right)
 
 
+def labels_where(flags: Sequence[tuple[Column, str]]) -> Column:
+    """Array of the labels whose condition is true.
+
+    ``array_remove`` is generated code; a higher-order function here would evaluate all the
+    conditions row by row in the interpreter.
+    """
+    if not flags:
+        return F.array().cast("array<string>")
+    return F.array_remove(F.array(*[F.when(c, F.lit(label)).otherwise(F.lit("")) for c, label in flags]), "")
+
+
 def strip_suffix(value: Column, suffix: str) -> Column:
     return F.when(value.endswith(suffix), F.left(value, F.length(value) - len(suffix))).otherwise(value)
 

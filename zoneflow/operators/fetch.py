@@ -53,15 +53,19 @@ def lookup_fetch(
     table: DataFrame,
     id_column: str = "record_id",
     skew: SkewPlan | None = DEFAULT_SKEW,
+    look_at: tuple[DataFrame, float] | None = None,
 ) -> DataFrame:
     """Every table row whose id a notification names, once per notification.
 
     An unknown id gives no row; several table rows with one id are all returned. Ids that are hot
     among the notifications or in the table are split (``skew``); ``None`` leaves the join to
-    adaptive execution, which is also what a stream-static join gets.
+    adaptive execution, which is also what a stream-static join gets. ``look_at`` is a random
+    share of the notifications to look for hot ids in.
     """
     ids = _keyed_ids(notifications, table, id_column)
     keyed = _with_key(table, id_column)
+    if look_at is not None:
+        look_at = (_keyed_ids(look_at[0], table, id_column), look_at[1])
     fetched = skew_join(
         ids,
         keyed,
@@ -70,6 +74,7 @@ def lookup_fetch(
         spread_by=F.col("_notif_message_id"),
         spread_right_by=_row_hash(keyed),
         plan=None if notifications.isStreaming else skew,
+        look_at=look_at,
     )
     return _with_record_id(fetched.drop("_id"), table, id_column)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.functions.text import let, stable_id
+from zoneflow.functions.text import stable_id
 
 DEFAULT_EVENT_TYPE = "update"
 
@@ -28,21 +28,23 @@ def event_time(raw: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(raw), F.timestamp_millis(raw.try_cast("bigint")))
 
 
-def record_ids(payload: Column) -> Column:
-    """Ids of a payload: a JSON array, else the array ``record_ids``, else the scalar ``record_id``.
+def with_payload_ids(df: DataFrame) -> DataFrame:
+    """Add ``_ids``: a JSON array, else the array ``record_ids``, else the scalar ``record_id``.
 
-    Null marks a malformed payload: not JSON, a bare scalar, an object without either key, a
-    ``record_ids`` that is no array, or a null id. An empty array is well-formed and names no row.
+    Null marks a malformed payload: not JSON, a bare scalar, an object without either key, or a
+    ``record_ids`` that is no array. The first character decides how the payload is read, and the
+    parsed object is a column of its own, so every payload is parsed once.
     """
-    return F.try_element_at(_well_formed(_payload_ids(payload)), F.lit(1))
-
-
-def _payload_ids(payload: Column) -> Column:
-    """The first character decides how the payload is read, so it is parsed once."""
-    text = F.btrim(payload, F.lit(" \t\r\n"))
-    return F.when(text.startswith("["), F.from_json(payload, "array<string>")).when(
-        text.startswith("{"), let(F.from_json(payload, "map<string,string>"), _ids_of_object)
+    content = F.col("content")
+    first = F.left(F.btrim(content, F.lit(" \t\r\n")), F.lit(1))
+    fields = F.when(first == "{", F.from_json(content, "map<string,string>"))
+    listed = F.from_json(F.try_element_at("_fields", F.lit("record_ids")), "array<string>")
+    single = F.try_element_at("_fields", F.lit("record_id"))
+    of_object = F.when(F.map_contains_key("_fields", "record_ids"), listed).when(
+        single.isNotNull(), F.array(single)
     )
+    ids = F.when(F.col("_first") == "[", F.from_json(content, "array<string>")).otherwise(of_object)
+    return df.withColumns({"_first": first, "_fields": fields}).withColumn("_ids", ids).drop("_first", "_fields")
 
 
 def _well_formed(ids: Column) -> Column:
@@ -50,12 +52,6 @@ def _well_formed(ids: Column) -> Column:
     return F.filter(F.array(ids), lambda i: i.isNotNull() & ~F.exists(i, lambda x: x.isNull()))
 
 
-def _ids_of_object(fields: Column) -> Column:
-    single = F.try_element_at(fields, F.lit("record_id"))
-    listed = F.from_json(F.try_element_at(fields, F.lit("record_ids")), "array<string>")
-    return F.when(F.map_contains_key(fields, "record_ids"), listed).when(single.isNotNull(), F.array(single))
-
-
 def _fields(messages: DataFrame, table: str) -> DataFrame:
     content = F.decode(F.col("payload").cast("binary"), "UTF-8")
     return (
@@ -75,20 +71,25 @@ def _fields(messages: DataFrame, table: str) -> DataFrame:
 
 
 def parse_notifications(messages: DataFrame, table: str) -> DataFrame:
-    """Well-formed notifications of ``table`` with their ``record_ids``.
+    """Well-formed notifications of ``table`` with their ``record_ids``; an empty array is well-formed.
 
     Malformed ones fall out of an explode of zero or one id lists, not of a filter: a filter would
     be moved below the projection and parse every payload again.
     """
-    ids = F.explode(_well_formed(_payload_ids(F.col("content"))))
-    return _fields(messages, table).select(
-        "message_id", "event_type", "table_name", ids.alias("record_ids"), "event_ts", "content"
+    return with_payload_ids(_fields(messages, table)).select(
+        "message_id",
+        "event_type",
+        "table_name",
+        F.explode(_well_formed(F.col("_ids"))).alias("record_ids"),
+        "event_ts",
+        "content",
     )
 
 
 def dead_letters(messages: DataFrame, table: str) -> DataFrame:
     """Notifications of ``table`` whose payload names no usable ids, with the payload kept whole."""
-    return _fields(messages, table).where(record_ids(F.col("content")).isNull())
+    parsed = with_payload_ids(_fields(messages, table))
+    return parsed.where(F.size(_well_formed(F.col("_ids"))) == 0).drop("_ids")
 
 
 def dedup_messages(messages: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from zoneflow.functions.casts import to_double
-from zoneflow.functions.text import full_match
+from zoneflow.functions.text import full_match, labels_where
 from zoneflow.operators.skew import DEFAULT_SKEW, SkewPlan, skew_join
 
 # Rule names, the pattern of a regex rule without one, and the e-mail pattern.
@@ -93,13 +93,11 @@ def rule_flag(rule: DQRule, present: Sequence[str]) -> Column:
 
 
 def _in_range(value: Column, rule: DQRule) -> Column:
+    """NaN sorts above every number, so the upper bound (infinity by default) also keeps it out."""
     number = to_double(value)
-    inside = number.isNotNull() & ~F.isnan(number)
-    if rule.min is not None:
-        inside = inside & (number >= F.lit(float(rule.min)))
-    if rule.max is not None:
-        inside = inside & (number <= F.lit(float(rule.max)))
-    return F.coalesce(inside, F.lit(False))
+    low = float("-inf") if rule.min is None else float(rule.min)
+    high = float("inf") if rule.max is None else float(rule.max)
+    return F.coalesce((number >= F.lit(low)) & (number <= F.lit(high)), F.lit(False))
 
 
 def unique_flag(
@@ -134,9 +132,8 @@ def with_flags(df: DataFrame, rules: Sequence[DQRule], skew: SkewPlan | None = D
             flagged = unique_flag(flagged, rule.columns, helper, skew)
             helpers.append(helper)
             flag = flag & F.col(helper)
-        flags.append(F.when(~flag, F.lit(rule.label)))
-    failed = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
-    return flagged.withColumn("_dq_failed", failed).drop(*helpers)
+        flags.append((~flag, rule.label))
+    return flagged.withColumn("_dq_failed", labels_where(flags)).drop(*helpers)
 
 
 def passed(flagged: DataFrame) -> DataFrame:

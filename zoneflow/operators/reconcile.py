@@ -43,11 +43,11 @@ def variants(
     )
 
 
-def snapshot_counts(snapshot: DataFrame, id_column: str) -> DataFrame:
+def snapshot_counts(snapshot: DataFrame, id_column: str, within: Sequence[str] = ()) -> DataFrame:
     return (
-        snapshot.select(F.col(id_column).cast("string").alias(id_column))
+        snapshot.select(F.col(id_column).cast("string").alias(id_column), *within)
         .where(F.col(id_column).isNotNull())
-        .groupBy(id_column)
+        .groupBy(id_column, *within)
         .agg(F.count(F.lit(1)).alias("aws_count"))
     )
 
@@ -79,24 +79,27 @@ def variant_counts(
     snapshot: DataFrame,
     id_column: str = "record_id",
     carry: Sequence[str] = (),
+    within: Sequence[str] = (),
     skew: SkewPlan | None = DEFAULT_SKEW,
 ) -> DataFrame:
-    """``match_counts`` summed per id (and carried columns), for totals and logs.
+    """``match_counts`` summed per id (and the other columns), for totals and logs.
 
-    Both sides are reduced to one row per id before the join; only an id with very many carried
-    values, such as windows, can be hot, and those rows are spread.
+    ``within`` are columns of both sides that must be equal, such as the zone; ``carry`` are record
+    columns to keep apart, such as the window. Both sides are reduced to one row per id before the
+    join; only an id with very many carried values can be hot, and those rows are spread.
     """
+    keys = [id_column, *within]
     per_id = (
-        records.select(F.col(id_column).cast("string").alias(id_column), *carry)
-        .groupBy(id_column, *carry)
+        records.select(F.col(id_column).cast("string").alias(id_column), *within, *carry)
+        .groupBy(*keys, *carry)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    counts = snapshot_counts(snapshot, id_column)
+    counts = snapshot_counts(snapshot, id_column, within)
     spread = F.xxhash64(id_column, *carry)
-    joined = skew_join(per_id, counts, [id_column], "left", spread_by=spread, plan=skew if carry else None)
+    joined = skew_join(per_id, counts, keys, "left", spread_by=spread, plan=skew if carry else None)
     found = F.coalesce(F.col("aws_count"), F.lit(0).cast("bigint"))
     return joined.select(
-        id_column,
+        *keys,
         *carry,
         F.col("_n").alias("gcp_count"),
         (F.col("_n") * found).alias("aws_count"),
@@ -117,25 +120,26 @@ def column_diff(
     id_column: str = "record_id",
     columns: Sequence[str] | None = None,
     carry: Sequence[str] = (),
+    within: Sequence[str] = (),
     skew: SkewPlan | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """Mismatches as (id, ``columns``, ``pairs``): how many record/snapshot pairs differ in these columns.
 
     Equal pairs give no row. Only distinct value sets are paired, so a repeated record costs one
-    comparison per distinct snapshot version of its id. ``carry`` keeps record columns apart.
+    comparison per distinct snapshot version of its id. ``within`` and ``carry`` are as above.
     """
     names = list(columns) if columns is not None else compared_columns(records, snapshot, id_column)
-    ours = variants(records, id_column, names, carry).select(
-        F.col(id_column).alias("_id"), *carry, F.struct(*names, "_n").alias("g")
+    keys = ["_id", *within]
+    ours = variants(records, id_column, names, [*within, *carry]).select(
+        F.col(id_column).alias("_id"), *within, *carry, F.struct(*names, "_n").alias("g")
     )
-    theirs = variants(snapshot, id_column, names).select(
-        F.col(id_column).alias("_id"), F.struct(*names, "_n").alias("a")
+    theirs = variants(snapshot, id_column, names, within).select(
+        F.col(id_column).alias("_id"), *within, F.struct(*names, "_n").alias("a")
     )
-    ours = ours.where(F.col("_id").isNotNull())
     pairs = skew_join(
-        ours,
+        ours.where(F.col("_id").isNotNull()),
         theirs,
-        ["_id"],
+        keys,
         "inner",
         spread_by=F.xxhash64("g", *carry),
         spread_right_by=F.xxhash64("a"),
@@ -144,12 +148,13 @@ def column_diff(
     return (
         pairs.select(
             F.col("_id").alias(id_column),
+            *within,
             *carry,
             mismatch_columns(names).alias("columns"),
             (F.col("g._n") * F.col("a._n")).alias("pairs"),
         )
         .where(F.col("columns") != "")
-        .groupBy(id_column, *carry, "columns")
+        .groupBy(id_column, *within, *carry, "columns")
         .agg(F.sum("pairs").cast("bigint").alias("pairs"))
     )
 

@@ -37,12 +37,13 @@ SMALL_SIDE_ROWS = 100_000
 _SALTED_TYPES = (T.IntegralType, T.StringType, T.DateType, T.BooleanType)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], plan: SkewPlan) -> list[int]:
+def hot_keys(df: DataFrame, keys: Sequence[str], plan: SkewPlan, share: float = 1.0) -> list[int]:
     """Hashes of the hot keys of ``df``: a bounded list, and only a hint, since a missed or
-    needless key changes the work and not the result."""
+    needless key changes the work and not the result. ``df`` may hold a random ``share`` of the
+    rows that are to be joined."""
     top = F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(plan.max_keys), F.lit(plan.tracked))
     found = df.agg(top.alias("top")).select(F.inline("top"))
-    return [row["item"] for row in found.where(F.col("count") >= plan.min_rows).collect()]
+    return [row["item"] for row in found.where(F.col("count") >= plan.min_rows * share).collect()]
 
 
 def skew_join(
@@ -55,6 +56,7 @@ def skew_join(
     spread_right_by: Column | None = None,
     plan: SkewPlan | None = DEFAULT_SKEW,
     null_safe: bool = False,
+    look_at: tuple[DataFrame, float] | None = None,
 ) -> DataFrame:
     """``left`` joined to ``right`` on equally named and typed ``keys``, hot keys split.
 
@@ -62,6 +64,9 @@ def skew_join(
     retried task picks the same one. ``spread_right_by`` also splits keys that are hot on the right
     side of an inner join. ``how`` is inner, left, left_semi or left_anti. With ``null_safe`` null
     keys match each other. ``plan`` None gives the plain join.
+
+    ``look_at`` is a random share of ``left`` that is cheaper to compute; hot left keys are looked
+    for there. All rows are joined in any case.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
@@ -74,7 +79,8 @@ def skew_join(
     if plan is not None and not all(isinstance(left.schema[k].dataType, _SALTED_TYPES) for k in keys):
         plan = None
 
-    hot_left = set(hot_keys(left, keys, plan)) if plan is not None else set()
+    looked_at, share = look_at or (left, 1.0)
+    hot_left = set(hot_keys(looked_at, keys, plan, share)) if plan is not None else set()
     hot_right = set(hot_keys(right, keys, plan)) if plan is not None and spread_right_by is not None else set()
     if hot_left or hot_right:
         left = _salt(left, keys, "l", hot_left, hot_right, spread_by, plan)

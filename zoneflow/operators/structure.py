@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.functions.casts import cast_value, spark_type
+from zoneflow.functions.text import labels_where
 
 MODES = ("fail", "null", "quarantine")
 
@@ -32,8 +33,7 @@ def structure_cast(df: DataFrame, mapping: Mapping[str, str], mode: str = "fail"
             message = F.concat(F.lit(f"column {column} is not {type_name}: "), source.cast("string"))
             value = F.when(bad, F.raise_error(message).cast(spark_type(type_name))).otherwise(value)
         typed[column] = value
-        failed.append(F.when(bad, F.lit(column)))
+        failed.append((bad, column))
     if mode == "quarantine":
-        names = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
-        typed["_cast_failed"] = names
+        typed["_cast_failed"] = labels_where(failed)
     return df.withColumns(typed) if typed else df

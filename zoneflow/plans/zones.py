@@ -34,6 +34,8 @@ PIPELINE_LOG = "pipeline_log"
 RECONCILE_LOG = "reconcile_log"
 QUALITY_LOG = "data_quality_log"
 
+LOOK_AT_SHARE = 1 / 16
+
 
 @dataclass(frozen=True)
 class ZoneRun:
@@ -54,10 +56,21 @@ class ZoneRun:
         return quarantined(self.written(spark, zone))
 
 
+def fetch_changes(messages: DataFrame, table_rows: DataFrame, cfg: ZoneConfig) -> DataFrame:
+    """The current rows that the messages for the configured table name.
+
+    Hot ids are looked for in a random share of the messages, so that most payloads are parsed
+    once; all messages are fetched.
+    """
+    part = parse_notifications(messages.sample(LOOK_AT_SHARE, seed=7), cfg.table)
+    return lookup_fetch(
+        parse_notifications(messages, cfg.table), table_rows, cfg.id_column, look_at=(part, LOOK_AT_SHARE)
+    )
+
+
 def changed_records(messages: DataFrame, table_rows: DataFrame, cfg: ZoneConfig) -> DataFrame:
     """Notifications to classified change records."""
-    fetched = lookup_fetch(parse_notifications(messages, cfg.table), table_rows, cfg.id_column)
-    return cdc_classify(fetched, table=cfg.table)
+    return cdc_classify(fetch_changes(messages, table_rows, cfg), table=cfg.table)
 
 
 def read_snapshot(spark: SparkSession, prefix: str, cfg: ZoneConfig) -> DataFrame:
@@ -115,7 +128,7 @@ def _with_window(df: DataFrame, window_seconds: int | None) -> DataFrame:
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def _write_logs(
@@ -128,32 +141,45 @@ def _write_logs(
     dataset = cfg.dataset("framework")
     bounds = ["window_start", "window_end"]
     groups = {name: F.col(name) for name in bounds}
-    windowed = window_seconds is not None
-    stages, quality, reconciled = [], [], []
-    for zone in ZONES:
-        rows = _with_window(run.written(spark, zone), window_seconds)
-        stages.append(stage_counts(rows, zone, groups))
-        if cfg.rules:
-            quality.append(dq_log(rows, cfg.rules, cfg.domain, zone, cfg.table, str(run.batch_id)))
-        if zone in snapshots:
-            reconciled.append(_reconcile_zone(rows, snapshots[zone], cfg, zone, bounds, windowed))
-    counts = _union(stages).withColumn("batch", F.lit(str(run.batch_id)))
-    audit = audit_log(counts, cfg.table, dataset, ["batch", *bounds]).drop("batch")
+    written = {zone: _with_window(run.written(spark, zone), window_seconds) for zone in ZONES}
+
+    stages = _union([stage_counts(written[zone], zone, groups) for zone in ZONES])
+    stages = stages.withColumn("batch", F.lit(str(run.batch_id)))
+    audit = audit_log(stages, cfg.table, dataset, ["batch", *bounds]).drop("batch")
     write_log(audit, cfg.log_path(run.root, PIPELINE_LOG), run.batch_id)
-    if quality:
+    if cfg.rules:
+        quality = [
+            dq_log(written[zone], cfg.rules, cfg.domain, zone, cfg.table, str(run.batch_id)) for zone in ZONES
+        ]
         write_log(_union(quality), cfg.log_path(run.root, QUALITY_LOG), run.batch_id)
-    if reconciled:
-        write_log(_union(reconciled), cfg.log_path(run.root, RECONCILE_LOG), run.batch_id)
+    compared = {zone: rows for zone, rows in written.items() if zone in snapshots}
+    if compared:
+        log = _reconcile(compared, snapshots, cfg, bounds, window_seconds is not None)
+        write_log(log, cfg.log_path(run.root, RECONCILE_LOG), run.batch_id)
+
+
+def _in_zone(df: DataFrame, zone: str, kept: list[str]) -> DataFrame:
+    """``df`` as text with its zone; ``_`` columns are dropped, ``kept`` ones stay as they are."""
+    texts = [F.col(c).cast("string").alias(c) for c in df.columns if c not in kept and not c.startswith("_")]
+    return df.select(*texts, *[c for c in kept if c in df.columns], F.lit(zone).alias("_zone"))
 
 
-def _reconcile_zone(
-    rows: DataFrame, snapshot: DataFrame, cfg: ZoneConfig, zone: str, bounds: list[str], windowed: bool
+def _reconcile(
+    rows: Mapping[str, DataFrame],
+    snapshots: Mapping[str, DataFrame],
+    cfg: ZoneConfig,
+    bounds: list[str],
+    windowed: bool,
 ) -> DataFrame:
-    columns = list(cfg.compare_columns) or compared_columns(rows.drop(*bounds), snapshot, cfg.id_column)
-    tags = {"zone": F.lit(zone), "table_name": F.lit(cfg.table)}
+    """Log rows of all zones at once: records and snapshot rows are matched within their zone."""
+    records = _union([_in_zone(df, zone, bounds) for zone, df in rows.items()])
+    legacy = _union([_in_zone(snapshots[zone], zone, []) for zone in rows])
+    columns = list(cfg.compare_columns) or compared_columns(records.drop(*bounds), legacy, cfg.id_column)
     carry = bounds if windowed else []
-    nothing = {} if windowed else {b: F.lit(None).cast("timestamp") for b in bounds}
-    counts = variant_counts(rows, snapshot, cfg.id_column, carry).withColumns({**tags, **nothing})
-    diffs = column_diff(rows, snapshot, cfg.id_column, columns, carry).withColumns({**tags, **nothing})
+    counts = variant_counts(records, legacy, cfg.id_column, carry, ["_zone"])
+    diffs = column_diff(records, legacy, cfg.id_column, columns, carry, ["_zone"])
+    tags = {"zone": F.col("_zone"), "table_name": F.lit(cfg.table)}
+    if not windowed:
+        tags |= {b: F.lit(None).cast("timestamp") for b in bounds}
     groups = {name: F.col(name) for name in ("zone", "table_name", *bounds)}
-    return reconcile_log(counts, diffs, groups, cfg.domain, cfg.id_column)
+    return reconcile_log(counts.withColumns(tags), diffs.withColumns(tags), groups, cfg.domain, cfg.id_column)
