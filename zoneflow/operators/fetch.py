@@ -53,7 +53,8 @@ def lookup_fetch(
     table: DataFrame,
     id_column: str = "record_id",
     skew: SkewPlan | None = DEFAULT_SKEW,
-    look_at: tuple[DataFrame, float] | None = None,
+    look_at: DataFrame | None = None,
+    look_at_share: float = 1.0,
 ) -> DataFrame:
     """Every table row whose id a notification names, once per notification.
 
@@ -65,7 +66,7 @@ def lookup_fetch(
     ids = _keyed_ids(notifications, table, id_column)
     keyed = _with_key(table, id_column)
     if look_at is not None:
-        look_at = (_keyed_ids(look_at[0], table, id_column), look_at[1])
+        look_at = _keyed_ids(look_at, table, id_column)
     fetched = skew_join(
         ids,
         keyed,
@@ -75,6 +76,7 @@ def lookup_fetch(
         spread_right_by=_row_hash(keyed),
         plan=None if notifications.isStreaming else skew,
         look_at=look_at,
+        look_at_share=look_at_share,
     )
     return _with_record_id(fetched.drop("_id"), table, id_column)
 

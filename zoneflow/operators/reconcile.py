@@ -43,6 +43,11 @@ def variants(
     )
 
 
+def _ids(df: DataFrame, id_column: str, alias: str, within: Sequence[str] = ()) -> DataFrame:
+    """Just the join keys of all rows: hot ids are looked for here, before anything is grouped."""
+    return df.select(F.col(id_column).cast("string").alias(alias), *within)
+
+
 def snapshot_counts(snapshot: DataFrame, id_column: str, within: Sequence[str] = ()) -> DataFrame:
     return (
         snapshot.select(F.col(id_column).cast("string").alias(id_column), *within)
@@ -95,8 +100,15 @@ def variant_counts(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     counts = snapshot_counts(snapshot, id_column, within)
-    spread = F.xxhash64(id_column, *carry)
-    joined = skew_join(per_id, counts, keys, "left", spread_by=spread, plan=skew if carry else None)
+    joined = skew_join(
+        per_id,
+        counts,
+        keys,
+        "left",
+        spread_by=F.xxhash64(id_column, *carry),
+        plan=skew if carry else None,
+        look_at=_ids(records, id_column, id_column, within),
+    )
     found = F.coalesce(F.col("aws_count"), F.lit(0).cast("bigint"))
     return joined.select(
         *keys,
@@ -144,6 +156,8 @@ def column_diff(
         spread_by=F.xxhash64("g", *carry),
         spread_right_by=F.xxhash64("a"),
         plan=skew,
+        look_at=_ids(records, id_column, "_id", within),
+        look_at_right=_ids(snapshot, id_column, "_id", within),
     )
     return (
         pairs.select(
@@ -189,6 +203,8 @@ def map_column_diff(
         spread_by=F.xxhash64("g"),
         spread_right_by=F.xxhash64("a"),
         plan=skew,
+        look_at=_ids(ours, id_column, "_id"),
+        look_at_right=_ids(theirs, id_column, "_id"),
     )
     diff = map_diff(F.map_from_entries("g"), F.map_from_entries("a"))
     return (

@@ -56,7 +56,9 @@ def skew_join(
     spread_right_by: Column | None = None,
     plan: SkewPlan | None = DEFAULT_SKEW,
     null_safe: bool = False,
-    look_at: tuple[DataFrame, float] | None = None,
+    look_at: DataFrame | None = None,
+    look_at_share: float = 1.0,
+    look_at_right: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` joined to ``right`` on equally named and typed ``keys``, hot keys split.
 
@@ -65,8 +67,9 @@ def skew_join(
     side of an inner join. ``how`` is inner, left, left_semi or left_anti. With ``null_safe`` null
     keys match each other. ``plan`` None gives the plain join.
 
-    ``look_at`` is a random share of ``left`` that is cheaper to compute; hot left keys are looked
-    for there. All rows are joined in any case.
+    ``look_at`` and ``look_at_right`` have the same keys and are cheaper to compute than the sides;
+    hot keys are looked for there. ``look_at`` may be a random share of the left rows. All rows are
+    joined in any case.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
@@ -79,9 +82,12 @@ def skew_join(
     if plan is not None and not all(isinstance(left.schema[k].dataType, _SALTED_TYPES) for k in keys):
         plan = None
 
-    looked_at, share = look_at or (left, 1.0)
-    hot_left = set(hot_keys(looked_at, keys, plan, share)) if plan is not None else set()
-    hot_right = set(hot_keys(right, keys, plan)) if plan is not None and spread_right_by is not None else set()
+    hot_left: set[int] = set()
+    hot_right: set[int] = set()
+    if plan is not None:
+        hot_left.update(hot_keys(left if look_at is None else look_at, keys, plan, look_at_share))
+        if spread_right_by is not None:
+            hot_right.update(hot_keys(right if look_at_right is None else look_at_right, keys, plan))
     if hot_left or hot_right:
         left = _salt(left, keys, "l", hot_left, hot_right, spread_by, plan)
         right = _salt(right, keys, "r", hot_left, hot_right, spread_right_by, plan)

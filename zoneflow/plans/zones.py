@@ -64,7 +64,11 @@ def fetch_changes(messages: DataFrame, table_rows: DataFrame, cfg: ZoneConfig) -
     """
     part = parse_notifications(messages.sample(LOOK_AT_SHARE, seed=7), cfg.table)
     return lookup_fetch(
-        parse_notifications(messages, cfg.table), table_rows, cfg.id_column, look_at=(part, LOOK_AT_SHARE)
+        parse_notifications(messages, cfg.table),
+        table_rows,
+        cfg.id_column,
+        look_at=part,
+        look_at_share=LOOK_AT_SHARE,
     )
 
 
