@@ -76,6 +76,12 @@ def test_binary_payload(spark):
         ("2024-01-01 00:00:01.5Z", 1704067201500000),
         ("2024-01-01T01:00:01+01:00", 1704067201000000),
         ("1704067201000", 1704067201000000),
+        ("1000", 1000000),
+        ("-1", -1000),
+        ("12:30:00", None),
+        ("T12:30", None),
+        ("2024-01", None),
+        ("99999999999999999999", None),
         ("soon", None),
         (None, None),
     ],

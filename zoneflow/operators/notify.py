@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from zoneflow.functions.text import stable_id
 
+# Event type of a message without one, and the two forms of its event time.
 DEFAULT_EVENT_TYPE = "update"
+DIGITS = r"\A-?[0-9]+\z"
+DATE_TIME = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]"
 
 
 def attribute(name: str) -> Column:
@@ -24,8 +27,13 @@ def filter_table(messages: DataFrame, table: str) -> DataFrame:
 
 
 def event_time(raw: Column) -> Column:
-    """Timestamp from an attribute that holds ISO text or epoch milliseconds."""
-    return F.coalesce(F.try_to_timestamp(raw), F.timestamp_millis(raw.try_cast("bigint")))
+    """Timestamp from an attribute that holds epoch milliseconds or ISO text with a date and a time.
+
+    Digits alone are always milliseconds, and a time without a date is nothing: Spark would read
+    the one as a year and the other as today.
+    """
+    iso = F.when(raw.rlike(DATE_TIME), F.try_to_timestamp(raw))
+    return F.when(raw.rlike(DIGITS), F.timestamp_millis(raw.try_cast("bigint"))).otherwise(iso)
 
 
 def with_payload_ids(df: DataFrame) -> DataFrame:
