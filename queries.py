@@ -101,7 +101,8 @@ def _topic(spark: SparkSession, sf: str, view: str = "notif") -> str:
     key = (spark.sparkContext.applicationId, sf, view)
     if key not in _topics:
         path = new_run_dir(spark, "topic")
-        sink.write_table(messages(spark, sf, view), path)
+        files = spark.sparkContext.defaultParallelism
+        sink.write_table(messages(spark, sf, view).repartition(files), path)
         _topics[key] = path
     return _topics[key]
 
@@ -458,7 +459,7 @@ def reconcile_log(spark: SparkSession, sf: str) -> DataFrame:
 def audit_log(spark: SparkSession, sf: str) -> DataFrame:
     flagged = quality.with_flags(_records(spark, sf), MEMBER_RULES)
     start, end = windows.window_bounds(F.col("_notif_event_ts"))
-    counts = audit.stage_counts(flagged, "raw", {"window_start": start, "window_end": end})
+    counts = audit.stage_counts(flagged, F.lit("raw"), {"window_start": start, "window_end": end})
     return audit.audit_log(counts, "member", "member_framework", ["window_start"]).select(
         "pipeline_name",
         "domain",
@@ -473,7 +474,7 @@ def audit_log(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def dq_log(spark: SparkSession, sf: str) -> DataFrame:
     flagged = quality.with_flags(load(spark, sf, "src_line"), LINE_RULES)
-    return audit.dq_log(flagged, LINE_RULES, "sales", "raw", "line").drop("quality_id")
+    return audit.dq_log(flagged, LINE_RULES, "sales", F.lit("raw"), "line").drop("quality_id")
 
 
 @query
@@ -718,7 +719,6 @@ def _run_member_zones(spark: SparkSession, sf: str) -> ZoneRun:
     sink.write_table(_legacy_members(spark, sf), path)
     legacy = spark.read.parquet(path)
     return run_zones(
-        spark,
         _records(spark, sf),
         MEMBER_CONFIG,
         new_run_dir(spark, "zones"),
@@ -741,12 +741,12 @@ def _zone_output(rows: DataFrame) -> DataFrame:
 
 @query
 def zone_chain(spark: SparkSession, sf: str) -> DataFrame:
-    return _zone_output(_run_member_zones(spark, sf).zone(spark, "analytics"))
+    return _zone_output(_run_member_zones(spark, sf).zone("analytics"))
 
 
 @query
 def zone_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _run_member_zones(spark, sf).quarantine(spark, "raw")
+    rows = _run_member_zones(spark, sf).quarantine("raw")
     return rows.select(
         F.col("_notif_message_id").alias("message_id"), "record_id", F.array_join("_dq_failed", ";").alias("failed")
     )

@@ -51,14 +51,14 @@ def test_zones(spark, root):
         seen.append(df.columns)
         return df.withColumn("initial", F.left("name", F.lit(1)))
 
-    run = run_zones(spark, records(spark), CFG, root, 7, {"raw": legacy, "refined": legacy}, {"refined": refine})
-    assert run.written(spark, "raw").count() == 4
-    assert run.quarantine(spark, "raw").select("record_id", "_dq_failed").collect() == [("2", ["not_null(email)"])]
+    run = run_zones(records(spark), CFG, root, 7, {"raw": legacy, "refined": legacy}, {"refined": refine})
+    assert run.written["raw"].count() == 4
+    assert run.quarantine("raw").select("record_id", "_dq_failed").collect() == [("2", ["not_null(email)"])]
     for zone in ("structure", "refined", "analytics"):
-        rows = run.zone(spark, zone)
+        rows = run.zone(zone)
         assert rows.count() == 3 and {r._zone for r in rows.collect()} == {zone}
-    assert dict(run.zone(spark, "structure").dtypes)["age"] == "bigint"
-    assert run.zone(spark, "analytics").where("initial is null").count() == 0
+    assert dict(run.zone("structure").dtypes)["age"] == "bigint"
+    assert run.zone("analytics").where("initial is null").count() == 0
     assert "_dq_failed" not in seen[0] and "_ingest_ts" in seen[0]
 
     audit = read_log(spark, root, PIPELINE_LOG)
@@ -79,7 +79,7 @@ def read_log(spark, root, name):
 
 def test_running_a_batch_again_changes_nothing(spark, root):
     for _ in range(2):
-        run_zones(spark, records(spark), CFG, root, 1)
+        run_zones(records(spark), CFG, root, 1)
     assert sink.read_batches(spark, CFG.table_path(root, "analytics")).count() == 3
     assert len(read_log(spark, root, PIPELINE_LOG)) == len(STAGES)
     assert len({r.log_id for r in read_log(spark, root, PIPELINE_LOG)}) == len(STAGES)
@@ -87,15 +87,15 @@ def test_running_a_batch_again_changes_nothing(spark, root):
 
 def test_unique_rule_in_zones(spark, root):
     cfg = ZoneConfig(domain="d", table="t", rules=(DQRule("unique", ("record_id",)),))
-    run = run_zones(spark, records(spark), cfg, root, 0)
-    assert Counter(r.record_id for r in run.quarantine(spark, "raw").collect()) == {"1": 2}
-    assert run.zone(spark, "analytics").count() == 2
+    run = run_zones(records(spark), cfg, root, 0)
+    assert Counter(r.record_id for r in run.quarantine("raw").collect()) == {"1": 2}
+    assert run.zone("analytics").count() == 2
 
 
 def test_all_rows_quarantined(spark, root):
     cfg = ZoneConfig(domain="d", table="t", rules=(DQRule("not_null", ("no_such_column",)),))
-    run = run_zones(spark, records(spark), cfg, root, 0)
-    assert run.quarantine(spark, "raw").count() == 4 and run.zone(spark, "analytics").count() == 0
+    run = run_zones(records(spark), cfg, root, 0)
+    assert run.quarantine("raw").count() == 4 and run.zone("analytics").count() == 0
 
 
 def test_snapshot_is_renamed_before_it_is_joined(spark, root):

@@ -45,13 +45,8 @@ def encode_fields(columns: Sequence[Column]) -> Column:
     Each value is written as ``length:value`` and null as ``~``. ``concat_ws`` alone drops nulls,
     and any separator may occur inside a value.
     """
-    parts = [
-        F.when(c.isNull(), F.lit("~")).otherwise(
-            F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string"))
-        )
-        for c in columns
-    ]
-    return F.concat(*parts)
+    texts = [c.cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("~")) for t in texts])
 
 
 def fingerprint(columns: Sequence[Column]) -> Column:

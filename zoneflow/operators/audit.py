@@ -35,15 +35,15 @@ def audit_records(records: DataFrame, table: str, stage: str, dataset: str, keys
     return records.select(log_id.alias("log_id"), *[c.alias(n) for n, c in fields.items()])
 
 
-def stage_counts(flagged: DataFrame, zone: str, groups: Mapping[str, Column] | None = None) -> DataFrame:
-    """Rows written to ``zone`` and rows that passed its quality check, as two stage rows per group."""
+def stage_counts(flagged: DataFrame, zone: Column, groups: Mapping[str, Column] | None = None) -> DataFrame:
+    """Rows written to each zone and rows that passed its quality check, as two stage rows per group."""
     groups = dict(groups or {})
-    counted = flagged.groupBy(*[c.alias(n) for n, c in groups.items()]).agg(
+    counted = flagged.groupBy(zone.alias("_stage"), *[c.alias(n) for n, c in groups.items()]).agg(
         F.count(F.lit(1)).alias("_all"), F.count_if(F.size("_dq_failed") == 0).alias("_ok")
     )
     stages = F.array(
-        F.struct(F.lit(zone).alias("stage"), F.col("_all").alias("n_records")),
-        F.struct(F.lit(f"{zone}_dq").alias("stage"), F.col("_ok").alias("n_records")),
+        F.struct(F.col("_stage").alias("stage"), F.col("_all").alias("n_records")),
+        F.struct(F.concat("_stage", F.lit("_dq")).alias("stage"), F.col("_ok").alias("n_records")),
     )
     return counted.select(*groups, F.inline(stages))
 
@@ -65,15 +65,15 @@ def dq_log(
     flagged: DataFrame,
     rules: Sequence[DQRule],
     domain: str,
-    zone: str,
+    zone: Column,
     table: str,
     run_id: str = "",
 ) -> DataFrame:
-    """``data_quality_log`` rows: one per rule with its outcome and counts."""
-    return rule_outcomes(flagged, rules).select(
-        stable_id(F.lit(run_id), F.lit(zone), F.lit(table), F.col("rule_name")).alias("quality_id"),
+    """``data_quality_log`` rows: one per zone and rule with its outcome and counts."""
+    return rule_outcomes(flagged, rules, {"zone": zone}).select(
+        stable_id(F.lit(run_id), F.col("zone"), F.lit(table), F.col("rule_name")).alias("quality_id"),
         F.lit(domain).alias("domain"),
-        F.lit(zone).alias("zone"),
+        "zone",
         F.lit(table).alias("table_name"),
         "rule_name",
         "passed",

@@ -50,7 +50,7 @@ def run_batch(
         write_log(log, cfg.log_path(root, RECONCILE_LOG), run_id)
     if cfg.rules:
         write_log(
-            dq_log(flagged, cfg.rules, cfg.domain, "raw", cfg.table, run_id),
+            dq_log(flagged, cfg.rules, cfg.domain, F.lit("raw"), cfg.table, run_id),
             cfg.log_path(root, QUALITY_LOG),
             run_id,
         )

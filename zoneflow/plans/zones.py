@@ -39,21 +39,18 @@ LOOK_AT_SHARE = 1 / 16
 
 @dataclass(frozen=True)
 class ZoneRun:
-    """Where one batch was written."""
+    """One written batch: the rows of each zone with their failed rules, read from the zone table."""
 
     root: str
     batch_id: int | str
-    folders: Mapping[str, str]
+    written: Mapping[str, DataFrame]
 
-    def zone(self, spark: SparkSession, zone: str) -> DataFrame:
+    def zone(self, zone: str) -> DataFrame:
         """Rows of the zone that passed its quality rules."""
-        return passed(self.written(spark, zone))
+        return passed(self.written[zone])
 
-    def written(self, spark: SparkSession, zone: str) -> DataFrame:
-        return spark.read.parquet(self.folders[zone])
-
-    def quarantine(self, spark: SparkSession, zone: str) -> DataFrame:
-        return quarantined(self.written(spark, zone))
+    def quarantine(self, zone: str) -> DataFrame:
+        return quarantined(self.written[zone])
 
 
 def fetch_changes(messages: DataFrame, table_rows: DataFrame, cfg: ZoneConfig) -> DataFrame:
@@ -93,7 +90,6 @@ def _transform(zone: str, cfg: ZoneConfig, hooks: Mapping[str, Hook]) -> Hook:
 
 
 def run_zones(
-    spark: SparkSession,
     records: DataFrame,
     cfg: ZoneConfig,
     root: str,
@@ -107,19 +103,19 @@ def run_zones(
     ``snapshots`` gives the mapped legacy rows per zone; a zone without one is not reconciled.
     With ``window_seconds`` the logs are kept per event-time window, else per batch.
     """
-    folders: dict[str, str] = {}
+    written: dict[str, DataFrame] = {}
     for position, zone in enumerate(ZONES):
         if position == 0:
             current = raw_rows(records)
         else:
-            before = passed(spark.read.parquet(folders[ZONES[position - 1]]))
+            before = passed(written[ZONES[position - 1]])
             current = tag_zone(_transform(zone, cfg, hooks or {})(before), zone)
         if any(rule.checks_unique for rule in cfg.rules):
             # Counting keys reads the rows again: do that from a written copy.
-            current = spark.read.parquet(write_batch(current, f"{root}/_staged/{zone}", batch_id))
-        folders[zone] = write_batch(with_flags(current, cfg.rules), cfg.table_path(root, zone), batch_id)
-    run = ZoneRun(root, batch_id, folders)
-    _write_logs(spark, run, cfg, snapshots or {}, window_seconds)
+            current = write_batch(current, f"{root}/_staged/{zone}", batch_id)
+        written[zone] = write_batch(with_flags(current, cfg.rules), cfg.table_path(root, zone), batch_id)
+    run = ZoneRun(root, batch_id, written)
+    _write_logs(run, cfg, snapshots or {}, window_seconds)
     return run
 
 
@@ -136,7 +132,6 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def _write_logs(
-    spark: SparkSession,
     run: ZoneRun,
     cfg: ZoneConfig,
     snapshots: Mapping[str, DataFrame],
@@ -145,17 +140,16 @@ def _write_logs(
     dataset = cfg.dataset("framework")
     bounds = ["window_start", "window_end"]
     groups = {name: F.col(name) for name in bounds}
-    written = {zone: _with_window(run.written(spark, zone), window_seconds) for zone in ZONES}
+    written = {zone: _with_window(run.written[zone], window_seconds) for zone in ZONES}
+
+    flagged = _union([rows.select(*bounds, "_zone", "_dq_failed") for rows in written.values()])
 
-    stages = _union([stage_counts(written[zone], zone, groups) for zone in ZONES])
-    stages = stages.withColumn("batch", F.lit(str(run.batch_id)))
+    stages = stage_counts(flagged, F.col("_zone"), groups).withColumn("batch", F.lit(str(run.batch_id)))
     audit = audit_log(stages, cfg.table, dataset, ["batch", *bounds]).drop("batch")
     write_log(audit, cfg.log_path(run.root, PIPELINE_LOG), run.batch_id)
     if cfg.rules:
-        quality = [
-            dq_log(written[zone], cfg.rules, cfg.domain, zone, cfg.table, str(run.batch_id)) for zone in ZONES
-        ]
-        write_log(_union(quality), cfg.log_path(run.root, QUALITY_LOG), run.batch_id)
+        quality = dq_log(flagged, cfg.rules, cfg.domain, F.col("_zone"), cfg.table, str(run.batch_id))
+        write_log(quality, cfg.log_path(run.root, QUALITY_LOG), run.batch_id)
     compared = {zone: rows for zone, rows in written.items() if zone in snapshots}
     if compared:
         log = _reconcile(compared, snapshots, cfg, bounds, window_seconds is not None)

@@ -23,11 +23,11 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     writer.parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int | str) -> str:
-    """Write one batch of a table; returns the folder of the batch."""
+def write_batch(df: DataFrame, path: str, batch_id: int | str) -> DataFrame:
+    """Write one batch of a table; returns the written rows, read back from the batch's folder."""
     folder = f"{path}/_batch_id={batch_id}"
     df.write.mode("overwrite").parquet(folder)
-    return folder
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:

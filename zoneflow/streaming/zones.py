@@ -37,13 +37,12 @@ def zone_stream(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch.persist()
         try:
             if batch.isEmpty():  # such as the batch that only moves the watermark
                 return
             records = changed_records(batch, table_rows(), cfg)
-            run_zones(spark, records, cfg, root, batch_id, snapshots, hooks, window_seconds)
+            run_zones(records, cfg, root, batch_id, snapshots, hooks, window_seconds)
         finally:
             batch.unpersist()
 
