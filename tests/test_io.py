@@ -75,8 +75,8 @@ def test_batch_is_replaced_and_others_stay(spark, folder):
 def test_log_is_partitioned_by_day_and_rewritten_per_batch(spark, folder):
     rows = spark.createDataFrame([("d", "raw", "t", 1), ("d", "refined", "t", 2)], "domain string, zone string, table_name string, n int")
     at = F.lit("2024-01-02 03:04:05").cast("timestamp")
-    for _ in range(2):
-        sink.write_log(rows, folder, "b1", at)
+    sink.write_log(rows, folder, "b1", F.lit("2024-01-01 23:59:59").cast("timestamp"))
+    sink.write_log(rows, folder, "b1", at)
     sink.write_log(rows, folder, "b2", at)
     log = read_table(spark, folder)
     assert log.count() == 4

@@ -12,6 +12,8 @@ from queries import MEMBER_CONFIG
 from zoneflow import session
 from zoneflow.config import ZoneConfig
 from zoneflow.operators.audit import STAGES
+from zoneflow.operators.fetch import lookup_fetch
+from zoneflow.operators.notify import parse_notifications
 from zoneflow.operators.quality import DQRule
 from zoneflow.plans.batch import run_batch
 from zoneflow.plans.zones import PIPELINE_LOG, QUALITY_LOG, RECONCILE_LOG, changed_records, read_snapshot, run_zones
@@ -164,6 +166,19 @@ def test_stream_dedup_keeps_messages_without_id(spark, root):
     assert sorted(r.payload for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b", "b"]
 
 
+def test_fetch_on_a_stream_equals_batch(spark, sf, root):
+    source = messages(spark, sf)
+    sink.write_table(source, f"{root}/in")
+    members = load(spark, sf, "src_member")
+    columns = ["_notif_message_id", "record_id", "name"]
+    stream = lookup_fetch(parse_notifications(stream_messages(spark, f"{root}/in"), "member"), members).select(columns)
+    query = stream.writeStream.option("checkpointLocation", f"{root}/c").trigger(availableNow=True)
+    query.format("parquet").start(f"{root}/out").awaitTermination()
+    batch = lookup_fetch(parse_notifications(source, "member"), members).select(columns)
+    got = spark.read.parquet(f"{root}/out")
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, batch.collect()))
+
+
 def test_zone_stream_equals_batch_over_restarts(spark, sf, root):
     """Two deliveries, the second with redelivered and very old messages; no row is lost or doubled."""
     source = messages(spark, sf)

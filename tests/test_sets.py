@@ -70,7 +70,7 @@ def test_samples_are_limited_per_group(spark):
 
 
 changes = st.lists(
-    st.tuples(ids, st.integers(0, 3), st.sampled_from(["insert", "update", "delete"])), min_size=1, max_size=15
+    st.tuples(st.one_of(ids, st.none()), st.integers(0, 3), st.sampled_from(["insert", "update", "delete"])), min_size=1, max_size=15
 )
 
 

@@ -66,7 +66,8 @@ def ingest_upsert(
 ) -> DataFrame:
     """The target with the newest change of each key applied; a delete leaves a tombstone.
 
-    ``target`` holds one row per key with the columns of ``delta`` and ``_is_deleted``. A change
+    ``target`` holds one row per key (null is a key too) with the columns of ``delta`` and
+    ``_is_deleted``. A change
     older than the target row is ignored, so applying a delta twice or out of order changes
     nothing. The delta is reduced to one row per key first; when it is small the target is not
     shuffled.
@@ -94,7 +95,7 @@ def ingest_upsert(
 def _all_equal(keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for k in keys:
-        condition = condition & (F.col(k) == F.col(f"_in_{k}"))
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_in_{k}"))
     return condition
 
 

@@ -36,18 +36,20 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_log(rows: DataFrame, path: str, batch_id: int | str, created_at: Column | None = None) -> None:
-    """Append log rows in one partition per creation day, clustered by domain, zone and table."""
-    stamped = rows if "created_at" in rows.columns else rows.withColumn(
-        "created_at", created_at if created_at is not None else F.current_timestamp()
-    )
-    dated = stamped.withColumns({"_batch_id": F.lit(str(batch_id)), LOG_PARTITION: F.to_date("created_at")})
-    clustering = [c for c in LOG_CLUSTERING if c in dated.columns]
+    """Log rows of one batch, partitioned by creation day and clustered by domain, zone and table.
+
+    The batch's folder is replaced as a whole, so a batch repeated on another day leaves no rows of
+    the first attempt.
+    """
+    stamp = created_at if created_at is not None else F.current_timestamp()
+    stamped = rows if "created_at" in rows.columns else rows.withColumn("created_at", stamp)
+    clustering = [c for c in LOG_CLUSTERING if c in stamped.columns]
     (
-        dated.sortWithinPartitions("_batch_id", LOG_PARTITION, *clustering)
+        stamped.withColumn(LOG_PARTITION, F.to_date("created_at"))
+        .sortWithinPartitions(LOG_PARTITION, *clustering)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_batch_id", LOG_PARTITION)
-        .parquet(path)
+        .partitionBy(LOG_PARTITION)
+        .parquet(f"{path}/_batch_id={batch_id}")
     )
 
 
