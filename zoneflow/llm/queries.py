@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneflow.llm import chat, decontaminate
+from zoneflow.llm import chat, decontaminate, jaccard
 from zoneflow.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,11 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(chat.with_probe(load(spark, sf_dir, "conversations"))))
 
 
+@query
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.digest(jaccard.similar_components(load(spark, sf_dir, "documents")))
+
+
 @query
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(
@@ -31,5 +36,6 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 ORACLE_SQL: dict[str, str] = {
     "op3_chat_formatting": chat.SQL,
+    "op6_ngram_jaccard_join": jaccard.SQL,
     "op7_benchmark_decontamination": decontaminate.SQL,
 }
