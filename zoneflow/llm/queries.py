@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneflow.llm import chat, decontaminate, jaccard
+from zoneflow.llm import chat, decontaminate, jaccard, packing
 from zoneflow.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[fn.__name__] = fn
     return fn
@@ -34,6 +40,11 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(load(spark, sf_dir, "documents"), tokenizer_file())
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_chat_formatting": chat.SQL,
     "op6_ngram_jaccard_join": jaccard.SQL,
