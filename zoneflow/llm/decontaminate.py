@@ -165,8 +165,10 @@ def digest(result: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5) -> DataFrame:
     """The rows of ``docs``, all columns, without contaminated documents."""
     found = find_windows(docs.select("doc_id", "text"), items.select("item_id", "text"), window, shingle)
-    bad = written(found.select(F.col("doc_id").alias("bad_id"), F.col("content").alias("bad_content")).distinct(), "contaminated")
-    same = docs["doc_id"].eqNullSafe(F.col("bad_id")) & (F.xxhash64(docs["text"]) == F.col("bad_content"))
+    bad = written(
+        found.select(F.col("doc_id").alias("__bad_id"), F.col("content").alias("__bad_content")).distinct(), "contaminated"
+    )
+    same = docs["doc_id"].eqNullSafe(F.col("__bad_id")) & (F.xxhash64(docs["text"]) == F.col("__bad_content"))
     return docs.join(bad, same, "left_anti")
 
 

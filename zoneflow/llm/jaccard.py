@@ -113,43 +113,34 @@ def _bitmaps(texts: DataFrame, size: int, max_bits: int) -> tuple[int, bytes, by
     return bucket_bits + place_bits, bytes(maps[0]), bytes(maps[1])
 
 
-PREFIX_SCHEMA = "doc_id long, n long, node binary, grp binary, first int, shingles array<long>, text string"
+def _prefix_of(size: int, percent: int, bits: int, shared):
+    """Per text: n and, only where the prefix has a repeated shingle, node, grp and that part of the prefix."""
 
+    def flagged(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        place = hashes >> np.uint64(64 - bits)
+        return (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype("u1")) & 1
 
-def _prefixes(size: int, percent: int, bits: int, shared):
-    """Rows of PREFIX_SCHEMA; grp, shingles and text only where the prefix has a repeated shingle."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("n long, node binary, grp binary, first int, shingles array<long>")
+    def prefix(texts: pd.Series) -> pd.DataFrame:
         twice, often = (np.frombuffer(x, "u1") for x in shared.value)
-
-        def flagged(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-            place = hashes >> np.uint64(64 - bits)
-            return (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype("u1")) & 1
-
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                hashes = shingle_set(text, size)
-                n = len(hashes)
-                if not n:
-                    rows.append((doc_id, 0, None, None, None, None, None))
-                    continue
-                length = n - -(-percent * n // 100) + 1
-                rank = flagged(twice, hashes)
-                first = n - int(rank.sum(dtype=np.int64))
-                if first >= length:
-                    rows.append((doc_id, n, None, None, None, None, None))
-                    continue
-                rank = rank + flagged(often, hashes)
-                prefix = hashes[np.argsort(rank, kind="stable")[:length]]
-                node = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
-                grp = hashlib.blake2b(prefix.tobytes() + n.to_bytes(8, "little"), digest_size=16).digest()
-                rows.append((doc_id, n, node, grp, first, prefix[first:].view(np.int64), text))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "node", "grp", "first", "shingles", "text"]).astype(
-                {"doc_id": "Int64", "first": "Int32"}
-            )
-
-    return run
+        rows = []
+        for text in texts:
+            hashes = shingle_set(text, size)
+            n = len(hashes)
+            length = n - -(-percent * n // 100) + 1
+            rank = flagged(twice, hashes)
+            first = n - int(rank.sum(dtype=np.int64))
+            if not n or first >= length:
+                rows.append((n, None, None, 0, None))
+                continue
+            rank = rank + flagged(often, hashes)
+            chosen = hashes[np.argsort(rank, kind="stable")[:length]]
+            node = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+            grp = hashlib.blake2b(chosen.tobytes() + n.to_bytes(8, "little"), digest_size=16).digest()
+            rows.append((n, node, grp, first, chosen[first:].view(np.int64)))
+        return pd.DataFrame(rows, columns=["n", "node", "grp", "first", "shingles"])
+
+    return prefix
 
 
 def _verify(size: int, percent: int):
@@ -266,10 +257,15 @@ class _Join:
 def similar_components(docs: DataFrame, percent: int = 75, size: int = 5, max_bits: int = 29) -> DataFrame:
     """(doc_id, n_shingles, component_id, node) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select("doc_id", "text")
     bits, twice, often = _bitmaps(docs, size, max_bits)
     shared = spark.sparkContext.broadcast((twice, often))
-    prefixes = written(docs.mapInPandas(_prefixes(size, percent, bits, shared), PREFIX_SCHEMA), "prefixes")
+    prefixes = written(
+        docs.select("doc_id", "text", _prefix_of(size, percent, bits, shared)("text").alias("p")).select(
+            "doc_id", "p.*", F.when(F.col("p.node").isNotNull(), F.col("text")).alias("text")
+        ),
+        "prefixes",
+    )
     join = _Join(prefixes, size, percent)
 
     labels = spark.createDataFrame([], "node binary, label binary")
@@ -307,6 +303,22 @@ def digest(result: DataFrame) -> DataFrame:
     return result.select("doc_id", "n_shingles", "component_id")
 
 
+def one_of_each(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
+    """The rows of ``docs``, all columns, that are the smallest id of their component. An id stands for one document:
+    of rows with equal ids one stays."""
+    result = written(similar_components(docs, percent, size).select("doc_id", "component_id"), "components")
+    kept = written(
+        result.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy(F.col("doc_id").alias("__kept"))
+        .agg(F.count(F.lit(1)).alias("__rows")),
+        "kept",
+    )
+    same = docs["doc_id"].eqNullSafe(F.col("__kept"))
+    once = docs.join(kept.where("__rows = 1"), same, "left_semi")
+    repeated = docs.join(kept.where("__rows > 1"), same, "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(repeated)
+
+
 SQL = r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),

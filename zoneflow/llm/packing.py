@@ -216,7 +216,7 @@ def _pack(path: str, capacity: int, with_ids: bool):
     names = [c.split()[0] for c in PIECES.split(", ")] + ["ids"]
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+        out = pd.DataFrame(rows, columns=names)
         return out.assign(ids=[x.astype("i4") for x in out["ids"]]) if with_ids else out.drop(columns="ids")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -239,7 +239,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
 
     ``docs`` has doc_id and text. ``tokenizer_path``: a tokenizers file that is at this path on every executor.
     """
-    schema = PIECES + (", ids array<int>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+    schema = PIECES.replace("doc_id long", "doc_id string") + (", ids array<int>" if with_ids else "")
+    # ids go through Python as text: beside a null, pandas would hold numbers as floats
+    pieces = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
         _pack(tokenizer_path, capacity, with_ids), schema
     )
+    return pieces.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))

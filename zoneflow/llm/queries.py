@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from zoneflow.llm import chat, decontaminate, jaccard, packing
+from zoneflow.llm import chat, decontaminate, jaccard, language, packing, pages, revisits, secrets, severity, topk
 from zoneflow.llm.common import load
+from zoneflow.session import new_run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,11 +25,33 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revisits.digest(revisits.resolve(revisits.captures(load(spark, sf_dir, "pages"))))
+
+
+@query
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(load(spark, sf_dir, "pages"))
+
+
 @query
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(chat.with_probe(load(spark, sf_dir, "conversations"))))
 
 
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return language.predict(docs, language.train(docs.where(~language.is_held_out(F.col("doc_id")))))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return severity.predict(docs, severity.train(docs, load(spark, sf_dir, "labels")))
+
+
 @query
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.digest(jaccard.similar_components(load(spark, sf_dir, "documents")))
@@ -45,8 +69,24 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"), tokenizer_file())
 
 
+@query
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = load(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id")))
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
+    ledger = secrets.Ledger(spark, new_run_dir(spark, "secret-ledger"))
+    ledger.add(versions)
+    return secrets.digest(secrets.path_findings(versions, ledger))
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_revisit_resolution": revisits.SQL,
     "op3_chat_formatting": chat.SQL,
     "op6_ngram_jaccard_join": jaccard.SQL,
     "op7_benchmark_decontamination": decontaminate.SQL,
+    "op9_exact_top_k": topk.SQL,
 }
