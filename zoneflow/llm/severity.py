@@ -1,7 +1,7 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
 A text's features are its words and their first letters. Grades are ordered: 0 is not toxic; toxic texts get grades 1 to
-``GRADES`` - 1 by how much of the text is words that mark toxic texts in the sample. One weight vector serves all
+``GRADES`` - 1 by how much it has of the features that mark toxic texts in the sample. One weight vector serves all
 thresholds, P(grade > k) = sigmoid(w x - t_k) with t_0 < t_1 < ..., so the predicted grades are ordered too; the
 expected severity is the sum of these probabilities.
 
@@ -26,20 +26,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GRADES = 4
-PREFIX = 5
+KEPT_WORDS = 300_000
+#: Counts are taken per so many words of longer texts.
+PER_WORDS = 200
+#: Lengths of word beginnings that are features beside the word itself.
+BEGINNINGS = (4, 5, 6)
+#: A feature is kept if its log odds are this many standard errors above 0.
+LEAST_Z = 4.0
 _SPACES = str.maketrans({c: " " for c in string.punctuation + "\n\t\r"})
 
 
-def features(text: str | None) -> Counter:
-    """Counts of words, and of word beginnings marked by a trailing "*"."""
-    words = text.lower().translate(_SPACES).split() if text else []
-    counts = Counter(words)
-    beginnings: Counter = Counter()
-    for word, n in counts.items():
-        if len(word) > PREFIX:
-            beginnings[word[:PREFIX] + "*"] += n
-    counts.update(beginnings)
-    return counts
+def _words(text: str) -> list[str]:
+    return text.lower().translate(_SPACES).split()
+
+
+def _features_of(word: str) -> list[str]:
+    """The word and its beginnings, these marked by a trailing "*"."""
+    return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
+
+
+def _scale(words: int) -> float:
+    return PER_WORDS / max(PER_WORDS, words)
+
+
+def features(text: str | None) -> dict[str, float]:
+    words = _words(text or "")
+    counts: Counter = Counter()
+    for word, n in Counter(words).items():
+        for f in _features_of(word):
+            counts[f] += n
+    scale = _scale(len(words))
+    return {f: float(np.log1p(n * scale)) for f, n in counts.items()}
 
 
 @dataclass
@@ -52,25 +69,26 @@ class OrdinalModel:
         with np.errstate(over="ignore"):
             return 1 / (1 + np.exp(self.thresholds[None, :] - score[:, None]))
 
-    def score(self, text: str | None) -> float:
-        known = self.weights
-        if not text:
-            return 0.0
+    def score(self, text: str | None, seen: dict[str, tuple[str, ...]]) -> float:
+        """``seen``: the known features of words met so far, which the caller keeps."""
         counts: Counter = Counter()
-        for word in text.lower().translate(_SPACES).split():
-            if word in known:
-                counts[word] += 1
-            beginning = word[:PREFIX] + "*"
-            if beginning in known and len(word) > PREFIX:
-                counts[beginning] += 1
-        return sum(known[f] * np.log1p(n) for f, n in counts.items())
+        words = _words(text or "")
+        for word in words:
+            known = seen.get(word)
+            if known is None:
+                if len(seen) >= KEPT_WORDS:
+                    seen.clear()
+                known = seen[word] = tuple(f for f in _features_of(word) if f in self.weights)
+            if known:
+                counts.update(known)
+        scale = _scale(len(words))
+        return sum(self.weights[f] * np.log1p(n * scale) for f, n in counts.items())
 
 
-def _graded(counts: list[Counter], toxic: np.ndarray, marks: set[str]) -> np.ndarray:
-    """0 for texts that aren't toxic, else 1 to GRADES - 1 by the share of marking words, in equal parts."""
-    share = np.array([sum(n for f, n in c.items() if f in marks) / max(1, sum(n for f, n in c.items() if f[-1] != "*")) for c in counts])
-    cuts = np.quantile(share[toxic], np.arange(1, GRADES - 1) / (GRADES - 1))
-    return np.where(toxic, 1 + np.searchsorted(cuts, share), 0)
+def _graded(amount: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """0 for texts that aren't toxic, else 1 to GRADES - 1 by the amount of what marks toxic texts, in equal parts."""
+    cuts = np.quantile(amount[toxic], np.arange(1, GRADES - 1) / (GRADES - 1))
+    return np.where(toxic, 1 + np.searchsorted(cuts, amount), 0)
 
 
 def fit(texts: list[str], toxic: np.ndarray, max_features: int, prior: float, steps: int = 400) -> OrdinalModel:
@@ -78,27 +96,22 @@ def fit(texts: list[str], toxic: np.ndarray, max_features: int, prior: float, st
     toxic = np.asarray(toxic, bool)
     if toxic.all() or not toxic.any():
         return OrdinalModel()
-    counts = [features(t) for t in texts]
+    found = [features(t) for t in texts]
     inside, outside = Counter(), Counter()
-    for c, t in zip(counts, toxic, strict=True):
+    for c, t in zip(found, toxic, strict=True):
         (inside if t else outside).update(c.keys())
     n_in, n_out = toxic.sum(), (~toxic).sum()
-    odds = {
-        f: np.log((inside[f] + 0.5) / (n_in + 1)) - np.log((outside[f] + 0.5) / (n_out + 1))
-        for f in inside.keys() | outside.keys()
-        if inside[f] + outside[f] >= 5
-    }
-    # how sure the odds are: a frequent word with small odds says little, a rare one with large odds too
-    sure = {f: o * np.sqrt(inside[f] + outside[f]) for f, o in odds.items() if abs(o) >= 1}
-    chosen = sorted(sure, key=lambda f: (-abs(sure[f]), f))[:max_features]
-    grades = _graded(counts, toxic, {f for f in chosen if odds[f] >= 3 and f[-1] != "*"})
+    odds, sure = {}, {}
+    for f, a in inside.items():
+        b = outside[f]
+        odds[f] = np.log((a + 0.5) / (n_in + 1)) - np.log((b + 0.5) / (n_out + 1))
+        sure[f] = odds[f] / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+    # evidence is for toxicity only: what marks other texts is their subject, not their tone; weights stay at 0 or above
+    chosen = sorted((f for f in odds if odds[f] >= 1 and sure[f] >= LEAST_Z), key=lambda f: (-sure[f], f))[:max_features]
     number = {f: i for i, f in enumerate(chosen)}
-    row, col, val = [], [], []
-    for i, c in enumerate(counts):
-        for f, n in c.items():
-            if f in number:
-                row.append(i), col.append(number[f]), val.append(np.log1p(n))
-    row, col, val = np.array(row, int), np.array(col, int), np.array(val)
+    entries = [(i, number[f], x) for i, c in enumerate(found) for f, x in c.items() if f in number]
+    row, col, val = (np.array(x, kind) for x, kind in zip(zip(*entries, strict=True) if entries else ([], [], []), (int, int, float), strict=True))
+    grades = _graded(np.bincount(row, val, len(texts)), toxic)
     weight = np.where(toxic, prior / n_in, (1 - prior) / n_out)
     above = grades[:, None] > np.arange(GRADES - 1)[None, :]
 
@@ -115,7 +128,7 @@ def fit(texts: list[str], toxic: np.ndarray, max_features: int, prior: float, st
         moment[0] = 0.9 * moment[0] + 0.1 * gradient
         moment[1] = 0.999 * moment[1] + 0.001 * gradient**2
         move = 0.05 * (moment[0] / (1 - 0.9**step)) / (np.sqrt(moment[1] / (1 - 0.999**step)) + 1e-9)
-        w, first, gaps = w - move[: len(w)], first - move[len(w)], np.clip(gaps - move[len(w) + 1 :], -5, 5)
+        w, first, gaps = np.maximum(w - move[: len(w)], 0), first - move[len(w)], np.clip(gaps - move[len(w) + 1 :], -5, 5)
     thresholds = first + np.concatenate([[0], np.cumsum(np.exp(gaps))])
     return OrdinalModel({f: float(x) for f, x in zip(chosen, w, strict=True)}, thresholds)
 
@@ -149,8 +162,8 @@ def predict(docs: DataFrame, model: OrdinalModel) -> DataFrame:
 
     @F.pandas_udf("severity double, grade int, toxic boolean")
     def predicted(texts: pd.Series) -> pd.DataFrame:
-        model = shared.value
-        above = model.probabilities(np.array([model.score(t) for t in texts], float))
+        model, seen = shared.value, {}
+        above = model.probabilities(np.array([model.score(t, seen) for t in texts], float))
         blank = np.array([t is None or not t.translate(_SPACES).strip() for t in texts], bool)
         above[blank] = 0
         exact = np.hstack([1 - above[:, :1], above[:, :-1] - above[:, 1:], above[:, -1:]])
