@@ -10,32 +10,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.llm import decontaminate, jaccard, language, packing, secrets
-from zoneflow.llm.common import load, written
+from zoneflow.llm.common import load, on_executors, written
 from zoneflow.llm.queries import tokenizer_file
 from zoneflow.session import new_run_dir
 
 
+@on_executors
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language cannot be determined: null texts and texts without a letter."""
     network = language.train(docs.where(~language.is_held_out(F.col("doc_id"))))
     return language.identified(docs, network)
 
 
+@on_executors
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, that with the smallest id, of each group linked by similar shingle sets."""
     return jaccard.one_of_each(docs)
 
 
+@on_executors
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
     return decontaminate.clean_documents(docs, load(spark, sf_dir, "benchmark"))
 
 
+@on_executors
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets inside texts; every document stays."""
     return secrets.without_secrets(docs, secrets.Ledger(spark, new_run_dir(spark, "secret-ledger")))
 
 
+@on_executors
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences."""
     return packing.pack_documents(docs, tokenizer_file())

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.llm import chat, decontaminate, jaccard, language, packing, pages, revisits, secrets, severity, topk
-from zoneflow.llm.common import load
+from zoneflow.llm.common import load, on_executors
 from zoneflow.session import new_run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,7 +21,7 @@ def tokenizer_file() -> str:
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__] = on_executors(fn)
     return fn
 
 
