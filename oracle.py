@@ -98,7 +98,7 @@ GATE_TABLE = "CASE event_type WHEN 'view' THEN 'users' WHEN 'click' THEN 'refine
 
 CUTOFF = "TIMESTAMP '2024-01-16 00:00:00'"
 INCREMENTAL = f"""SELECT record_id, seq, op, amount FROM cdc_log
-WHERE change_ts > (SELECT max(change_ts) FROM cdc_log WHERE change_ts < {CUTOFF})"""
+WHERE (change_ts, seq) > (SELECT (change_ts, seq) FROM cdc_log WHERE change_ts < {CUTOFF} ORDER BY change_ts DESC, seq DESC LIMIT 1)"""
 
 HOURS = """SELECT CAST(time_bucket(INTERVAL 1 HOUR, ts) AS VARCHAR) AS window_start, event_type, count(*) AS n
 FROM events {where} GROUP BY 1, 2"""
@@ -168,7 +168,8 @@ def _sql() -> dict[str, str]:
     )
     put("snapshot_binary_scan", "SELECT count(*) AS n_lines FROM aws_order", "aws_order")
     put("snapshot_jsonl_scan", "SELECT user_id, user_name, user_email FROM aws_member", "aws_member")
-    put("snapshot_typed_scan", "SELECT id, cust, state, amount, prio FROM aws_order", "aws_order")
+    put("snapshot_typed_scan", "SELECT user_id, user_name, user_email FROM aws_member", "aws_member")
+    put("snapshot_listing", "SELECT DISTINCT 'state=' || state AS folder FROM aws_order ORDER BY 1 LIMIT 2", "aws_order")
     put("json_sink_readback", "SELECT record_id, part_id, quantity, price, is_returned FROM src_line", "src_line")
     put("audit_records", AUDIT_ROW, "notif", "src_member", ctes=RECORDS)
     put(
@@ -405,7 +406,7 @@ def _sql() -> dict[str, str]:
         put(key, f"SELECT record_id, {LINE_CHECKS[label]} AS passed FROM src_line", "src_line")
     put(
         "dq_valid_email",
-        r"SELECT record_id, regexp_full_match(coalesce(email, ''), '[^@\s]+@[^@\s]+\.[a-z]+') AS passed FROM src_member",
+        r"SELECT record_id, regexp_full_match(coalesce(email, ''), '[^@\s]+@[^@\s]+\.[A-Za-z0-9-]{2,}') AS passed FROM src_member",
         "src_member",
     )
     put(
@@ -438,6 +439,17 @@ def _sql() -> dict[str, str]:
     )
     put("ingest_incremental", INCREMENTAL, "cdc_log")
     put("ingest_dispatch", INCREMENTAL, "cdc_log")
+    put("ingest_dispatch_full", f"SELECT record_id, part_id, quantity FROM src_line WHERE {named.format('member')}", "notif", "src_line")
+    put(
+        "ingest_dispatch_transform_structure",
+        f"SELECT record_id, {_long('part_id')} AS part_id, {_double('quantity')} AS quantity, {_double('price')} AS price FROM src_line",
+        "src_line",
+    )
+    put(
+        "ingest_dispatch_upsert",
+        f"SELECT record_id, seq, op, amount, op = 'delete' AS is_deleted FROM cdc_log QUALIFY {latest}",
+        "cdc_log",
+    )
     put(
         "ingest_upsert",
         f"SELECT record_id, seq, op, amount, op = 'delete' AS is_deleted FROM cdc_log QUALIFY {latest}",
@@ -458,7 +470,8 @@ def _sql() -> dict[str, str]:
         "dependency_gate",
         f"""SELECT event_id, value, {GATE_TABLE} AS table_name FROM events e
             WHERE NOT EXISTS (SELECT 1 FROM need n WHERE n.table_name = {GATE_TABLE.replace('event_type', 'e.event_type')}
-              AND n.run_date = CAST(e.ts AS DATE) AND NOT EXISTS ({NEED_DONE}))""",
+              AND n.run_date = CAST(e.ts AS DATE) AND NOT EXISTS ({NEED_DONE}))
+              AND (e.event_id % 50 <> 0 OR {GATE_TABLE.replace('event_type', 'e.event_type')} = 'orders')""",
         "run_log",
         ctes=WANTED,
     )
@@ -472,6 +485,26 @@ def _sql() -> dict[str, str]:
         "src_member",
         ctes=RECORDS,
     )
+    put(
+        "zone_cast_quarantine",
+        f"""SELECT message_id, record_id, concat_ws(';', CASE WHEN bad_b THEN 'balance' END, CASE WHEN bad_n THEN 'nation_key' END) AS failed
+            FROM (SELECT message_id, record_id, balance IS NOT NULL AND {_double('balance')} IS NULL AS bad_b,
+                         nation_key IS NOT NULL AND {_long('nation_key')} IS NULL AS bad_n FROM rec WHERE email IS NOT NULL)
+            WHERE bad_b OR bad_n""",
+        "notif",
+        "src_member",
+        ctes=RECORDS,
+    )
+    put(
+        "batch_incremental_rerun",
+        """SELECT message_id, record_id FROM rec, (SELECT avg(CAST(substr(message_id, 2) AS BIGINT)) AS a FROM rec
+               WHERE CAST(make_timestamp(event_us) AS DATE) = DATE '2024-01-16') x
+           WHERE CAST(make_timestamp(event_us) AS DATE) > DATE '2024-01-16'
+              OR CAST(make_timestamp(event_us) AS DATE) = DATE '2024-01-16' AND CAST(substr(message_id, 2) AS BIGINT) > a""",
+        "notif",
+        "src_member",
+        ctes=RECORDS,
+    )
     q["log_tables"] = _log_tables()
     put("batch_zone_run", KPIS, "notif", "src_member", "run_log", ctes=BATCH)
     put(
@@ -501,6 +534,19 @@ def _sql() -> dict[str, str]:
     )
     put("stream_dedup", "SELECT DISTINCT message_id, payload FROM notif_dup", "notif_dup")
     put("stream_zone_chain", ZONE_ROWS, "notif", "src_member", ctes=RECORDS)
+    for name in ("fetched_rows", "reconcile_diff", "dq_unique"):
+        q[f"{name}_split"] = q[name]
+    put(
+        "notification_bad_bytes",
+        """SELECT message_id, CASE WHEN length(payload) % 3 = 0 OR ids IS NULL THEN 'dead' ELSE 'parsed' END AS went,
+                  CASE WHEN length(payload) % 3 = 0 THEN chr(65533) || payload ELSE payload END AS content FROM note""",
+        "notif",
+        ctes=IDS,
+    )
+    put(
+        "broker_headers",
+        "SELECT CAST(event_id AS VARCHAR) AS kind, user_id || chr(65533) AS raw, event_type AS payload FROM events",
+    )
     return q
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import warnings
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from zoneflow.operators.notify import (
     parse_notifications,
 )
 from zoneflow.operators.quality import DQRule
+from zoneflow.operators.skew import SkewPlan
 from zoneflow.operators.structure import structure_cast
 from zoneflow.plans.batch import run_batch
 from zoneflow.plans.member import member_kpis, refine_members
@@ -41,7 +43,7 @@ from zoneflow.plans.zones import (
 from zoneflow.session import new_run_dir
 from zoneflow.sinks import tables as sink
 from zoneflow.sources import snapshots
-from zoneflow.sources.notifications import read_messages, stream_messages, with_event_time
+from zoneflow.sources.notifications import from_kafka, read_messages, stream_messages, with_event_time
 from zoneflow.sources.tables import SchemaRegistry, apply_schema, read_table
 from zoneflow.streaming import state as stream_state
 from zoneflow.streaming import windows as stream_windows
@@ -119,8 +121,8 @@ def _fetched(spark: SparkSession, sf: str) -> DataFrame:
     return fetch_changes(_messages(spark, sf), load(spark, sf, "src_member"), MEMBER_CONFIG)
 
 
-def _records(spark: SparkSession, sf: str) -> DataFrame:
-    return changed_records(_messages(spark, sf), load(spark, sf, "src_member"), MEMBER_CONFIG)
+def _records(spark: SparkSession, sf: str, view: str = "notif") -> DataFrame:
+    return changed_records(_messages(spark, sf, view), load(spark, sf, "src_member"), MEMBER_CONFIG)
 
 
 def _legacy_members(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,6 +156,33 @@ def dedup_notifications(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def notification_bad_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads with a byte that is no UTF-8 before them go to the dead letters, the others go through."""
+    rows = _messages(spark, sf)
+    broken = F.concat(F.unhex(F.lit("FF")), F.col("payload").cast("binary"))
+    third = F.length("payload") % 3 == 0
+    mixed = rows.withColumn("payload", F.when(third, broken).otherwise(F.col("payload").cast("binary")))
+    good = parse_notifications(mixed, "member").select("message_id", F.lit("parsed").alias("went"), "content")
+    return good.unionByName(dead_letters(mixed, "member").select("message_id", F.lit("dead").alias("went"), "content"))
+
+
+@query
+def broker_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Headers that repeat, have no key or hold invalid bytes."""
+    text = lambda c: F.col(c).cast("string").cast("binary")
+    header = lambda k, v: F.struct(F.lit(k).alias("key"), v.alias("value"))
+    events = load(spark, sf, "events")
+    headers = F.array(
+        header("kind", text("event_type")),
+        header(None, text("user_id")),
+        header("kind", text("event_id")),
+        header("raw", F.concat(text("user_id"), F.unhex(F.lit("C3")))),
+    )
+    records = events.select(headers.alias("headers"), text("event_type").alias("value"))
+    return from_kafka(records).select(attribute("kind").alias("kind"), attribute("raw").alias("raw"), "payload")
+
+
 @query
 def event_time(spark: SparkSession, sf: str) -> DataFrame:
     return with_event_time(_messages(spark, sf)).select(
@@ -198,8 +227,12 @@ def _order_objects(spark: SparkSession, sf: str) -> str:
 
 @query
 def snapshot_listing(spark: SparkSession, sf: str) -> DataFrame:
-    listed = snapshots.list_objects(spark, _order_objects(spark, sf), limit=None)
-    return listed.select(F.regexp_extract("key", r"\.([a-z]+)$", 1).alias("kind"), "length")
+    """One object per status; the first two keys."""
+    path = new_run_dir(spark, "snapshot")
+    lines = load(spark, sf, "aws_order").select("state", F.to_json(F.struct("id", "amount")).alias("value"))
+    lines.repartition("state").write.partitionBy("state").text(path)
+    listed = snapshots.list_objects(spark, path, limit=2)
+    return listed.select(F.regexp_extract("key", r"/(state=[^/]*)/[^/]*$", 1).alias("folder"))
 
 
 @query
@@ -209,19 +242,29 @@ def snapshot_binary_scan(spark: SparkSession, sf: str) -> DataFrame:
     return objects.agg(F.sum(lines).cast("bigint").alias("n_lines"))
 
 
+LEGACY_FIELDS = ("user_id", "user_name", "user_email")
+
+
+def _member_lines(spark: SparkSession, sf: str) -> str:
+    """Legacy members as lines, among lines that are no object: arrays (of objects too), scalars, null, broken ones."""
+    path = new_run_dir(spark, "snapshot")
+    rows = load(spark, sf, "aws_member")
+    line = F.to_json(F.struct(*LEGACY_FIELDS))
+    payload = load(spark, sf, "notif").where(~F.col("payload").startswith("{")).select("payload")
+    more = rows.select(F.explode(F.array(F.concat(F.lit("["), line, F.lit(","), line, F.lit("]")), F.lit("null"), F.lit("7"), F.left(line, F.length(line) - 1))))
+    sink.write_text(rows.select(line).toDF("value").union(payload).union(more), path)
+    return path
+
+
 @query
 def snapshot_jsonl_scan(spark: SparkSession, sf: str) -> DataFrame:
-    path = new_run_dir(spark, "snapshot")
-    good = load(spark, sf, "aws_member").select(F.to_json(F.struct("user_id", "user_name", "user_email")).alias("value"))
-    bad = load(spark, sf, "notif").where(~F.col("payload").startswith("{")).select(F.col("payload").alias("value"))
-    sink.write_text(good.unionByName(bad), path)
-    rows = snapshots.scan_jsonl(spark, path)
-    return rows.select(*[F.try_element_at("row", F.lit(c)).alias(c) for c in ("user_id", "user_name", "user_email")])
+    rows = snapshots.scan_jsonl(spark, _member_lines(spark, sf))
+    return rows.select(*[F.try_element_at("row", F.lit(c)).alias(c) for c in LEGACY_FIELDS])
 
 
 @query
 def snapshot_typed_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return snapshots.scan_jsonl_columns(spark, _order_objects(spark, sf), ["id", "cust", "state", "amount", "prio"])
+    return snapshots.scan_jsonl_columns(spark, _member_lines(spark, sf), LEGACY_FIELDS)
 
 
 @query
@@ -363,6 +406,22 @@ def fetched_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+SPLIT = SkewPlan(factor=0.0, min_rows=2)  # every repeated key is split
+
+
+@query
+def fetched_rows_split(spark: SparkSession, sf: str) -> DataFrame:
+    fetched = lookup_fetch(_parsed(spark, sf), load(spark, sf, "src_member"), skew=SPLIT)
+    return fetched.select(
+        F.col("_notif_message_id").alias("message_id"),
+        F.col("_notif_event_type").alias("event_type"),
+        "record_id",
+        "name",
+        "email",
+        "balance",
+    )
+
+
 @query
 def lookup_semi(spark: SparkSession, sf: str) -> DataFrame:
     return affected_rows(_parsed(spark, sf), load(spark, sf, "src_member")).select("record_id", "name", "email")
@@ -393,6 +452,11 @@ def reconcile_diff(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.column_diff(_members(spark, sf), _legacy_members(spark, sf))
 
 
+@query
+def reconcile_diff_split(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.column_diff(_members(spark, sf), _legacy_members(spark, sf), skew=SPLIT)
+
+
 @query
 def reconcile_diff_orders(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.column_diff(load(spark, sf, "src_order"), _legacy_orders(spark, sf))
@@ -583,6 +647,12 @@ def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
     return _outcome(load(spark, sf, "src_line"), LINE_RULES[3])
 
 
+@query
+def dq_unique_split(spark: SparkSession, sf: str) -> DataFrame:
+    flagged = quality.with_flags(load(spark, sf, "src_line"), [LINE_RULES[3]], SPLIT)
+    return flagged.select("record_id", (F.size("_dq_failed") == 0).alias("passed"))
+
+
 @query
 def dq_unique_legacy(spark: SparkSession, sf: str) -> DataFrame:
     return _outcome(load(spark, sf, "aws_member"), DQRule("unique", ("user_id",)), "user_id")
@@ -635,7 +705,8 @@ def ingest_full_not_notified(spark: SparkSession, sf: str) -> DataFrame:
 def _since_cutoff(spark: SparkSession, sf: str) -> DataFrame:
     log = load(spark, sf, "cdc_log")
     path = new_run_dir(spark, "high_water_mark")
-    sink.write_table(ingest.high_water_mark(log.where(F.expr(f"change_ts < {CUTOFF}"))), path)
+    seen = log.where(F.expr(f"change_ts < {CUTOFF}"))
+    sink.write_table(ingest.high_water_mark(seen), path)
     return ingest.ingest_incremental(log, spark.read.parquet(path))
 
 
@@ -664,13 +735,48 @@ def ingest_transform_structure(spark: SparkSession, sf: str) -> DataFrame:
     return typed.select("record_id", "part_id", "quantity", "price", "discount", "net")
 
 
+def _source(spark: SparkSession, sf: str) -> ingest.Source:
+    return ingest.Source(
+        "member",
+        rows=load(spark, sf, "src_line"),
+        messages=_messages(spark, sf),
+        changes=load(spark, sf, "cdc_log"),
+        mapping=LINE_TYPES,
+        structure_mode="null",
+    )
+
+
 @query
 def ingest_dispatch(spark: SparkSession, sf: str) -> DataFrame:
-    strategies = {
-        "full": lambda: load(spark, sf, "cdc_log"),
-        "incremental": functools.partial(_since_cutoff, spark, sf),
-    }
-    return ingest.ingest(None, strategies).select("record_id", "seq", "op", "amount")
+    store = ingest.MarkStore(spark, new_run_dir(spark, "marks"))
+    source = _source(spark, sf)
+    store.advance("member", source.changes.where(F.expr(f"change_ts < {CUTOFF}")))
+    store.advance("other", source.changes)
+    return ingest.ingest(None, source, store.read("member")).select("record_id", "seq", "op", "amount")
+
+
+@query
+def ingest_dispatch_full(spark: SparkSession, sf: str) -> DataFrame:
+    return ingest.ingest("FullDump", _source(spark, sf)).select("record_id", "part_id", "quantity")
+
+
+@query
+def ingest_dispatch_transform_structure(spark: SparkSession, sf: str) -> DataFrame:
+    return ingest.ingest("transform_structure", _source(spark, sf)).select("record_id", "part_id", "quantity", "price")
+
+
+@query
+def ingest_dispatch_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs by the mark: the second applies only what came after the first."""
+    store, source = ingest.MarkStore(spark, new_run_dir(spark, "marks")), _source(spark, sf)
+    path = new_run_dir(spark, "upsert_target")
+    early = replace(source, changes=source.changes.where(F.expr(f"change_ts < {CUTOFF}")))
+    sink.write_table(ingest.ingest("upsert", early, store.read("member")), path)
+    store.advance("member", early.changes)
+    late = replace(source, target=spark.read.parquet(path))
+    return ingest.ingest("upsert", late, store.read("member")).select(
+        "record_id", "seq", "op", "amount", F.col("_is_deleted").alias("is_deleted")
+    )
 
 
 # ---------------------------------------------------------------- dependencies
@@ -705,9 +811,8 @@ def dependency_prev_day(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def dependency_gate(spark: SparkSession, sf: str) -> DataFrame:
     name = F.when(F.col("event_type") == "view", "users").when(F.col("event_type") == "click", "refined_orders")
-    rows = load(spark, sf, "events").select(
-        "event_id", "value", name.otherwise("orders").alias("table_name"), F.to_date("ts").alias("run_date")
-    )
+    dated = F.when(F.col("event_id") % 50 != 0, F.to_date("ts"))
+    rows = load(spark, sf, "events").select("event_id", "value", name.otherwise("orders").alias("table_name"), dated.alias("run_date"))
     return dependency.gate(rows, DEPENDENCIES, load(spark, sf, "run_log")).select("event_id", "value", "table_name")
 
 
@@ -719,7 +824,7 @@ def _run_member_zones(spark: SparkSession, sf: str) -> ZoneRun:
     sink.write_table(_legacy_members(spark, sf), path)
     legacy = spark.read.parquet(path)
     return run_zones(
-        _records(spark, sf),
+        _records(spark, sf, "notif_dup"),
         MEMBER_CONFIG,
         new_run_dir(spark, "zones"),
         batch_id=0,
@@ -752,6 +857,15 @@ def zone_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def zone_cast_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """What could not be cast is named beside the row in the structure zone."""
+    rows = _run_member_zones(spark, sf).written["structure"]
+    return rows.where(F.size("_cast_failed") > 0).select(
+        F.col("_notif_message_id").alias("message_id"), "record_id", F.array_join("_cast_failed", ";").alias("failed")
+    )
+
+
 @query
 def log_tables(spark: SparkSession, sf: str) -> DataFrame:
     run = _run_member_zones(spark, sf)
@@ -767,18 +881,26 @@ def log_tables(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _run_member_batch(spark: SparkSession, sf: str, root: str) -> dict[str, DataFrame]:
-    def changes() -> DataFrame:
-        rows = structure_cast(_records(spark, sf), {"balance": "string"}, "null")
-        return rows.withColumns({"table_name": F.lit("member"), "run_date": F.to_date("_notif_event_ts")})
+def _member_changes(spark: SparkSession, sf: str) -> DataFrame:
+    return _records(spark, sf, "notif_dup").withColumns(
+        {
+            "table_name": F.lit("member"),
+            "run_date": F.to_date("_notif_event_ts"),
+            "_seq": F.substring("_notif_message_id", 2, 20).cast("bigint"),
+        }
+    )
+
 
+def _run_member_batch(
+    spark: SparkSession, sf: str, root: str, run_id: str = "run-1", changes: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    rows = _member_changes(spark, sf) if changes is None else changes
+    source = ingest.Source("member", changes=rows, change_ts="_notif_event_ts", seq="_seq")
     cfg = MEMBER_CONFIG
     done = load(spark, sf, "run_log").where("table_name = 'users'").withColumn("table_name", F.lit("member"))
     dims = [load(spark, sf, t) for t in ("nation", "region", "orders")]
     hooks = {"refined": lambda df: refine_members(df, *dims), "analytics": member_kpis}
-    return run_batch(
-        spark, cfg, {"incremental": changes}, done, root, "run-1", _legacy_members(spark, sf), hooks
-    )
+    return run_batch(spark, cfg, source, done, root, run_id, _legacy_members(spark, sf), hooks)
 
 
 @query
@@ -786,6 +908,27 @@ def batch_zone_run(spark: SparkSession, sf: str) -> DataFrame:
     return _run_member_batch(spark, sf, new_run_dir(spark, "batch"))["analytics"]
 
 
+MIDDLE_DAY = "2024-01-16 00:00:00"
+
+
+@query
+def batch_incremental_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes are dated by the day only. The second run takes in what the first had not seen, the later half of the
+    changes at the very time of the mark included."""
+    root = new_run_dir(spark, "batch")
+    path = new_run_dir(spark, "changes")
+    sink.write_table(_member_changes(spark, sf), path)
+    rows = spark.read.parquet(path)
+    daily = rows.withColumn("_notif_event_ts", F.date_trunc("day", F.col("_notif_event_ts")))
+    middle = F.lit(MIDDLE_DAY).cast("timestamp")
+    numbers = daily.where(F.col("_notif_event_ts") == middle).agg(F.avg("_seq")).scalar()
+    early = daily.where((F.col("_notif_event_ts") < middle) | ((F.col("_notif_event_ts") == middle) & (F.col("_seq") <= numbers)))
+    _run_member_batch(spark, sf, root, "run-1", early)
+    _run_member_batch(spark, sf, root, "run-2", daily)
+    second = spark.read.parquet(f"{root}/_staged/member/run-2")
+    return second.select(F.col("_notif_message_id").alias("message_id"), "record_id")
+
+
 @query
 def run_complete(spark: SparkSession, sf: str) -> DataFrame:
     root = new_run_dir(spark, "batch")

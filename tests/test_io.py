@@ -147,5 +147,26 @@ def test_config(tmp_path):
 def test_missing_sections_turn_stages_off():
     cfg = parse_config({"domain": "d", "table": "t"})
     assert cfg.rules == () and not cfg.reconcile_enabled and cfg.mapping_schemas == {}
-    with pytest.raises(ValueError, match="Unsupported"):
+    with pytest.raises(ValueError, match="no ingestion mode"):
         parse_config({"domain": "d", "table": "t", "ingestion_type": "magic"})
+
+
+def test_a_later_batch_may_have_more_columns(spark, folder):
+    sink.write_batch(spark.createDataFrame([(1,)], "a int"), folder, 0)
+    sink.write_batch(spark.createDataFrame([(2, "x")], "a int, b string"), folder, 1)
+    assert sorted((r.a, r.b) for r in sink.read_batches(spark, folder).collect()) == [(1, None), (2, "x")]
+
+
+def test_both_snapshot_readers_take_object_lines_only(spark, folder):
+    lines = [' {"id":"1","v":2}', '[{"id":"2"},{"id":"3"}]', "null", "7", '"x"', '{"id":"4"', "", "{}"]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(folder)
+    whole = snapshots.scan_jsonl(spark, folder)
+    typed = snapshots.scan_jsonl_columns(spark, folder, ["id", "v"])
+    assert sorted((r.row for r in whole.collect()), key=len) == [{}, {"id": "1", "v": "2"}]
+    assert sorted(map(tuple, typed.collect()), key=str) == sorted([("1", "2"), (None, None)], key=str)
+
+
+def test_listing_has_no_limit_of_its_own(spark, folder):
+    spark.range(700).repartition(70).write.json(folder)
+    assert snapshots.list_objects(spark, folder).where("key LIKE '%.json'").count() >= 65
+    assert snapshots.list_objects(spark, folder, 3).count() == 3

@@ -106,3 +106,27 @@ def test_broker_headers_become_attributes(spark):
     assert out.columns == ["attributes", "payload"]
     assert parse_notifications(out, "t").first().record_ids == ["7"]
     assert filter_table(out, "t").count() == 1
+
+
+def test_bad_bytes_and_repeated_headers_do_no_harm(spark):
+    header = lambda k, v: (k, bytearray(v))
+    rows = [
+        ([header("table_name", b"x"), header("table_name", b"t"), (None, bytearray(b"n")), header("raw", b"a\xff")], bytearray(b'["7"]')),
+        ([header("table_name", b"t")], bytearray(b'["\xff')),
+        (None, None),
+    ]
+    df = spark.createDataFrame(rows, "headers array<struct<key:string,value:binary>>, value binary")
+    out = from_kafka(df)
+    first = out.first()
+    assert first.attributes == {"table_name": "t", "raw": "a\ufffd"}
+    assert parse_notifications(out, "t").count() == 1
+    assert [r.content for r in dead_letters(out, "t").collect()] == ['["\ufffd']
+    raw = spark.createDataFrame([({"table_name": "t"}, bytearray(b"\xff[]"))], "attributes map<string,string>, payload binary")
+    assert dead_letters(raw, "t").first().content == "\ufffd[]"
+
+
+def test_unreadable_event_time_is_a_dead_letter(spark):
+    rows = [({"table_name": "t", "message_id": m, "event_timestamp": ts}, "[]") for m, ts in (("a", "soon"), ("b", "1000"))]
+    df = spark.createDataFrame([*rows, ({"table_name": "t", "message_id": "c"}, "[]")], MESSAGE_SCHEMA)
+    assert {r.message_id for r in parse_notifications(df, "t").collect()} == {"b", "c"}
+    assert [r.message_id for r in dead_letters(df, "t").collect()] == ["a"]

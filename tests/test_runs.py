@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from zoneflow import session
 from zoneflow.config import ZoneConfig
 from zoneflow.operators.audit import STAGES
 from zoneflow.operators.fetch import lookup_fetch
+from zoneflow.operators.ingest import Source
 from zoneflow.operators.notify import parse_notifications
 from zoneflow.operators.quality import DQRule
 from zoneflow.plans.batch import run_batch
@@ -108,10 +110,55 @@ def test_snapshot_is_renamed_before_it_is_joined(spark, root):
     assert read_snapshot(spark, root, cfg).columns == ["record_id", "name", "email"]
 
 
-def test_batch_run_reports_quality_and_does_not_filter(spark, root):
+def batch_rows(spark, day, seq=1):
+    more = {"table_name": F.lit("t"), "run_date": F.lit(day).cast("date"), "change_ts": F.lit(day).cast("timestamp"), "seq": F.lit(seq)}
+    return records(spark).withColumns(more)
+
+
+def test_batch_runs_take_in_what_is_new(spark, root):
+    source = Source("t", changes=batch_rows(spark, "2024-01-02"))
+    assert run_batch(spark, CFG, source, None, root, "r1")["refined"].count() == 4
+    assert run_batch(spark, CFG, source, None, root, "r2")["refined"].count() == 0
+    later = batch_rows(spark, "2024-01-02", 2).unionByName(batch_rows(spark, "2024-01-02"))
+    assert run_batch(spark, CFG, Source("t", changes=later), None, root, "r3")["refined"].count() == 4
+
+
+def test_batch_is_gated_by_the_log_it_writes(spark, root):
+    cfg = replace(CFG, dependencies={"t": ["snapshot_previous_day"]})
+    second = Source("t", changes=batch_rows(spark, "2024-01-03"))
+    assert run_batch(spark, cfg, second, None, root, "early")["refined"].count() == 0
+    assert run_batch(spark, CFG, Source("t", changes=batch_rows(spark, "2024-01-02")), None, f"{root}/x", "r1")["refined"].count() == 4
+    third = Source("t", changes=batch_rows(spark, "2024-01-03", 9))
+    assert run_batch(spark, cfg, third, None, f"{root}/x", "r2")["refined"].count() == 4
+    undated = batch_rows(spark, "2024-01-03", 10).withColumn("run_date", F.lit(None).cast("date"))
+    assert run_batch(spark, cfg, Source("t", changes=undated), None, f"{root}/x", "r3")["refined"].count() == 0
+
+
+def test_batch_reconciles_without_the_gate_columns(spark, root):
+    cfg = replace(CFG, compare_columns=(), reconcile_enabled=True)
+    legacy = records(spark).select("record_id", "name", "email", "age")
     rows = records(spark).withColumns({"table_name": F.lit("t"), "run_date": F.lit("2024-01-02").cast("date")})
+    changes = rows.withColumns({"_ts": F.lit("2024-01-02").cast("timestamp"), "_n": F.lit(1)})
+    run_batch(spark, cfg, Source("t", changes=changes, change_ts="_ts", seq="_n"), None, root, "r1", legacy)
+    assert read_log(spark, root, RECONCILE_LOG)[0].mismatch_samples == []
+
+
+def test_redelivered_messages_count_once_in_a_batch(spark):
+    message = ({"message_id": "m", "table_name": "t"}, '["1"]')
+    table = spark.createDataFrame([("1", "a")], "record_id string, name string")
+    twice = spark.createDataFrame([message, message], MESSAGE_SCHEMA)
+    assert changed_records(twice, table, CFG).count() == 1
+
+
+def test_malformed_numbers_are_named_beside_the_row(spark, root):
+    rows = run_zones(records(spark).fillna({"email": "e"}), CFG, root, 0).written["structure"]
+    assert {r.record_id: r._cast_failed for r in rows.collect()} == {"1": [], "2": ["age"], "3": []}
+
+
+def test_batch_run_reports_quality_and_does_not_filter(spark, root):
+    rows = batch_rows(spark, "2024-01-02")
     done = spark.createDataFrame([], "table_name string, run_date date, status string")
-    out = run_batch(spark, CFG, {"incremental": lambda: rows}, done, root, "r1")
+    out = run_batch(spark, CFG, Source("t", changes=rows), done, root, "r1")
     assert out["refined"].count() == out["analytics"].count() == 4
     assert read_log(spark, root, QUALITY_LOG)[0].details == '{"n_passed":3,"n_failed":1}'
     assert "pipeline_complete" in spark.read.text(f"{root}/audit-logs/r1").first()[0]

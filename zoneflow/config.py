@@ -28,6 +28,7 @@ class ZoneConfig:
     compare_columns: tuple[str, ...] = ()
     rules: tuple[DQRule, ...] = ()
     structure: Mapping[str, str] = field(default_factory=dict)
+    structure_mode: str = "quarantine"
     dependencies: Mapping[str, list] = field(default_factory=dict)
 
     def dataset(self, zone: str) -> str:
@@ -63,6 +64,7 @@ def parse_config(raw: Mapping[str, Any], domain: str | None = None, table: str |
         compare_columns=tuple(reconciler.get("compare_columns") or ()),
         rules=tuple(rules),
         structure=raw.get("structure") or {},
+        structure_mode=raw.get("structure_mode", "quarantine"),
         dependencies=raw.get("dependencies") or {},
     )
 

@@ -10,8 +10,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.operators.skew import small_side
-
 # The condition name and the status of a finished run.
 SNAPSHOT_PREVIOUS_DAY = "snapshot_previous_day"
 COMPLETE = "SUCCESS"
@@ -86,13 +84,14 @@ def met(wanted: DataFrame, deps: Mapping[str, Sequence], run_log: DataFrame) ->
 def gate(rows: DataFrame, deps: Mapping[str, Sequence], run_log: DataFrame) -> DataFrame:
     """Rows (with ``table_name`` and ``run_date``) whose prerequisites are all met.
 
-    The blocked side holds one row per table and day. It is broadcast after its size is checked,
-    so one busy table and day does not end up in one task.
+    The gate fails closed: a row of a gated table without a date has a prerequisite that no run meets. The blocked side
+    holds one row per table and day; Spark broadcasts it if it is small enough, and splits a busy table and day
+    otherwise. ``rows`` is read twice, so it should be a table, not a computation.
     """
     blocked = (
         unmet(rows, deps, run_log)
         .select(F.col("table_name").alias("_b_table"), F.col("run_date").alias("_b_date"))
         .distinct()
     )
-    condition = (F.col("table_name") == F.col("_b_table")) & (F.col("run_date") == F.col("_b_date"))
-    return rows.join(small_side(blocked), condition, "left_anti")
+    condition = F.col("table_name").eqNullSafe(F.col("_b_table")) & F.col("run_date").eqNullSafe(F.col("_b_date"))
+    return rows.join(blocked, condition, "left_anti")

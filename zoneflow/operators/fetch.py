@@ -58,13 +58,16 @@ def lookup_fetch(
 ) -> DataFrame:
     """Every table row whose id a notification names, once per notification.
 
-    An unknown id gives no row; several table rows with one id are all returned. Ids that are hot
-    among the notifications or in the table are split (``skew``); ``None`` leaves the join to
-    adaptive execution, which is also what a stream-static join gets. ``look_at`` is a random
-    share of the notifications to look for hot ids in.
+    An unknown id gives no row; several table rows with one id are all returned. The batch is reduced to its distinct
+    ids, and these cut the table to the rows named, so nothing but that one pass depends on the table's size.
+    Ids that are hot among the notifications are split (``skew``); ``None`` leaves that to adaptive
+    execution, as is done with ids that are hot in the table. ``look_at`` is a random share of the notifications to look for hot ids in.
     """
     ids = _keyed_ids(notifications, table, id_column)
+    named = ids.select("_id").distinct()
     keyed = _with_key(table, id_column)
+    if not notifications.isStreaming:
+        keyed = keyed.join(named, "_id", "left_semi")
     if look_at is not None:
         look_at = _keyed_ids(look_at, table, id_column)
     fetched = skew_join(
@@ -73,7 +76,6 @@ def lookup_fetch(
         ["_id"],
         "inner",
         spread_by=F.col("_notif_message_id"),
-        spread_right_by=_row_hash(keyed),
         plan=None if notifications.isStreaming else skew,
         look_at=look_at,
         look_at_share=look_at_share,
@@ -81,23 +83,13 @@ def lookup_fetch(
     return _with_record_id(fetched.drop("_id"), table, id_column)
 
 
-def affected_rows(
-    notifications: DataFrame,
-    table: DataFrame,
-    id_column: str = "record_id",
-    skew: SkewPlan | None = DEFAULT_SKEW,
-) -> DataFrame:
-    """Each table row that some notification names, once."""
+def affected_rows(notifications: DataFrame, table: DataFrame, id_column: str = "record_id") -> DataFrame:
+    """Each table row that some notification names, once. The table is read in the join alone; adaptive execution splits its hot ids."""
     ids = _keyed_ids(notifications, table, id_column).select("_id").distinct()
-    keyed = _with_key(table, id_column)
-    touched = skew_join(keyed, ids, ["_id"], "left_semi", spread_by=_row_hash(keyed), plan=skew)
+    touched = _with_key(table, id_column).join(ids, "_id", "left_semi")
     return _with_record_id(touched.drop("_id"), table, id_column)
 
 
-def _row_hash(df: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(f.name) for f in df.schema if not isinstance(f.dataType, T.MapType)])
-
-
 def _with_record_id(df: DataFrame, table: DataFrame, id_column: str) -> DataFrame:
     return df.withColumn("_record_id", record_id(table, id_column))
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zoneflow.operators.cdc import DELETE
 from zoneflow.operators.limits import latest_per_key
@@ -27,7 +29,7 @@ def resolve_mode(name: str | None) -> str:
     """Canonical mode of a configured name in any case."""
     mode = MODES.get((name or DEFAULT_MODE).lower())
     if mode is None:
-        raise ValueError(f"Unsupported ingestion type: {name}")
+        raise ValueError(f"no ingestion mode is called {name!r}; known are {sorted(set(MODES.values()))}")
     return mode
 
 
@@ -39,22 +41,39 @@ def ingest_full(table_rows: DataFrame, messages: DataFrame, table: str) -> DataF
     return table_rows.where(filter_table(messages, table).exists())
 
 
-def ingest_incremental(changes: DataFrame, since: DataFrame | Column | None, change_ts: str = "change_ts") -> DataFrame:
-    """Changes after the high-water mark: a literal (pushed to the scan), a one-row frame, or None.
+def _first_mark(kind: T.DataType) -> Column:
+    """Before every change: the mark of a table that has none yet."""
+    if isinstance(kind, T.NumericType):
+        return F.lit(-(2**31)).cast(kind)
+    return F.lit("0001-01-01 00:00:00" if not isinstance(kind, T.StringType) else "").cast(kind)
 
-    A frame whose mark is null, as before the first run, passes everything.
+
+def ingest_incremental(
+    changes: DataFrame, since: DataFrame | None, change_ts: str = "change_ts", seq: str | None = "seq"
+) -> DataFrame:
+    """Changes after the high-water mark, ``since`` with columns ``high_water_mark`` and ``high_water_seq``.
+
+    Of several marks the greatest counts; None, no mark and a null mark pass everything. Changes with the time of the mark pass if their
+    sequence number is greater, so one that is committed late is not lost; without ``seq`` they all pass again, for an idempotent target.
+    The comparison with the time alone has no alternative beside it, so the scan can skip what is older.
     """
     if since is None:
         return changes
-    if isinstance(since, DataFrame):
-        mark = since.scalar()
-        return changes.where(mark.isNull() | (F.col(change_ts) > mark))
-    return changes.where(F.col(change_ts) > since)
+    kind = changes.schema[change_ts].dataType
+    newest = since.agg(F.coalesce(F.max("high_water_mark").cast(kind), _first_mark(kind)).alias("m")).scalar()
+    after = changes.where(F.col(change_ts) >= newest)
+    if seq is None:
+        return after
+    number = changes.schema[seq].dataType
+    last = since.agg(F.max(F.struct("high_water_mark", "high_water_seq"))["high_water_seq"].cast(number).alias("s")).scalar()
+    return after.where((F.col(change_ts) > newest) | F.coalesce(F.col(seq) > last, F.lit(True)))
 
 
-def high_water_mark(changes: DataFrame, change_ts: str = "change_ts") -> DataFrame:
-    """One row with the newest change time, to be stored for the next run."""
-    return changes.agg(F.max(change_ts).alias("high_water_mark"))
+def high_water_mark(changes: DataFrame, change_ts: str = "change_ts", seq: str | None = "seq") -> DataFrame:
+    """One row with the newest change's time and sequence number, to be stored for the next run."""
+    number = F.col(seq) if seq else F.lit(None).cast("bigint")
+    newest = changes.agg(F.max(F.struct(F.col(change_ts).alias("t"), number.alias("s"))).alias("m"))
+    return newest.select(F.col("m.t").alias("high_water_mark"), F.col("m.s").alias("high_water_seq"))
 
 
 def ingest_upsert(
@@ -67,36 +86,15 @@ def ingest_upsert(
     """The target with the newest change of each key applied; a delete leaves a tombstone.
 
     ``target`` holds one row per key (null is a key too) with the columns of ``delta`` and
-    ``_is_deleted``. A change
-    older than the target row is ignored, so applying a delta twice or out of order changes
-    nothing. The delta is reduced to one row per key first; when it is small the target is not
-    shuffled.
+    ``_is_deleted``. A change older than the target row is ignored, so applying a delta twice or out of order changes
+    nothing. Both sides meet in one shuffle: the newest row of a key is found within the input tasks first.
     """
-    keys = list(keys)
-    newest = latest_per_key(delta, keys, order).withColumn("_is_deleted", F.col(op_column).eqNullSafe(F.lit(DELETE)))
+    newest = delta.withColumn("_is_deleted", F.col(op_column).eqNullSafe(F.lit(DELETE)))
     if target is None:
-        return newest
-    columns = newest.columns
-    row = F.struct(*columns)
-    incoming = newest.select(*[F.col(k).alias(f"_in_{k}") for k in keys], row.alias("_in"))
-    current = target.select(*keys, row.alias("_cur"))
-    same_key = _all_equal(keys)
-    newer = F.struct(*[F.col(f"_in.{c}") for c in order]) > F.struct(*[F.col(f"_cur.{c}") for c in order])
-    kept = (
-        current.join(incoming, same_key, "left")
-        .select(F.when(F.col("_in").isNotNull() & newer, F.col("_in")).otherwise(F.col("_cur")).alias("_row"))
-        .select("_row.*")
-    )
-    touched = target.select(*keys).join(incoming.drop("_in"), same_key, "left_semi")
-    added = incoming.join(touched, same_key, "left_anti").select("_in.*")
-    return kept.unionByName(added)
-
-
-def _all_equal(keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_in_{k}"))
-    return condition
+        return latest_per_key(newest, keys, order)
+    # at equal order the target's row stays
+    rows = newest.withColumn("_of_target", F.lit(0)).unionByName(target.select(*newest.columns, F.lit(1).alias("_of_target")))
+    return latest_per_key(rows, keys, [*order, "_of_target"]).drop("_of_target")
 
 
 def ingest_transform_structure(
@@ -110,6 +108,60 @@ def ingest_transform_structure(
     return typed.withColumns(dict(enrich)) if enrich else typed
 
 
-def ingest(mode: str | None, strategies: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
-    """Run the strategy that ``mode`` names; only that one is built."""
-    return strategies[resolve_mode(mode)]()
+@dataclass(frozen=True)
+class Source:
+    """What a table's ingestion reads: its rows, the messages that name it, its change log, the target kept so far.
+
+    ``mapping`` and ``enrich`` are for ``transform_structure``."""
+
+    table: str
+    rows: DataFrame | None = None
+    messages: DataFrame | None = None
+    changes: DataFrame | None = None
+    target: DataFrame | None = None
+    keys: Sequence[str] = ("record_id",)
+    change_ts: str = "change_ts"
+    seq: str = "seq"
+    mapping: Mapping[str, str] | None = None
+    structure_mode: str = "quarantine"
+    enrich: Mapping[str, Column] | None = None
+
+
+def ingest(mode: str | None, source: Source, since: DataFrame | None = None) -> DataFrame:
+    """The rows that the strategy named by ``mode`` takes in. ``since`` is the table's mark; the strategies that read the
+    change log take what comes after it."""
+    mode = resolve_mode(mode)
+    if mode == "full":
+        return ingest_full(source.rows, source.messages, source.table)
+    if mode == "transform_structure":
+        return ingest_transform_structure(source.rows, source.mapping or {}, source.structure_mode, source.enrich)
+    changes = ingest_incremental(source.changes, since, source.change_ts, source.seq)
+    if mode == "incremental":
+        return changes
+    return ingest_upsert(changes, source.target, list(source.keys), [source.change_ts, source.seq])
+
+
+class MarkStore:
+    """High-water marks by table, appended run by run; the greatest of a table counts."""
+
+    SCHEMA = "table_name string, high_water_mark timestamp_ntz, high_water_seq bigint"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def read(self, table: str) -> DataFrame | None:
+        """Marks of ``table``; None before the first run of any table."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop):
+            return None
+        return self.spark.read.schema(self.SCHEMA).parquet(self.path).where(F.col("table_name") == table)
+
+    def advance(self, table: str, changes: DataFrame, change_ts: str = "change_ts", seq: str = "seq") -> None:
+        """Store the mark of ``changes``; to be called when they are safely written. No changes, no mark."""
+        mark = high_water_mark(changes, change_ts, seq).where("high_water_mark IS NOT NULL")
+        row = mark.select(
+            F.lit(table).alias("table_name"),
+            F.col("high_water_mark").cast("timestamp_ntz").alias("high_water_mark"),
+            F.col("high_water_seq").cast("bigint").alias("high_water_seq"),
+        )
+        row.coalesce(1).write.mode("append").parquet(self.path)

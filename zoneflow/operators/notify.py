@@ -21,6 +21,11 @@ def attribute(name: str) -> Column:
     return F.try_element_at(F.col("attributes"), F.lit(name))
 
 
+def utf8_text(payload: Column) -> Column:
+    """Bytes or text as valid text; bytes that are no UTF-8 become replacement characters."""
+    return F.make_valid_utf8(payload.cast("binary").cast("string"))
+
+
 def filter_table(messages: DataFrame, table: str) -> DataFrame:
     """Messages whose ``table_name`` attribute is ``table``; a missing attribute drops the message."""
     return messages.where(attribute("table_name") == F.lit(table))
@@ -56,12 +61,14 @@ def with_payload_ids(df: DataFrame) -> DataFrame:
 
 
 def _well_formed(ids: Column) -> Column:
-    """Array of ``ids`` itself, empty when they are null or hold a null."""
-    return F.filter(F.array(ids), lambda i: i.isNotNull() & ~F.exists(i, lambda x: x.isNull()))
+    """Array of ``ids`` itself, empty when they are null or hold a null, or when the event time could not be read."""
+    return F.filter(
+        F.array(ids), lambda i: i.isNotNull() & ~F.exists(i, lambda x: x.isNull()) & F.col("event_ts").isNotNull()
+    )
 
 
 def _fields(messages: DataFrame, table: str) -> DataFrame:
-    content = F.decode(F.col("payload").cast("binary"), "UTF-8")
+    content = utf8_text(F.col("payload"))
     return (
         filter_table(messages, table)
         .withColumn("content", content)
@@ -72,7 +79,9 @@ def _fields(messages: DataFrame, table: str) -> DataFrame:
             ).alias("message_id"),
             F.coalesce(attribute("event_type"), F.lit(DEFAULT_EVENT_TYPE)).alias("event_type"),
             F.lit(table).alias("table_name"),
-            F.coalesce(event_time(attribute("event_timestamp")), F.current_timestamp()).alias("event_ts"),
+            F.when(attribute("event_timestamp").isNull(), F.current_timestamp())
+            .otherwise(event_time(attribute("event_timestamp")))
+            .alias("event_ts"),
             F.col("content"),
         )
     )
@@ -95,7 +104,7 @@ def parse_notifications(messages: DataFrame, table: str) -> DataFrame:
 
 
 def dead_letters(messages: DataFrame, table: str) -> DataFrame:
-    """Notifications of ``table`` whose payload names no usable ids, with the payload kept whole."""
+    """Notifications of ``table`` whose payload names no usable ids or whose event time is unreadable, with the payload kept whole."""
     parsed = with_payload_ids(_fields(messages, table))
     return parsed.where(F.size(_well_formed(F.col("_ids"))) == 0).drop("_ids")
 

@@ -26,7 +26,7 @@ RANGE = "range"
 UNIQUE = "unique"
 VALID_EMAIL = "valid_email"
 DEFAULT_PATTERN = ".*"
-EMAIL_PATTERN = r"[^@\s]+@[^@\s]+\.[a-z]+"
+EMAIL_PATTERN = r"[^@\s]+@[^@\s]+\.[A-Za-z0-9-]{2,}"
 
 
 @dataclass(frozen=True)

@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.config import ZoneConfig
 from zoneflow.operators.audit import completion_event, dq_log, to_audit_json
-from zoneflow.operators.dependency import gate
-from zoneflow.operators.ingest import ingest
+from zoneflow.operators.dependency import COMPLETE, gate
+from zoneflow.operators.ingest import MarkStore, Source, ingest, resolve_mode
 from zoneflow.operators.quality import with_flags
 from zoneflow.operators.reconcile import column_diff, compared_columns, reconcile_log, variant_counts
-from zoneflow.plans.zones import QUALITY_LOG, RECONCILE_LOG, Hook
+from zoneflow.plans.zones import PIPELINE_LOG, QUALITY_LOG, RECONCILE_LOG, Hook
 from zoneflow.sinks.tables import write_log, write_table, write_text
 
+# The columns a gated row carries.
+GATE_COLUMNS = ("table_name", "run_date")
+
 
 def run_batch(
     spark: SparkSession,
     cfg: ZoneConfig,
-    strategies: Mapping[str, Callable[[], DataFrame]],
-    run_log: DataFrame,
+    source: Source,
+    run_log: DataFrame | None,
     root: str,
     run_id: str,
     snapshot: DataFrame | None = None,
@@ -29,19 +32,28 @@ def run_batch(
 ) -> dict[str, DataFrame]:
     """Run the configured ingestion through to the refined and analytics outputs.
 
-    Quality and reconciliation report on the rows and do not filter them. Rows must carry
-    ``table_name`` and ``run_date`` for the dependency gate. Returns the written outputs.
+    The mode decides what is taken in; for the modes that read the change log the table's mark says from where, and it
+    moves on when all outputs are written. What was taken in is written first and then gated, so it is computed once. Gated rows carry ``table_name`` and
+    ``run_date``; the day's completion goes to the pipeline log, which is also the run log if none is given.
+    Quality and reconciliation report on the rows and do not filter them. Returns the written outputs.
     """
     hooks = hooks or {}
+    marks = MarkStore(spark, f"{root}/{cfg.dataset('framework')}/high_water_marks")
+    by_log = resolve_mode(cfg.ingestion_type) in ("incremental", "upsert")
+    taken = f"{root}/_staged/{cfg.table}/{run_id}"
+    write_table(ingest(cfg.ingestion_type, source, marks.read(cfg.table) if by_log else None), taken)
     staged = f"{root}/{cfg.dataset('structure')}/{cfg.table}/{run_id}"
-    rows = gate(ingest(cfg.ingestion_type, strategies), cfg.dependencies, run_log)
+    done = run_log if run_log is not None else read_run_log(spark, cfg.log_path(root, PIPELINE_LOG))
+    rows = gate(spark.read.parquet(taken), cfg.dependencies, done) if cfg.dependencies else spark.read.parquet(taken)
     write_table(with_flags(rows, cfg.rules), staged)
     flagged = spark.read.parquet(staged)
     rows = flagged.drop("_dq_failed")
 
     if cfg.reconcile_enabled and snapshot is not None:
         tags = {"zone": F.lit("raw"), "table_name": F.lit(cfg.table)}
-        columns = list(cfg.compare_columns) or compared_columns(rows, snapshot, cfg.id_column)
+        # the gate's columns say when a run was, the snapshot knows nothing of them
+        data = rows.drop(*[c for c in GATE_COLUMNS if c not in snapshot.columns])
+        columns = list(cfg.compare_columns) or compared_columns(data, snapshot, cfg.id_column)
         counts = variant_counts(rows, snapshot, cfg.id_column).withColumns(tags)
         diffs = column_diff(rows, snapshot, cfg.id_column, columns).withColumns(tags)
         log = reconcile_log(
@@ -65,4 +77,20 @@ def run_batch(
 
     event = completion_event(outputs, cfg.domain, cfg.ingestion_type)
     write_text(to_audit_json(event), f"{root}/audit-logs/{run_id}")
+    if set(GATE_COLUMNS) <= set(rows.columns):
+        days = rows.select(*GATE_COLUMNS).distinct().withColumns(
+            {"pipeline_name": F.lit(f"{cfg.domain}_{run_id}"), "domain": F.lit(cfg.domain), "zone": F.lit("analytics"), "status": F.lit(COMPLETE)}
+        )
+        write_log(days, cfg.log_path(root, PIPELINE_LOG), run_id)
+    if by_log:
+        marks.advance(cfg.table, spark.read.parquet(taken), source.change_ts, source.seq)
     return outputs
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """(table_name, run_date, status) of the pipeline log; empty before the first run."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return spark.createDataFrame([], "table_name string, run_date date, status string")
+    schema = "table_name string, run_date date, status string"
+    return spark.read.schema(schema).parquet(path).select("table_name", "run_date", "status").where("run_date IS NOT NULL")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from zoneflow.functions.casts import to_double, to_long
 from zoneflow.operators.cdc import DELETE
-from zoneflow.operators.skew import skew_join, small_side
+from zoneflow.operators.skew import skew_join
 
 
 def order_totals(orders: DataFrame) -> DataFrame:
@@ -28,7 +28,8 @@ def refine_members(members: DataFrame, nation: DataFrame, region: DataFrame, ord
     """Members with nation, region, order totals and derived attributes; every member row stays.
 
     Orders are reduced to one row per customer before the join, and a member with very many rows
-    is split. Nation and region are joined together first; the size of that side is checked.
+    is split. Nation and region are joined together first; Spark broadcasts that side if it is small enough, and
+    splits a busy nation's rows otherwise.
     """
     places = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").cast("bigint").alias("_nation"), F.col("n_name"), F.col("r_name")
@@ -36,7 +37,7 @@ def refine_members(members: DataFrame, nation: DataFrame, region: DataFrame, ord
     keyed = members.withColumn("_order_member", F.col("record_id"))
     spent = skew_join(keyed, order_totals(orders), ["_order_member"], "left", spread_by=_spread(members))
     joined = spent.withColumn("_member_nation", to_long(F.col("nation_key"))).join(
-        small_side(places), F.col("_member_nation") == F.col("_nation"), "left"
+        places, F.col("_member_nation") == F.col("_nation"), "left"
     )
     balance = to_double(F.col("balance"))
     amount = F.when(F.isnan(balance), None).otherwise(balance)

@@ -19,7 +19,7 @@ from zoneflow.operators.audit import audit_log, dq_log, stage_counts
 from zoneflow.operators.cdc import ZONES, cdc_classify, raw_rows, tag_zone
 from zoneflow.operators.fetch import lookup_fetch
 from zoneflow.operators.mapping import map_schema
-from zoneflow.operators.notify import parse_notifications
+from zoneflow.operators.notify import dedup_messages, parse_notifications
 from zoneflow.operators.quality import passed, quarantined, with_flags
 from zoneflow.operators.reconcile import column_diff, compared_columns, reconcile_log, variant_counts
 from zoneflow.operators.structure import structure_cast
@@ -69,9 +69,11 @@ def fetch_changes(messages: DataFrame, table_rows: DataFrame, cfg: ZoneConfig) -
     )
 
 
-def changed_records(messages: DataFrame, table_rows: DataFrame, cfg: ZoneConfig) -> DataFrame:
-    """Notifications to classified change records."""
-    return cdc_classify(fetch_changes(messages, table_rows, cfg), table=cfg.table)
+def changed_records(messages: DataFrame, table_rows: DataFrame, cfg: ZoneConfig, deduped: bool = False) -> DataFrame:
+    """Notifications to classified change records. A redelivered message counts once; ``deduped`` says that it
+    was taken care of already, as on a stream."""
+    once = messages if deduped else dedup_messages(messages)
+    return cdc_classify(fetch_changes(once, table_rows, cfg), table=cfg.table)
 
 
 def read_snapshot(spark: SparkSession, prefix: str, cfg: ZoneConfig) -> DataFrame:
@@ -85,7 +87,7 @@ def _transform(zone: str, cfg: ZoneConfig, hooks: Mapping[str, Hook]) -> Hook:
     if zone in hooks:
         return hooks[zone]
     if zone == "structure":
-        return lambda df: structure_cast(df, cfg.structure, "null")
+        return lambda df: structure_cast(df, cfg.structure, cfg.structure_mode)
     return lambda df: df
 
 
@@ -152,7 +154,7 @@ def _write_logs(
         write_log(quality, cfg.log_path(run.root, QUALITY_LOG), run.batch_id)
     compared = {zone: rows for zone, rows in written.items() if zone in snapshots}
     if compared:
-        log = _reconcile(compared, snapshots, cfg, bounds, window_seconds is not None)
+        log = _reconcile(compared, snapshots, cfg, bounds, window_seconds is not None, run.root, run.batch_id)
         write_log(log, cfg.log_path(run.root, RECONCILE_LOG), run.batch_id)
 
 
@@ -162,16 +164,35 @@ def _in_zone(df: DataFrame, zone: str, kept: list[str]) -> DataFrame:
     return df.select(*texts, *[c for c in kept if c in df.columns], F.lit(zone).alias("_zone"))
 
 
+def _legacy_of(
+    records: DataFrame, snapshots: Mapping[str, DataFrame], cfg: ZoneConfig, path: str, batch_id: int | str
+) -> DataFrame:
+    """The legacy rows of the batch's ids, by zone, written once. Zones that share a snapshot share its scan."""
+    shared: dict[int, tuple[DataFrame, list[str]]] = {}
+    for zone, snapshot in snapshots.items():
+        shared.setdefault(id(snapshot), (snapshot, []))[1].append(zone)
+    ids = records.select(F.col(cfg.id_column).alias("_batch_record")).distinct()
+    parts = []
+    for snapshot, zones in shared.values():
+        texts = [F.col(c).cast("string").alias(c) for c in snapshot.columns if not c.startswith("_")]
+        named = snapshot.select(*texts).join(ids, F.col(cfg.id_column) == F.col("_batch_record"), "left_semi")
+        parts.append(named.withColumn("_zone", F.explode(F.array(*(F.lit(z) for z in zones)))))
+    return write_batch(_union(parts), path, batch_id)
+
+
 def _reconcile(
     rows: Mapping[str, DataFrame],
     snapshots: Mapping[str, DataFrame],
     cfg: ZoneConfig,
     bounds: list[str],
     windowed: bool,
+    root: str,
+    batch_id: int | str,
 ) -> DataFrame:
-    """Log rows of all zones at once: records and snapshot rows are matched within their zone."""
+    """Log rows of all zones at once: records and snapshot rows are matched within their zone. Everything after
+    the one pass that cuts the snapshots to the batch's ids costs what the batch costs."""
     records = _union([_in_zone(df, zone, bounds) for zone, df in rows.items()])
-    legacy = _union([_in_zone(snapshots[zone], zone, []) for zone in rows])
+    legacy = _legacy_of(records, {zone: snapshots[zone] for zone in rows}, cfg, f"{root}/_staged/legacy", batch_id)
     columns = list(cfg.compare_columns) or compared_columns(records.drop(*bounds), legacy, cfg.id_column)
     carry = bounds if windowed else []
     counts = variant_counts(records, legacy, cfg.id_column, carry, ["_zone"])

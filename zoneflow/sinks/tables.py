@@ -31,8 +31,8 @@ def write_batch(df: DataFrame, path: str, batch_id: int | str) -> DataFrame:
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """All batches of a table; ``_batch_id`` is a partition column."""
-    return spark.read.parquet(path)
+    """All batches of a table; ``_batch_id`` is a partition column. A batch may have more columns than those before it."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def write_log(rows: DataFrame, path: str, batch_id: int | str, created_at: Column | None = None) -> None:

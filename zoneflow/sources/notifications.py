@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zoneflow.operators.notify import attribute, event_time
+from zoneflow.operators.notify import attribute, event_time, utf8_text
 from zoneflow.operators.windows import ALLOWED_LATENESS
 
 MESSAGE_SCHEMA = T.StructType(
@@ -43,13 +43,21 @@ def kafka_messages(spark: SparkSession, options: dict[str, str], stream: bool =
 
 
 def from_kafka(records: DataFrame) -> DataFrame:
-    """``headers array<struct<key,value>>, value`` to attributes and payload."""
+    """``headers array<struct<key,value>>, value`` to attributes and payload.
+
+    Brokers allow a header to repeat and to hold any bytes: the last one of a key counts, one without a key is left out, and
+    invalid bytes are replaced.
+    """
     entries = F.transform(
-        F.coalesce("headers", F.array().cast("array<struct<key:string,value:binary>>")),
-        lambda h: F.struct(h["key"].alias("key"), F.decode(h["value"], "UTF-8").alias("value")),
+        F.filter(
+            F.coalesce("headers", F.array().cast("array<struct<key:string,value:binary>>")), lambda h: h["key"].isNotNull()
+        ),
+        lambda h: F.struct(h["key"].alias("key"), utf8_text(h["value"]).alias("value")),
     )
-    return records.select(
-        F.map_from_entries(entries).alias("attributes"), F.decode("value", "UTF-8").alias("payload")
+    keys = F.transform("_entries", lambda e: e["key"])
+    last = F.filter("_entries", lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+    return records.select(entries.alias("_entries"), utf8_text(F.col("value")).alias("payload")).select(
+        F.map_from_entries(last).alias("attributes"), "payload"
     )
 
 

@@ -10,11 +10,10 @@ from pyspark.sql import types as T
 
 from zoneflow.operators.limits import top_n
 
-LIST_LIMIT = 64  # fixed value: default number of keys of a listing
 
-
-def list_objects(spark: SparkSession, prefix: str, limit: int | None = LIST_LIMIT) -> DataFrame:
-    """``key, length, modified`` of the objects under ``prefix`` in key order; contents are not read."""
+def list_objects(spark: SparkSession, prefix: str, limit: int | None = None) -> DataFrame:
+    """``key, length, modified`` of the objects under ``prefix``, the first ``limit`` in key order if one is given;
+    contents are not read."""
     objects = _binary(spark, prefix).select(
         F.col("path").alias("key"), "length", F.col("modificationTime").alias("modified")
     )
@@ -55,16 +54,13 @@ def scan_jsonl(spark: SparkSession, prefix: str, max_lines_per_object: int | Non
 def scan_jsonl_columns(
     spark: SparkSession, prefix: str, columns: Sequence[str], max_lines_per_object: int | None = None
 ) -> DataFrame:
-    """The same lines as text columns. Without a line limit the JSON reader parses only ``columns``."""
+    """The same lines as text columns. Without a line limit only ``columns`` are parsed."""
     if max_lines_per_object is not None:
         rows = scan_jsonl(spark, prefix, max_lines_per_object)
         return rows.select(*[F.try_element_at("row", F.lit(c)).alias(c) for c in columns])
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_corrupt"]])
-    rows = (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("recursiveFileLookup", "true")
-        .json(prefix)
-    )
-    return rows.where(F.col("_corrupt").isNull()).drop("_corrupt")
+    lines = spark.read.option("recursiveFileLookup", "true").text(prefix)
+    # the JSON reader would take an array for as many rows; here, as above, a line is an object or nothing
+    objects = lines.where(F.ltrim("value", F.lit(" \t\r\n")).startswith("{"))
+    parsed = objects.select(F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
+    return parsed.where(F.col("r").isNotNull() & F.col("r._corrupt").isNull()).select(*[F.col(f"r.{c}").alias(c) for c in columns])

@@ -22,7 +22,7 @@ def zone_stream(
     cfg: ZoneConfig,
     root: str,
     checkpoint: str,
-    snapshots: Mapping[str, DataFrame] | None = None,
+    snapshots: Mapping[str, DataFrame] | Callable[[], Mapping[str, DataFrame]] | None = None,
     hooks: Mapping[str, Hook] | None = None,
     window_seconds: int | None = 1,
     redelivery: str = REDELIVERY,
@@ -32,8 +32,8 @@ def zone_stream(
 
     Redelivery is judged by arrival time, so a message with an old event time still gets through.
 
-    ``table_rows`` is called per batch, so every batch fetches the rows as they are then. A batch
-    replaces its own output folders, so running it again leaves the same rows.
+    ``table_rows`` is called per batch, so every batch fetches the rows as they are then; ``snapshots`` may be a call too,
+    which sees snapshot objects that arrive later. A batch replaces its own output folders, so running it again leaves the same rows.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -41,8 +41,9 @@ def zone_stream(
         try:
             if batch.isEmpty():  # such as the batch that only moves the watermark
                 return
-            records = changed_records(batch, table_rows(), cfg)
-            run_zones(records, cfg, root, batch_id, snapshots, hooks, window_seconds)
+            records = changed_records(batch, table_rows(), cfg, deduped=True)
+            legacy = snapshots() if callable(snapshots) else snapshots
+            run_zones(records, cfg, root, batch_id, legacy, hooks, window_seconds)
         finally:
             batch.unpersist()
 
