@@ -25,6 +25,7 @@ PROSE = "The old house at the end of the road was sold in the spring, and it is
         (f"<header><p>{PROSE}</p></header><div><h2>Head</h2><p>{PROSE}</p><p>short</p><p>{PROSE}</p></div><div>foot</div>", f"Head\n{PROSE}\nshort\n{PROSE}\nfoot"),
         (f'<div><p>{PROSE}</p><p><a href="x">{PROSE}</a></p></div>', PROSE),
         ('<article><p hidden>no</p><p style="display: none">no</p><p>yes</p></article>', "yes"),
+        (f'<article><p>a</p><p><a href="x">{PROSE}</a></p><ul><li><a href="y">menu</a></li><li>item <a href="z">z</a></li></ul></article>', f"a\n{PROSE}\nitem z"),
         ("<article><p>a < b and 3 > 2</p></article>", "a < b and 3 > 2"),
         ("<article><p>cut off</p><p", "cut off"),
         ('<article><p title="a > b">x</p><p title="unclosed>y</p></article>', "x\ny"),

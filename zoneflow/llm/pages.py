@@ -83,6 +83,7 @@ class Block:
     region: int  # 0: outside the article
     boilerplate: bool
     heading: bool
+    item: bool  # of a list
     label: int = OPEN
 
 
@@ -112,8 +113,8 @@ def blocks(html: str) -> list[Block]:
         text = _SPACE.sub(" ", unescape("".join(pieces))).strip()
         if text:
             inside = _SPACE.sub(" ", unescape("".join(linked))).strip()
-            _, boiler, region = stack[-1] if stack else ("", False, 0)
-            out.append(Block(text, len(inside), region, boiler, heading))
+            name, boiler, region = stack[-1] if stack else ("", False, 0)
+            out.append(Block(text, len(inside), region, boiler, heading, name == "li"))
         pieces.clear()
         linked.clear()
 
@@ -168,7 +169,9 @@ def _first_pass(block: Block) -> int:
         return BOILER
     length = len(block.text)
     if block.linked > MOST_LINKS * length:
-        return OPEN if block.region and length < SHORT else BOILER
+        # within the article, what is a link throughout is a menu only as an item of a list; it says nothing of its neighbours
+        block.boilerplate = bool(block.region) and block.item and block.linked == length
+        return OPEN if block.region and not block.boilerplate else BOILER
     if length < SHORT:
         return OPEN
     words = [w.lower() for w in _WORD.findall(block.text)]
