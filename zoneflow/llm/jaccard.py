@@ -36,7 +36,7 @@ from zoneflow.llm.shingles import shingle_set, similar
 
 #: A shingle of more documents than this comes late in the order (a chunk's count is kept in one byte).
 OFTEN = 128
-CHUNK_SHINGLES = 1_500_000
+CHUNK_SHINGLES = 500_000
 SHINGLES_A_BUCKET = 500_000
 
 
@@ -169,13 +169,17 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
 
 
 def _places_fit(a: Column, b: Column, percent: int) -> Column:
-    """From a shared shingle at these places: what precedes it and what follows it can still make the overlap."""
-    most = F.least(a["pos"], b["pos"]) + 1 + F.least(a["n"] - a["pos"], b["n"] - b["pos"]) - 1
-    return (100 + percent) * most >= percent * (a["n"] + b["n"])
+    """Sets of these sizes must share ``percent / (100 + percent)`` of their summed sizes, so one shared shingle at least
+    stands where that many still can follow in both: in their prefixes for each other's size."""
+    return (100 + percent) * F.least(a["n"] - a["pos"], b["n"] - b["pos"]) >= percent * (a["n"] + b["n"])
 
 
 class _Join:
-    """The written tables of one join: nodes (node, doc_id, n, grp), texts, index (shingle, entry(grp, n, pos))."""
+    """The written tables of one join: nodes (node, doc_id, n, grp), texts, index (shingle, entry(first, n, pos, grp)).
+
+    The least entry of a shingle is that with the fewest shingles of its own: of a family of copies, the original or
+    what is nearest to it, to which most of the others link.
+    """
 
     def __init__(self, prefixes: DataFrame, size: int, percent: int):
         self.size, self.percent = size, percent
@@ -187,7 +191,7 @@ class _Join:
         groups = members.select("grp", "n", "first", "shingles").dropDuplicates(["grp"])
         self.index = written(
             groups.select("grp", "n", "first", F.posexplode("shingles").alias("i", "shingle")).select(
-                "shingle", F.struct("grp", "n", (F.col("first") + F.col("i")).alias("pos")).alias("entry")
+                "shingle", F.struct("first", "n", (F.col("first") + F.col("i")).alias("pos"), "grp").alias("entry")
             ),
             "index",
         )
@@ -209,8 +213,10 @@ class _Join:
             .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         )
         ranged = self.index.join(ranges.withColumnRenamed("grp", "g"), F.col("entry.grp") == F.col("g")).drop("g")
-        opened = (
-            ranged.groupBy("shingle").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l < h").select("shingle")
+        # written, so that the join is one of two shuffles and a common shingle's rows can be split
+        opened = written(
+            ranged.groupBy("shingle").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l < h").select("shingle"),
+            "open-shingles",
         )
         return written(ranged.join(opened, "shingle"), "open-index")
 
@@ -223,8 +229,11 @@ class _Join:
             apart = F.col("x.grp") < F.col("y.grp")
         else:
             best = leader(F.struct("entry", "low", "high")).alias("lead")
-            right = rows.groupBy("shingle").agg(best).select(
-                "shingle", F.col("lead.entry").alias("y"), F.col("lead.low").alias("yl"), F.col("lead.high").alias("yh")
+            right = written(
+                rows.groupBy("shingle").agg(best).select(
+                    "shingle", F.col("lead.entry").alias("y"), F.col("lead.low").alias("yl"), F.col("lead.high").alias("yh")
+                ),
+                "leaders",
             )
             apart = F.col("x.grp") != F.col("y.grp")
         x, y = F.col("x"), F.col("y")
@@ -232,9 +241,14 @@ class _Join:
         group_pairs = (
             left.join(right, (left["shingle"] == right["shingle"]) & apart & ~one_label)
             .where(_sizes_fit(x["n"], y["n"], self.percent) & _places_fit(x, y, self.percent))
-            .select(F.col("x.grp").alias("g"), F.col("y.grp").alias("h"))
-            .distinct()
+            .groupBy(F.col("x.grp").alias("g"), F.col("y.grp").alias("h"))
+            .agg(F.count(F.lit(1)).alias("common"))
         )
+        if leader is None:
+            group_pairs = group_pairs.select("g", "h")
+        else:  # of its shingles' leaders, a group tries the one with which it shares most
+            nearest = F.max(F.struct("common", "h"))["h"]
+            group_pairs = group_pairs.groupBy("g").agg(nearest.alias("h"))
         within = self.nodes.groupBy("grp").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("grp").alias("g"), F.col("grp").alias("h"))
         node = self.nodes.join(labels, "node", "left").select("node", "grp", F.coalesce("label", "node").alias("label"))
         xs = node.select(F.col("grp").alias("g"), F.col("node").alias("p"), F.col("label").alias("pl"))
@@ -313,10 +327,11 @@ def one_of_each(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("__rows")),
         "kept",
     )
+    # a table of its own, whose size the planner knows: it is empty unless ids repeat, and then the documents need no second shuffle
+    several = written(kept.where("__rows > 1"), "kept-several")
     same = docs["doc_id"].eqNullSafe(F.col("__kept"))
     once = docs.join(kept.where("__rows = 1"), same, "left_semi")
-    repeated = docs.join(kept.where("__rows > 1"), same, "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated)
+    return once.unionByName(docs.join(several, same, "left_semi").dropDuplicates(["doc_id"]))
 
 
 SQL = r"""
