@@ -520,6 +520,12 @@ def _sql() -> dict[str, str]:
     # streams
     put("stream_windowed_append", HOURS_CLOSED.format(where=""))
     put("stream_early_update", HOURS.format(where=""))
+    put(
+        "stream_sliding_append",
+        """SELECT CAST(w AS VARCHAR) AS window_start, event_type, count(*) AS n
+           FROM (SELECT time_bucket(INTERVAL 20 MINUTE, ts) - k * INTERVAL 20 MINUTE AS w, event_type FROM events, range(3) t(k))
+           GROUP BY w, event_type HAVING w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 5 MINUTE""",
+    )
     put("late_data_filter", HOURS_CLOSED.format(where=f"WHERE NOT ({LATE})"))
     put(
         "stream_discarding_panes",

@@ -981,6 +981,20 @@ def stream_windowed_append(spark: SparkSession, sf: str) -> DataFrame:
     return _window_output(spark.read.parquet(path))
 
 
+@query
+def stream_sliding_append(spark: SparkSession, sf: str) -> DataFrame:
+    path, checkpoint = new_run_dir(spark, "sliding"), new_run_dir(spark, "checkpoint")
+    _arrivals(
+        spark,
+        sf,
+        [FIRST, SECOND, THIRD],
+        lambda s: stream_windows.sliding_append(
+            _watermarked(s), path, checkpoint, 3600, 1200, groups=["event_type"], trigger=stream_windows.AVAILABLE
+        ),
+    )
+    return _window_output(spark.read.parquet(path))
+
+
 @query
 def stream_early_update(spark: SparkSession, sf: str) -> DataFrame:
     path, checkpoint = new_run_dir(spark, "update"), new_run_dir(spark, "checkpoint")

@@ -24,7 +24,7 @@ from zoneflow.operators.quality import passed, quarantined, with_flags
 from zoneflow.operators.reconcile import column_diff, compared_columns, reconcile_log, variant_counts
 from zoneflow.operators.structure import structure_cast
 from zoneflow.operators.windows import window_bounds
-from zoneflow.sinks.tables import write_batch, write_log
+from zoneflow.sinks.tables import remove_batch, write_batch, write_log
 from zoneflow.sources.snapshots import scan_jsonl_columns
 
 Hook = Callable[[DataFrame], DataFrame]
@@ -118,6 +118,8 @@ def run_zones(
         written[zone] = write_batch(with_flags(current, cfg.rules), cfg.table_path(root, zone), batch_id)
     run = ZoneRun(root, batch_id, written)
     _write_logs(run, cfg, snapshots or {}, window_seconds)
+    for name in (*ZONES, "legacy"):  # the zones and logs are written, nothing reads the copies any more
+        remove_batch(records.sparkSession, f"{root}/_staged/{name}", batch_id)
     return run
 
 

@@ -30,6 +30,12 @@ def write_batch(df: DataFrame, path: str, batch_id: int | str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def remove_batch(spark: SparkSession, path: str, batch_id: int | str) -> None:
+    """Remove one batch of an intermediate table."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_batch_id={batch_id}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """All batches of a table; ``_batch_id`` is a partition column. A batch may have more columns than those before it."""
     return spark.read.option("mergeSchema", "true").parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from zoneflow.operators.limits import limit_per_group
-from zoneflow.operators.windows import EARLY_FIRING, WINDOW_SIZE, tumbling
+from zoneflow.operators.windows import EARLY_FIRING, WINDOW_SIZE, sliding_counts, tumbling
 from zoneflow.sinks.tables import write_batch
 
 PROCESSING = {"processingTime": EARLY_FIRING}
@@ -35,6 +35,27 @@ def windowed_append(
     )
 
 
+def sliding_append(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    size_seconds: int,
+    slide_seconds: int,
+    ts: str = "event_ts",
+    groups: Sequence[str] = (),
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Each sliding window once, when the watermark has passed its end. ``stream`` carries the watermark."""
+    return (
+        sliding_counts(stream, ts, size_seconds, slide_seconds, groups)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or PROCESSING))
+        .start(path)
+    )
+
+
 def early_update(
     stream: DataFrame,
     path: str,
