@@ -302,7 +302,8 @@ def similar_components(docs: DataFrame, percent: int = 75, size: int = 5, max_bi
             "labels",
         )
     named = join.nodes.join(labels, "node")
-    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join below is one of two shuffles and the rows of a large component can be split
+    least = written(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "component-ids")
     ids = named.join(least, "label").select(F.col("node").alias("of"), "component_id")
     return prefixes.join(ids, F.col("node") == F.col("of"), "left").select(
         "doc_id",
