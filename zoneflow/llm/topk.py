@@ -3,9 +3,9 @@
 A vector is cut into ``PARTS`` ranges of components. For a query, each range is a list of local scores over all
 candidates, and a candidate's score is the sum of its local scores.
 
-1. Every list gives its k highest local scores and its least one. With the least score in place of those not
-   given, the k-th highest sum is a score that k candidates reach: the cutoff. Above the sum of the least scores
-   it is dealt evenly over the lists: a candidate below its share in every list cannot reach the cutoff.
+1. Every list gives the candidates with its k highest local scores, and its least local score. The k-th highest whole score of the
+   candidates given is one that k candidates reach: the cutoff. What it is above the sum of the least scores
+   is dealt evenly over the lists: a candidate below its share in every list cannot reach the cutoff.
 2. The shares go to all lists, which give every local score at or above them. A candidate's given scores, plus
    the shares for those not given, bound its score from above; who stays below the k-th highest lower bound drops out.
 3. The scores still missing are computed from the vectors, exactly.
@@ -109,35 +109,31 @@ def _read(row, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 
 def _local_tops(width: int, parts: list[slice], k: int):
-    """Phase 1: per task, query and part the k highest local scores, with ids, and the least one."""
+    """Phase 1: per task, query and part the candidates with the k highest local scores, with their whole scores, and
+    the least local score."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, list] = {}
+        held: dict[int, tuple] = {}  # per block of queries: ids, and by part local scores, candidates, whole scores, least
         for batch in batches:
             for row in batch.itertuples():
                 q_ids, q, ids, x = _read(row, width)
-                if row.q_block not in held:
-                    none = np.iinfo(np.int64)
-                    held[row.q_block] = [
-                        (np.full((len(q_ids), 0), 0, np.int64), np.full((len(q_ids), 0), 0, np.int64), np.full(len(q_ids), none.max))
-                        for _ in parts
-                    ] + [q_ids]
-                mine = held[row.q_block]
-                for p, part in enumerate(parts):
-                    scores = _product(q[:, part], x[:, part])
-                    top, who, least = mine[p]
-                    least = np.minimum(least, scores.min(1))
-                    top = np.hstack([top, scores])
-                    who = np.hstack([who, np.broadcast_to(ids, scores.shape)])
-                    if top.shape[1] > k:
-                        at = np.argpartition(-top, k - 1, 1)[:, :k]
-                        top, who = np.take_along_axis(top, at, 1), np.take_along_axis(who, at, 1)
-                    mine[p] = (top, who, least)
-        for mine in held.values():
-            q_ids = mine[-1]
-            for p in range(len(parts)):
-                top, who, least = mine[p]
-                yield pd.DataFrame({"query": q_ids, "part": p, "least": least, "ids": list(who), "scores": list(top)})
+                local = [_product(q[:, part], x[:, part]) for part in parts]
+                whole, who = sum(local), np.broadcast_to(ids, (len(q_ids), len(ids)))
+                _, before = held.get(row.q_block, (None, [None] * len(parts)))
+                after = []
+                for scores, earlier in zip(local, before, strict=True):
+                    top, least = [scores, who, whole], scores.min(1)
+                    if earlier is not None:
+                        top = [np.hstack(pair) for pair in zip(earlier[0], top, strict=True)]
+                        least = np.minimum(least, earlier[1])
+                    if top[0].shape[1] > k:
+                        at = np.argpartition(-top[0], k - 1, 1)[:, :k]
+                        top = [np.take_along_axis(t, at, 1) for t in top]
+                    after.append((top, least))
+                held[row.q_block] = (q_ids, after)
+        for q_ids, found in held.values():
+            for p, ((_, who, whole), least) in enumerate(found):
+                yield pd.DataFrame({"query": q_ids, "part": p, "least": least, "ids": list(who), "scores": list(whole)})
 
     return run
 
@@ -207,21 +203,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         "local-tops",
     )
     least = tops.groupBy("query", "part").agg(F.min("least").alias("least"))
-    given = tops.select("query", "part", F.explode(F.arrays_zip("ids", "scores")).alias("e")).select(
-        "query", "part", F.col("e.ids").alias("id"), F.col("e.scores").alias("score")
-    )
-    by_part = Window.partitionBy("query", "part").orderBy(F.desc("score"), "id")
-    given = given.withColumn("place", F.row_number().over(by_part)).where(F.col("place") <= want)
-    partial = (
-        given.join(least, ["query", "part"])
-        .groupBy("query", "id")
-        .agg(F.sum(F.col("score") - F.col("least")).alias("over"))
-        .withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("over"), "id")))
-        .where(F.col("place") <= want)
+    given = tops.select("query", F.explode(F.arrays_zip("ids", "scores")).alias("e")).select(
+        "query", F.col("e.ids").alias("id"), F.col("e.scores").alias("score")
     )
+    highest = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    reached = given.distinct().withColumn("place", F.row_number().over(highest)).where(F.col("place") <= want)
+    floor = least.groupBy("query").agg(F.sum("least").alias("floor"))
     # with fewer candidates than wanted there is no cutoff and all are given
-    cutoff = partial.groupBy("query").agg(
-        F.when(F.count(F.lit(1)) >= want, F.min("over")).otherwise(0).alias("over")
+    cutoff = reached.join(floor, "query").groupBy("query").agg(
+        F.when(F.count(F.lit(1)) >= want, F.min(F.col("score") - F.col("floor"))).otherwise(0).alias("over")
     )
     shares = least.join(cutoff, "query").select(
         "query", "part", (F.col("least") + F.ceil(F.col("over") / len(parts)).cast("long")).alias("share"), "least"
