@@ -108,12 +108,20 @@ def resolve(records: DataFrame) -> DataFrame:
     revisit = keyed.where("kind = 'revisit'").select(
         "record_id", "url_key", F.struct("etag", "last_modified", "headers", "at").alias("r")
     )
-    response = keyed.where("kind = 'response'").select(
-        F.col("record_id").alias("response_id"), F.struct("etag", "last_modified", "digest", "headers").alias("s")
-    ).dropDuplicates(["response_id"])
+    # written, so that the join is one of two shuffles and the revisits of a hot response can be split
+    response = written(
+        keyed.where("kind = 'response'")
+        .select(F.col("record_id").alias("found_id"), F.struct("etag", "last_modified", "digest", "headers").alias("s"))
+        .dropDuplicates(["found_id"]),
+        "responses",
+    )
+    asof = asof.select(F.col("record_id").alias("of"), F.col("at").alias("of_at"), "response_id")
+    # what has no response is spread by itself, else all of it would meet under the null key
+    alone = F.when(F.col("response_id").isNull(), F.xxhash64("record_id")).otherwise(0)
     joined = (
-        revisit.join(asof.withColumnRenamed("record_id", "of").withColumnRenamed("at", "of_at"), (F.col("record_id") == F.col("of")) & (F.col("r.at") == F.col("of_at")), "left")
-        .join(response, "response_id", "left")
+        revisit.join(asof, (F.col("record_id") == F.col("of")) & (F.col("r.at") == F.col("of_at")), "left")
+        .withColumn("alone", alone)
+        .join(response.withColumn("never", F.lit(0).cast("long")), (F.col("response_id") == F.col("found_id")) & (F.col("alone") == F.col("never")), "left")
     )
     good = F.col("s").isNotNull() & validators_agree(F.col("r"), F.col("s"))
     return joined.select(
