@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import string
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,13 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GRADES = 4
+#: Probability of a grade above 0 from which a text is called toxic.
+TOXIC_FROM = 0.4
 KEPT_WORDS = 300_000
 #: Counts are taken per so many words of longer texts.
 PER_WORDS = 200
 #: Lengths of word beginnings that are features beside the word itself.
 BEGINNINGS = (4, 5, 6)
+#: A feature is of so many toxic texts of the sample at least.
+LEAST_TEXTS = 3
 #: A feature is kept if its log odds are this many standard errors above 0.
-LEAST_Z = 4.0
+LEAST_Z = 3.0
 _SPACES = str.maketrans({c: " " for c in string.punctuation + "\n\t\r"})
 
 
@@ -96,10 +99,15 @@ def fit(texts: list[str], toxic: np.ndarray, max_features: int, prior: float, st
     toxic = np.asarray(toxic, bool)
     if toxic.all() or not toxic.any():
         return OrdinalModel()
-    found = [features(t) for t in texts]
-    inside, outside = Counter(), Counter()
-    for c, t in zip(found, toxic, strict=True):
-        (inside if t else outside).update(c.keys())
+    inside: Counter = Counter()
+    for text, t in zip(texts, toxic, strict=True):
+        if t:
+            inside.update(features(text).keys())
+    inside = Counter({f: n for f, n in inside.items() if n >= LEAST_TEXTS})
+    outside: Counter = Counter()  # of what toxic texts have; the vocabulary of all others is not needed
+    for text, t in zip(texts, toxic, strict=True):
+        if not t:
+            outside.update(inside.keys() & features(text).keys())
     n_in, n_out = toxic.sum(), (~toxic).sum()
     odds, sure = {}, {}
     for f, a in inside.items():
@@ -107,15 +115,18 @@ def fit(texts: list[str], toxic: np.ndarray, max_features: int, prior: float, st
         odds[f] = np.log((a + 0.5) / (n_in + 1)) - np.log((b + 0.5) / (n_out + 1))
         sure[f] = odds[f] / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
     # evidence is for toxicity only: what marks other texts is their subject, not their tone; weights stay at 0 or above
-    chosen = sorted((f for f in odds if odds[f] >= 1 and sure[f] >= LEAST_Z), key=lambda f: (-sure[f], f))[:max_features]
+    least = min(LEAST_Z, max(sure.values(), default=0) / 2)  # a very small sample is never sure
+    chosen = sorted((f for f in odds if odds[f] >= 1 and sure[f] >= least), key=lambda f: (-sure[f], f))[:max_features]
     number = {f: i for i, f in enumerate(chosen)}
-    entries = [(i, number[f], x) for i, c in enumerate(found) for f, x in c.items() if f in number]
+    entries = [(i, number[f], x) for i, text in enumerate(texts) for f, x in features(text).items() if f in number]
     row, col, val = (np.array(x, kind) for x, kind in zip(zip(*entries, strict=True) if entries else ([], [], []), (int, int, float), strict=True))
     grades = _graded(np.bincount(row, val, len(texts)), toxic)
     weight = np.where(toxic, prior / n_in, (1 - prior) / n_out)
     above = grades[:, None] > np.arange(GRADES - 1)[None, :]
 
-    w, first, gaps = np.zeros(len(chosen)), 1.0, np.full(GRADES - 2, 0.0)  # gaps are exponents: thresholds stay ordered
+    # without evidence a text is rarely toxic, even where half of the labelled ones are
+    w, first = np.zeros(len(chosen)), 2 + max(0.0, np.log((1 - prior) / prior))
+    gaps = np.full(GRADES - 2, 0.0)  # exponents: thresholds stay ordered
     moment = [np.zeros(len(chosen) + GRADES - 1) for _ in range(2)]
     for step in range(1, steps + 1):
         t = first + np.concatenate([[0], np.cumsum(np.exp(gaps))])
@@ -157,7 +168,7 @@ def train(
 
 
 def predict(docs: DataFrame, model: OrdinalModel) -> DataFrame:
-    """(doc_id, severity, grade, toxic) of every row: the expected grade, the likeliest one, P(grade > 0) >= 1/2."""
+    """(doc_id, severity, grade, toxic) of every row: the expected grade, the likeliest one, P(grade > 0) >= TOXIC_FROM."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("severity double, grade int, toxic boolean")
@@ -167,6 +178,6 @@ def predict(docs: DataFrame, model: OrdinalModel) -> DataFrame:
         blank = np.array([t is None or not t.translate(_SPACES).strip() for t in texts], bool)
         above[blank] = 0
         exact = np.hstack([1 - above[:, :1], above[:, :-1] - above[:, 1:], above[:, -1:]])
-        return pd.DataFrame({"severity": above.sum(1), "grade": exact.argmax(1), "toxic": above[:, 0] >= 0.5})
+        return pd.DataFrame({"severity": above.sum(1), "grade": exact.argmax(1), "toxic": above[:, 0] >= TOXIC_FROM})
 
     return docs.select("doc_id", predicted("text").alias("p")).select("doc_id", "p.severity", "p.grade", "p.toxic")
