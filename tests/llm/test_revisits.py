@@ -68,6 +68,24 @@ def test_against_brute_force(spark):
     assert sorted(got, key=str) == brute(rows)
 
 
+def test_equal_times_of_a_hot_url_over_many_partitions(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(300):
+        kind = "response" if rng.random() < 0.3 else "revisit"
+        rows.append((i, kind, "hot.example/x" if i % 10 else "cold.example", rng.randrange(4), '"a"', None, f"d{i}", {}))
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = [(r.record_id, r.state, r.response_id, r.digest, r.headers) for r in revisits.resolve(records(spark, rows)).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(got, key=str) == brute(rows)
+
+
 def test_empty_table(spark):
     assert revisits.resolve(records(spark, [])).count() == 0
     pages = spark.createDataFrame([(1, None, None), (2, "http://a.example", "")], "page_id long, url string, html string")

@@ -7,7 +7,7 @@ headers are those of the response, renewed by what a not-modified answer may car
 
 Records are dealt out by ranges of (URL, time), so the captures of a hot URL spread over as many partitions as
 they need. In every partition the latest response is found by a window; what a URL's earlier partitions hand on is one row
-each. Payloads are never moved, only validators, digests and headers.
+each: the latest response and the latest one at an earlier time. Payloads are never moved, only validators, digests and headers.
 
 Defined results: records without a URL or a time resolve to nothing and are nothing's response; of responses of one
 URL and time the one with the greatest record id counts; identical records are resolved one by one; a null header
@@ -85,15 +85,21 @@ def resolve(records: DataFrame) -> DataFrame:
     dealt = keyed.select("record_id", "kind", "at", "url_key").repartitionByRange("url_key", "at", "record_id")
     placed = written(dealt.withColumn("part", F.spark_partition_id()), "captures")
     is_response = F.col("kind") == "response"
-    latest = F.max_by("record_id", F.struct("at", "record_id"))
-    handed = placed.where(is_response & F.col("url_key").isNotNull()).groupBy("url_key", "part").agg(
-        latest.alias("last_id"), F.max("at").alias("last_at")
+    # of the two greatest times of a part's responses the best one each: a revisit at the greatest time needs the one before
+    by_time = placed.where(is_response & F.col("url_key").isNotNull()).groupBy("url_key", "part", "at").agg(F.max("record_id").alias("id"))
+    newest_first = F.row_number().over(Window.partitionBy("url_key", "part").orderBy(F.desc("at")))
+    two = by_time.withColumn("n", newest_first).where("n <= 2").withColumn("r", F.struct("at", "id"))
+    handed = two.groupBy("url_key", "part").agg(F.max(F.when(F.col("n") == 1, F.col("r"))).alias("l"), F.max(F.when(F.col("n") == 2, F.col("r"))).alias("p"))
+    # where equal times go on over several parts, the response before them is that of the part they begin in
+    by_part = Window.partitionBy("url_key").orderBy("part")
+    left = F.lag("l").over(by_part)
+    begins = left.isNull() | (left["at"] < F.col("l.at"))
+    handed = handed.withColumn("p", F.when(begins, F.coalesce("p", left))).select(
+        "url_key", "part", F.struct(F.col("l.at").alias("at"), F.col("l.id").alias("id"), F.last("p.id", ignorenulls=True).over(by_part).alias("prior")).alias("h")
     )
     parts = placed.where("url_key IS NOT NULL").select("url_key", "part").distinct().join(handed, ["url_key", "part"], "left")
-    earlier = Window.partitionBy("url_key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = parts.select(
-        "url_key", "part", F.last(F.when(F.col("last_id").isNotNull(), F.struct("last_at", "last_id")), ignorenulls=True).over(earlier).alias("b")
-    )
+    earlier = by_part.rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select("url_key", "part", F.last("h", ignorenulls=True).over(earlier).alias("b"))
     # of equal times the revisit stands first: only strictly earlier responses count
     within = Window.partitionBy("url_key", "part").orderBy("at", F.desc("kind"), "record_id").rowsBetween(Window.unboundedPreceding, -1)
     asof = (
@@ -102,7 +108,7 @@ def resolve(records: DataFrame) -> DataFrame:
         .where("kind = 'revisit'")
         .join(before, ["url_key", "part"], "left")
         # a partition may end between a response and a revisit of the same time
-        .select("record_id", "at", F.coalesce("w.record_id", F.when(F.col("b.last_at") < F.col("at"), F.col("b.last_id"))).alias("response_id"))
+        .select("record_id", "at", F.coalesce("w.record_id", F.when(F.col("b.at") < F.col("at"), F.col("b.id")).otherwise(F.col("b.prior"))).alias("response_id"))
         .distinct()
     )
     revisit = keyed.where("kind = 'revisit'").select(
