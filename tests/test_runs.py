@@ -134,6 +134,45 @@ def test_batch_is_gated_by_the_log_it_writes(spark, root):
     assert run_batch(spark, cfg, Source("t", changes=undated), None, f"{root}/x", "r3")["refined"].count() == 0
 
 
+def test_what_the_gate_held_back_comes_when_its_day_is_done(spark, root):
+    cfg = replace(CFG, dependencies={"t": ["snapshot_previous_day"]})
+    source = Source("t", changes=batch_rows(spark, "2024-01-03").unionByName(batch_rows(spark, "2024-01-05")))
+    done = lambda *days: spark.createDataFrame([("t", d, "SUCCESS") for d in days], "table_name string, run_date string, status string")
+    run = lambda log, run_id, cfg=cfg: run_batch(spark, cfg, source, log, root, run_id)["analytics"].count()
+    assert run(done(), "r1") == 0
+    assert run(done("2024-01-01"), "r2") == 0
+    assert run(done("2024-01-02"), "r3") == 4
+    assert run(done("2024-01-02", "2024-01-04"), "r4") == 4
+    assert run(done("2024-01-02", "2024-01-04"), "r5") == 0
+
+
+def test_a_failed_run_neither_loses_nor_doubles_what_waits(spark, root):
+    cfg = replace(CFG, dependencies={"t": ["snapshot_previous_day"]})
+    log = spark.createDataFrame([("t", "2024-01-02", "SUCCESS")], "table_name string, run_date string, status string")
+    first = Source("t", changes=batch_rows(spark, "2024-01-03"))
+    assert run_batch(spark, cfg, first, log.limit(0), root, "r1")["analytics"].count() == 0
+    later = Source("t", changes=first.changes.unionByName(batch_rows(spark, "2024-01-07")))
+
+    def broken(df):
+        raise RuntimeError("broken")
+
+    with pytest.raises(RuntimeError, match="broken"):
+        run_batch(spark, cfg, later, log, root, "r2", hooks={"analytics": broken})
+    assert run_batch(spark, cfg, later, log, root, "r2")["analytics"].count() == 4
+    log = log.unionByName(spark.createDataFrame([("t", "2024-01-06", "SUCCESS")], log.schema))
+    assert run_batch(spark, cfg, later, log, root, "r3")["analytics"].count() == 4
+
+
+def test_an_upsert_keeps_the_newest_of_what_waits(spark, root):
+    cfg = replace(CFG, ingestion_type="upsert", dependencies={"t": ["snapshot_previous_day"]})
+    log = spark.createDataFrame([("t", "2024-01-02", "SUCCESS")], "table_name string, run_date string, status string")
+    rows = batch_rows(spark, "2024-01-03").withColumn("op", F.lit("update"))
+    assert run_batch(spark, cfg, Source("t", changes=rows), log.limit(0), root, "r1")["analytics"].count() == 0
+    newer = rows.where("record_id = '2'").withColumn("seq", F.lit(2))
+    out = run_batch(spark, cfg, Source("t", changes=rows.unionByName(newer)), log, root, "r2")["analytics"]
+    assert sorted((r.record_id, r.seq) for r in out.collect()) == [("1", 1), ("2", 2), ("3", 1)]
+
+
 def test_batch_reconciles_without_the_gate_columns(spark, root):
     cfg = replace(CFG, compare_columns=(), reconcile_enabled=True)
     legacy = records(spark).select("record_id", "name", "email", "age")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The condition name and the status of a finished run.
@@ -81,6 +81,18 @@ def met(wanted: DataFrame, deps: Mapping[str, Sequence], run_log: DataFrame) ->
     return required_runs(wanted, deps).join(done, condition, "left_semi")
 
 
+def _blocked(rows: DataFrame, deps: Mapping[str, Sequence], run_log: DataFrame) -> DataFrame:
+    return (
+        unmet(rows, deps, run_log)
+        .select(F.col("table_name").alias("_b_table"), F.col("run_date").alias("_b_date"))
+        .distinct()
+    )
+
+
+def _is_blocked() -> Column:
+    return F.col("table_name").eqNullSafe(F.col("_b_table")) & F.col("run_date").eqNullSafe(F.col("_b_date"))
+
+
 def gate(rows: DataFrame, deps: Mapping[str, Sequence], run_log: DataFrame) -> DataFrame:
     """Rows (with ``table_name`` and ``run_date``) whose prerequisites are all met.
 
@@ -88,10 +100,9 @@ def gate(rows: DataFrame, deps: Mapping[str, Sequence], run_log: DataFrame) -> D
     holds one row per table and day; Spark broadcasts it if it is small enough, and splits a busy table and day
     otherwise. ``rows`` is read twice, so it should be a table, not a computation.
     """
-    blocked = (
-        unmet(rows, deps, run_log)
-        .select(F.col("table_name").alias("_b_table"), F.col("run_date").alias("_b_date"))
-        .distinct()
-    )
-    condition = F.col("table_name").eqNullSafe(F.col("_b_table")) & F.col("run_date").eqNullSafe(F.col("_b_date"))
-    return rows.join(blocked, condition, "left_anti")
+    return rows.join(_blocked(rows, deps, run_log), _is_blocked(), "left_anti")
+
+
+def held_back(rows: DataFrame, deps: Mapping[str, Sequence], run_log: DataFrame) -> DataFrame:
+    """The rows that ``gate`` does not pass."""
+    return rows.join(_blocked(rows, deps, run_log), _is_blocked(), "left_semi")

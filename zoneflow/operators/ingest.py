@@ -142,9 +142,10 @@ def ingest(mode: str | None, source: Source, since: DataFrame | None = None) ->
 
 
 class MarkStore:
-    """High-water marks by table, appended run by run; the greatest of a table counts."""
+    """High-water marks by table, appended run by run; the greatest of a table counts. A run that holds rows back names
+    the folder they lie in beside its mark, so both move on in one write; the last one named counts."""
 
-    SCHEMA = "table_name string, high_water_mark timestamp_ntz, high_water_seq bigint"
+    SCHEMA = "table_name string, high_water_mark timestamp_ntz, high_water_seq bigint, pending string, pending_no bigint"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -156,12 +157,23 @@ class MarkStore:
             return None
         return self.spark.read.schema(self.SCHEMA).parquet(self.path).where(F.col("table_name") == table)
 
-    def advance(self, table: str, changes: DataFrame, change_ts: str = "change_ts", seq: str = "seq") -> None:
-        """Store the mark of ``changes``; to be called when they are safely written. No changes, no mark."""
-        mark = high_water_mark(changes, change_ts, seq).where("high_water_mark IS NOT NULL")
-        row = mark.select(
+    def pending(self, table: str) -> tuple[int, str | None]:
+        """Number and folder of the rows that the last run of ``table`` held back; 0 and None if no run named one."""
+        marks = self.read(table)
+        last = marks and marks.agg(F.max(F.struct("pending_no", "pending")).alias("p")).first()["p"]
+        return (last["pending_no"], last["pending"]) if last and last["pending_no"] else (0, None)
+
+    def advance(
+        self, table: str, changes: DataFrame, change_ts: str = "change_ts", seq: str = "seq", pending: tuple[int, str] | None = None
+    ) -> None:
+        """Store the mark of ``changes``; to be called when they are safely written. No changes, no mark. ``pending``:
+        number and folder of the rows held back, stored even without a mark."""
+        mark = high_water_mark(changes, change_ts, seq)
+        row = (mark if pending else mark.where("high_water_mark IS NOT NULL")).select(
             F.lit(table).alias("table_name"),
             F.col("high_water_mark").cast("timestamp_ntz").alias("high_water_mark"),
             F.col("high_water_seq").cast("bigint").alias("high_water_seq"),
+            F.lit(pending and pending[1]).cast("string").alias("pending"),
+            F.lit(pending and pending[0]).cast("bigint").alias("pending_no"),
         )
         row.coalesce(1).write.mode("append").parquet(self.path)

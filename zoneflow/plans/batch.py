@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from zoneflow.config import ZoneConfig
 from zoneflow.operators.audit import completion_event, dq_log, to_audit_json
-from zoneflow.operators.dependency import COMPLETE, gate
+from zoneflow.operators.dependency import COMPLETE, gate, held_back
 from zoneflow.operators.ingest import MarkStore, Source, ingest, resolve_mode
+from zoneflow.operators.limits import latest_per_key
 from zoneflow.operators.quality import with_flags
 from zoneflow.operators.reconcile import column_diff, compared_columns, reconcile_log, variant_counts
 from zoneflow.plans.zones import PIPELINE_LOG, QUALITY_LOG, RECONCILE_LOG, Hook
@@ -33,7 +34,8 @@ def run_batch(
     """Run the configured ingestion through to the refined and analytics outputs.
 
     The mode decides what is taken in; for the modes that read the change log the table's mark says from where, and it
-    moves on when all outputs are written. What was taken in is written first and then gated, so it is computed once. Gated rows carry ``table_name`` and
+    moves on when all outputs are written. What was taken in is written first and then gated, so it is computed once. Of these modes, what
+    the gate holds back is written too, and the next run gates it again beside what it takes in; rows without a date wait there. Gated rows carry ``table_name`` and
     ``run_date``; the day's completion goes to the pipeline log, which is also the run log if none is given.
     Quality and reconciliation report on the rows and do not filter them. Returns the written outputs.
     """
@@ -44,7 +46,17 @@ def run_batch(
     write_table(ingest(cfg.ingestion_type, source, marks.read(cfg.table) if by_log else None), taken)
     staged = f"{root}/{cfg.dataset('structure')}/{cfg.table}/{run_id}"
     done = run_log if run_log is not None else read_run_log(spark, cfg.log_path(root, PIPELINE_LOG))
-    rows = gate(spark.read.parquet(taken), cfg.dependencies, done) if cfg.dependencies else spark.read.parquet(taken)
+    rows, pending = spark.read.parquet(taken), None
+    if by_log:
+        number, waiting = marks.pending(cfg.table)
+        if waiting:
+            rows = _with_waiting(rows, spark.read.parquet(waiting), cfg, source)
+        if cfg.dependencies or waiting:
+            pending = number + 1, f"{root}/_pending/{cfg.table}/{number + 1:06d}-{run_id}"
+            held = held_back(rows, cfg.dependencies, done) if cfg.dependencies else rows.limit(0)
+            # what has no time is taken in by every run
+            write_table(held.where(F.col(source.change_ts).isNotNull()), pending[1])
+    rows = gate(rows, cfg.dependencies, done) if cfg.dependencies else rows
     write_table(with_flags(rows, cfg.rules), staged)
     flagged = spark.read.parquet(staged)
     rows = flagged.drop("_dq_failed")
@@ -83,10 +95,18 @@ def run_batch(
         )
         write_log(days, cfg.log_path(root, PIPELINE_LOG), run_id)
     if by_log:
-        marks.advance(cfg.table, spark.read.parquet(taken), source.change_ts, source.seq)
+        marks.advance(cfg.table, spark.read.parquet(taken), source.change_ts, source.seq, pending)
     return outputs
 
 
+def _with_waiting(rows: DataFrame, waiting: DataFrame, cfg: ZoneConfig, source: Source) -> DataFrame:
+    """What was taken in and what earlier runs held back; an upsert keeps the newest row of a key."""
+    both = rows.unionByName(waiting, allowMissingColumns=True)
+    if resolve_mode(cfg.ingestion_type) != "upsert":
+        return both
+    return latest_per_key(both, list(source.keys), [source.change_ts, source.seq])
+
+
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     """(table_name, run_date, status) of the pipeline log; empty before the first run."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
