@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from zoneflow.llm import secrets
@@ -96,3 +97,50 @@ def test_redaction(spark):
     )
     got = {r["doc_id"]: (r["text"], r["n_chars"], r["path"]) for r in secrets.without_secrets(docs, ledger_of(spark)).collect()}
     assert got == {1: ("a [assign] b", 12, "x"), 2: ("clean", 5, "y"), 3: (None, 0, "z"), 4: ("[assign]!", 9, "w"), 5: ("é [access]", 10, "v")}
+
+
+LINES = ["MIIEpAIBAAKCAQEA" + c * 48 for c in "xyz"] + ["Qk9keQ=="]
+
+
+def pem(label="RSA PRIVATE KEY", end=True, line="\n", lines=LINES):
+    return line.join([f"-----BEGIN {label}-----", *lines, *([f"-----END {label}-----"] if end else [])])
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        (f"a {pem()} b", "a [pem] b"),
+        (f"a\n{pem('PRIVATE KEY')}\n{pem('EC PRIVATE KEY')}\nb", "a\n[pem]\n[pem]\nb"),
+        (f'k = "{pem(line=chr(92) + "n")}"', 'k = "[pem]"'),
+        (pem(lines=["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,00FF", "", *LINES]), "[pem]"),
+        (pem(end=False), "[pem]"),
+        (f"{pem(end=False)}\n\nThe text goes on.", "[pem]\n\nThe text goes on."),
+        (pem(lines=["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,00FF", "", *LINES], end=False, line="\r\n"), "[pem]"),
+        (f"{pem(end=False)}\nSome words between.\n{pem()}", "[pem]\nSome words between.\n[pem]"),
+        (f"{pem(end=False)}\n-----END CERTIFICATE-----", "[pem]\n-----END CERTIFICATE-----"),
+        (f"{pem(end=False, line=' ')}", "[pem]"),
+        (pem(end=False, line="\\n"), "[pem]"),
+        ("a line -----BEGIN PRIVATE KEY----- is how it starts", "a line [pem] is how it starts"),
+        (f'secret="{pem()}"', '[assign]"'),
+    ],
+)
+def test_no_byte_of_a_private_key_stays(text, want):
+    (rank,) = [i for i, r in enumerate(secrets.RULES) if r.name == "pem"]
+    rules = {secrets.RULES[rank], secrets.RULES[0]}
+    spans = sorted((s, r.name, e) for r in rules for s, e in secrets.spans(text, r, re.compile(secrets._quick(r))))
+    out, at = "", 0
+    for start, name, end in spans:
+        if start >= at:
+            out += text[at:start] + f"[{name}]"
+        at = max(at, end)
+    assert out + text[at:] == want
+
+
+def test_keys_are_redacted_whole(spark):
+    docs = spark.createDataFrame([(1, f"a {pem()} b"), (2, pem(end=False))], "doc_id long, text string")
+    assert dict(secrets.without_secrets(docs, ledger_of(spark)).collect()) == {1: "a [pem] b", 2: "[pem]"}
+
+
+def test_many_headers_take_no_time():
+    text = "-----BEGIN PRIVATE KEY-----\nabc def\n" * 20_000
+    assert len(secrets.spans(text, secrets.Rule("pem", secrets.PEM), re.compile(secrets.PEM))) == 20_000

@@ -50,9 +50,20 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", least=16, needs="AKIA"),
     Rule("hex", r"[0-9a-f]+", least=32),
 )
+#: Between the parts of a key whose END line is missing: spaces, quotes and the like, written line ends.
+_BETWEEN = r"""(?:[\s"'`,;>|#*()]|\\[nrt]?)"""
+_LINE_END = r"""(?=(?:[\x20\t"'`,;)]|\\[nrt]?)*(?:[\r\n]|\Z))"""
+#: A private key from its BEGIN line to the END line of the same kind, else to the last of its base64 lines. A part of
+#: 16 characters belongs to the key wherever it stands, a shorter one as a whole line or as the rest behind a longer one.
+PEM = (
+    r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----"
+    r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END \1-----"
+    rf"|(?:{_BETWEEN}*+(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+"
+    rf"(?:{_BETWEEN}*+(?:[A-Za-z0-9+/=]{{16,}}+(?:(?:[\x20\t]|\\[nrt])++[A-Za-z0-9+/=]++(?![A-Za-z0-9+/=]))?|[A-Za-z0-9+/=]++{_LINE_END}))*+)"
+)
 #: What the method adds.
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", needs="-----BEGIN "),
+    Rule("pem", PEM, version=2, needs="-----BEGIN "),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", needs="eyJ"),
     Rule("hub", r"gh[pousr]_[A-Za-z0-9]{36,}", needs="gh"),
 )
