@@ -36,6 +36,32 @@ def test_rules(html, text):
     assert pages.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f'<div><p title="The hidden valley">{PROSE}</p></div>', PROSE),
+        (f'<div data-hidden="false" data-id="ad-7" data-class=\'menu\' data-role=nav><p>{PROSE}</p></div>', PROSE),
+        (f'<div title="a class=ad"><p>{PROSE}</p></div><div CLASS = "ad"><p>{PROSE}</p></div>', PROSE),
+        (f'<div class="post-content with-sidebar"><p>{PROSE}</p><div class="sidebar"><p>{PROSE}</p></div></div>', PROSE),
+        (f'<section id="main" class="layout-with-sidebar"><p>{PROSE}</p></section>', PROSE),
+        (f'<div class="row has-sidebar"><p>{PROSE}</p></div>', PROSE),
+        (f'<div class="entry comments-open"><p>{PROSE}</p></div>', PROSE),
+        (f'<div><p>{PROSE}</p><div class="comment-body"><p>{PROSE}</p></div><div id="sidebar" class="content"><p>{PROSE}</p></div></div>', PROSE),
+        (f'<div><p>{PROSE}</p><div class="content comment"><p>{PROSE}</p></div><div class="text" role="search"><p>{PROSE}</p></div></div>', PROSE),
+        *((f"<body><p>{PROSE}</p><div><{e}>inner</div><p>{PROSE}</p></body>", f"{PROSE}\n{PROSE}") for e in pages.EMBEDDED.split()),
+        (f"<div><svg>x<p>{PROSE}</p><svg><title>t</title></svg><p>{PROSE}</p></div>", f"{PROSE}\n{PROSE}"),
+        (f"<div><svg><svg>x</svg>y</svg><p>{PROSE}</p><video>no <p>no</p></video></div>", PROSE),
+        (f"<div><p>{PROSE}</p><script>var a = '<p>{PROSE}</p>'</div>", PROSE),
+    ],
+)
+def test_nothing_of_the_article_goes_by_mistake(html, text):
+    assert pages.main_text(html) == text
+
+
+def test_many_unclosed_elements_take_no_time():
+    assert pages.main_text("<article>" + "<svg><p>word</p>" * 20_000) == "\n".join(["word"] * 20_000)
+
+
 def test_undecided_blocks_take_the_nearer_label():
     junk = "zork blib " * 12
     html = f"<div><p>{PROSE}</p><p>near text</p><p>mid</p><p>x</p><p>near junk</p><p>{junk}</p></div>"

@@ -1,8 +1,8 @@
 """Main text of HTML pages by two-pass block rules.
 
 A page is cut into blocks at block elements; scripts, styles, comments and the like are no text at all. The first
-pass decides blocks from what surrounds them (elements and class names of menus, notices, forms, ...), from link
-density, length and the share of stop words. What is too short or too poor in stop words stays undecided. In the second
+pass decides blocks from what surrounds them (elements and class names of menus, notices, forms, ...; not of wrappers that
+are named as content), from link density, length and the share of stop words. What is too short or too poor in stop words stays undecided. In the second
 pass an undecided block takes the label of the nearest decided block of its region (the article, or the page outside it);
 between different ones at equal distance it is boilerplate, unless it is a heading before text.
 
@@ -10,7 +10,7 @@ Where a page has an article or main element with text, only that is searched; th
 decided neighbour are text.
 
 Defined results: null and empty pages, and pages without text, give the empty text; unclosed elements end with their
-parent, an unfinished last tag is dropped. Rows are independent, so repeated rows give repeated results; other columns are ignored.
+parent, embedded ones (EMBEDDED) at the next tag of a block; raw text ends with the page; an unfinished last tag is dropped. Rows are independent, so repeated rows give repeated results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 # Elements.
 NO_TEXT = "script style noscript template title textarea iframe object svg canvas math audio video map"
+#: Those of them that hold elements and not raw text.
+EMBEDDED = "object svg canvas math audio video map noscript template"
 BLOCKS = (
     "html head body main article section nav header footer aside form fieldset div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption"
     " thead tbody tfoot tr td th blockquote pre figure figcaption address details summary hr menu dialog select option button center"
@@ -42,6 +44,8 @@ MARKS = (
 #: The same for elements that usually hold the article, where the others are often part of a name like "with-sidebar".
 STRONG_MARKS = "ad ads advert advertisement sponsored promo comment comments reply"
 CONTENT_MARKS = "post entry content story article main body page text"
+#: Before a mark in a name: the element has or lacks such a part and is none.
+HAVING = "with without has have no"
 # Frequent words of the languages at hand.
 STOP_WORDS = frozenset(
     (
@@ -63,6 +67,7 @@ TEXT, BOILER, OPEN = 1, 0, -1
 _blocks, _headings, _void = frozenset(BLOCKS.split()), frozenset(HEADINGS.split()), frozenset(VOID.split())
 _boiler, _no_text = frozenset(BOILERPLATE.split()), frozenset(NO_TEXT.split())
 _marks, _strong, _content = frozenset(MARKS.split()), frozenset(STRONG_MARKS.split()), frozenset(CONTENT_MARKS.split())
+_embedded, _having = frozenset(EMBEDDED.split()), frozenset(HAVING.split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -70,7 +75,13 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*\Z",
     re.S,
 )
-_ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?")
+_EMBEDDED_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style|textarea)\b.*?</\1\s*>"
+    rf"|<(?P<end>/?)(?P<name>{EMBEDDED.replace(' ', '|')})(?=[\s/>])(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
+    re.S | re.I,
+)
+_BLOCK_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|(?P<tag></?(?:{BLOCKS.replace(' ', '|')})(?=[\s/>]))", re.S | re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _WORD = re.compile(r"[^\W\d_]+")
 _SPACE = re.compile(r"\s+")
@@ -87,27 +98,64 @@ class Block:
     label: int = OPEN
 
 
+def _words_of(token: str) -> list[str]:
+    return [w.lower() for w in _PARTS.findall(token)]
+
+
 def _marked(name: str, attrs: str, in_article: bool) -> bool:
-    words: set[str] = set()
+    names: list[tuple[str, list[str]]] = []  # attribute, words of one of its names
     for key, *values in _ATTR.findall(attrs):
         value, key = next((v for v in values if v), ""), key.lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and "display:none" in value.replace(" ", ""):
             return True
         if key in ("class", "id", "role"):
-            words.update(w.lower() for w in _PARTS.findall(value))
+            names += [(key, _words_of(token)) for token in value.split()]
+    words = {w for _, token in names for w in token}
     if name in ("html", "body", "main", "article"):
         return bool(words & _strong) and not words & _content
+    names = [(key, _without_parts(token)) for key, token in names]
+    words = {w for _, token in names for w in token}
+    if any(token and _content.issuperset(token) for _, token in names):
+        # a wrapper of content, unless it is itself called an advert or a comment, or has the id or role of a menu and the like
+        itself = lambda key, token: _strong.issuperset(token) or key != "class" and _marks.issuperset(token)
+        return any(token and itself(key, token) for key, token in names)
     if not in_article and words & {"header", "banner"}:
         return True
     return bool(words & _marks)
 
 
+def _without_parts(token: list[str]) -> list[str]:
+    """The words of a name up to one like "with"; "has-sidebar" says what an element has."""
+    return token[: next((i for i, w in enumerate(token) if w in _having), len(token))]
+
+
+def _ends_of_embedded(html: str) -> dict[int, int]:
+    """Where the elements end whose start tags end at the keys; those that are not closed are missing."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for tag in _EMBEDDED_TAG.finditer(html):
+        if not tag["name"]:
+            continue
+        held = opened.setdefault(tag["name"].lower(), [])
+        if not tag["end"]:
+            if not tag["attrs"].endswith("/"):
+                held.append(tag.end())
+        elif held:
+            ends[held.pop()] = tag.end()
+    return ends
+
+
+def _next_block(html: str, at: int) -> int:
+    return next((m.start() for m in _BLOCK_TAG.finditer(html, at) if m["tag"]), len(html))
+
+
 def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     pieces: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, bool, int]] = []  # block element, inside boilerplate, region
     regions, in_link, heading, at = 0, 0, False, 0
+    embedded: dict[int, int] | None = None
 
     def close() -> None:
         text = _SPACE.sub(" ", unescape("".join(pieces))).strip()
@@ -134,7 +182,13 @@ def blocks(html: str) -> list[Block]:
             continue
         ends, attrs = bool(found["end"] or found["end2"]), found["attrs"] or found["attrs2"] or ""
         if name in _no_text:
-            if not ends and not attrs.endswith("/"):
+            if ends or attrs.endswith("/"):
+                continue
+            if name in _embedded:
+                if embedded is None:
+                    embedded = _ends_of_embedded(html)
+                at = embedded[at] if at in embedded else _next_block(html, at)
+            else:
                 end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
                 at = end.end() if end else len(html)
         elif name == "a":
