@@ -52,3 +52,31 @@ def test_without_both_labels_nothing_is_toxic(spark):
     for some in (labels.limit(0), labels.where("toxic = 0")):
         assert {r["toxic"] for r in severity.predict(docs, severity.train(docs, some)).collect()} == {False}
     assert severity.predict(docs.limit(0), severity.OrdinalModel()).count() == 0
+
+
+def test_a_toxic_passage_in_a_very_long_text(spark):
+    docs, labels = tiny(spark)
+    calm = "a calm text about the house and the weather of today "
+    passage = "you foul rotten beast foul rotten "
+    places = [0, 95, 5_000, 10_000]  # times ten words, once over the end of a half window
+    texts = [(i, calm * n + passage + calm * (10_000 - n), "g") for i, n in enumerate(places)] + [(9, calm * 10_000, "g")]
+    model = severity.train(docs, labels)
+    rows = {r["doc_id"]: r for r in severity.predict(spark.createDataFrame(texts, docs.schema), model).collect()}
+    assert [rows[i]["toxic"] for i in (0, 1, 2, 3, 9)] == [True] * 4 + [False]
+    short = severity.predict(spark.createDataFrame([(1, passage, "g")], docs.schema), model).first()
+    assert abs(short["severity"] - rows[2]["severity"]) < 1e-9
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    calm = "a calm text about the house and the weather of today "
+    docs = [(i, calm * 400 + ("you vile scum " * 3 if i % 2 else "") + calm * 400, "g") for i in range(40)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, severity string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    short = docs.withColumn("text", F.concat(F.lit(calm), F.when(F.col("doc_id") % 2 == 1, "you foul beast vile").otherwise("")))
+    both = docs.unionByName(short.withColumn("doc_id", F.col("doc_id") + 100))
+    more = labels.unionByName(labels.withColumn("doc_id", F.col("doc_id") + 100))
+    for d, l in ((docs, labels), (both, more)):
+        model = severity.train(d, l)
+        assert model.weights.get("vile", 0) > 0 and model.weights.get("scum", 0) > 0
+        rows = severity.predict(d, model).collect()
+        assert all(r["toxic"] == (r["doc_id"] % 2 == 1) for r in rows)

@@ -1,12 +1,14 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
-A text's features are its words and their first letters. Grades are ordered: 0 is not toxic; toxic texts get grades 1 to
+A text's features are its words and their first letters, in windows of ``PER_WORDS`` words that overlap by half and cover all of
+it; the window with the highest score counts, so a toxic passage weighs the same however long the text around it is. Grades are ordered: 0 is not toxic; toxic texts get grades 1 to
 ``GRADES`` - 1 by how much it has of the features that mark toxic texts in the sample. One weight vector serves all
 thresholds, P(grade > k) = sigmoid(w x - t_k) with t_0 < t_1 < ..., so the predicted grades are ordered too; the
 expected severity is the sum of these probabilities.
 
-The fit uses a bounded sample of labelled rows (``sample_rows`` of each label, of at most ``sample_chars``
-characters, chosen by a hash of the id) and keeps at most ``max_features`` features. Every document is scored on its whole text.
+The fit uses a bounded sample of labelled rows (``sample_rows`` of each label, chosen by a hash of the id) and keeps at most
+``max_features`` features. Of texts of more than ``sample_chars`` characters it takes the window that scores highest by a first fit on
+the others, found among all their windows. Every document is scored on its whole text.
 
 Defined results: null, empty and word-free texts have severity 0, grade 0 and are not toxic; labels that are null or without a
 document are left out; documents with equal ids are scored one by one; without both labels in the sample nothing is
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import string
 from collections import Counter
+from collections.abc import Callable, Container
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,7 +31,7 @@ GRADES = 4
 #: Probability of a grade above 0 from which a text is called toxic.
 TOXIC_FROM = 0.4
 KEPT_WORDS = 300_000
-#: Counts are taken per so many words of longer texts.
+#: Counts are taken in windows of so many words.
 PER_WORDS = 200
 #: Lengths of word beginnings that are features beside the word itself.
 BEGINNINGS = (4, 5, 6)
@@ -48,18 +51,37 @@ def _features_of(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
 
 
-def _scale(words: int) -> float:
-    return PER_WORDS / max(PER_WORDS, words)
+def _windows(words: list[str], known: Callable[[str], tuple[str, ...]]) -> list[tuple[int, dict[str, float]]]:
+    """Start and values of the known features for every window with some. A window is two halves; one whose first half has
+    none has nothing that the next window lacks."""
+    half = PER_WORDS // 2
+    halves: dict[int, Counter] = {}
+    for i, word in enumerate(words):
+        if found := known(word):
+            halves.setdefault(i // half, Counter()).update(found)
+    out = []
+    for k, counts in halves.items():
+        both = counts + halves[k + 1] if k + 1 in halves else counts
+        out.append((k * half, {f: float(np.log1p(n)) for f, n in both.items()}))
+    return out
 
 
-def features(text: str | None) -> dict[str, float]:
-    words = _words(text or "")
-    counts: Counter = Counter()
-    for word, n in Counter(words).items():
-        for f in _features_of(word):
-            counts[f] += n
-    scale = _scale(len(words))
-    return {f: float(np.log1p(n * scale)) for f, n in counts.items()}
+def _knower(features: Container[str], seen: dict[str, tuple[str, ...]]) -> Callable[[str], tuple[str, ...]]:
+    """The known features of a word; ``seen`` keeps those of words met so far."""
+
+    def known(word: str) -> tuple[str, ...]:
+        found = seen.get(word)
+        if found is None:
+            if len(seen) >= KEPT_WORDS:
+                seen.clear()
+            found = seen[word] = tuple(f for f in _features_of(word) if f in features)
+        return found
+
+    return known
+
+
+def _features(text: str | None) -> set[str]:
+    return {f for word in set(_words(text or "")) for f in _features_of(word)}
 
 
 @dataclass
@@ -72,20 +94,15 @@ class OrdinalModel:
         with np.errstate(over="ignore"):
             return 1 / (1 + np.exp(self.thresholds[None, :] - score[:, None]))
 
+    def strongest(self, words: list[str], seen: dict[str, tuple[str, ...]]) -> tuple[float, int]:
+        """Score and start of the window with the highest score; weights are never below 0."""
+        scored = ((sum(self.weights[f] * x for f, x in w.items()), -at) for at, w in _windows(words, _knower(self.weights, seen)))
+        score, at = max(scored, default=(0.0, 0))
+        return score, -at
+
     def score(self, text: str | None, seen: dict[str, tuple[str, ...]]) -> float:
         """``seen``: the known features of words met so far, which the caller keeps."""
-        counts: Counter = Counter()
-        words = _words(text or "")
-        for word in words:
-            known = seen.get(word)
-            if known is None:
-                if len(seen) >= KEPT_WORDS:
-                    seen.clear()
-                known = seen[word] = tuple(f for f in _features_of(word) if f in self.weights)
-            if known:
-                counts.update(known)
-        scale = _scale(len(words))
-        return sum(self.weights[f] * np.log1p(n * scale) for f, n in counts.items())
+        return self.strongest(_words(text or ""), seen)[0]
 
 
 def _graded(amount: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -102,12 +119,12 @@ def fit(texts: list[str], toxic: np.ndarray, max_features: int, prior: float, st
     inside: Counter = Counter()
     for text, t in zip(texts, toxic, strict=True):
         if t:
-            inside.update(features(text).keys())
+            inside.update(_features(text))
     inside = Counter({f: n for f, n in inside.items() if n >= LEAST_TEXTS})
     outside: Counter = Counter()  # of what toxic texts have; the vocabulary of all others is not needed
     for text, t in zip(texts, toxic, strict=True):
         if not t:
-            outside.update(inside.keys() & features(text).keys())
+            outside.update(inside.keys() & _features(text))
     n_in, n_out = toxic.sum(), (~toxic).sum()
     odds, sure = {}, {}
     for f, a in inside.items():
@@ -118,22 +135,38 @@ def fit(texts: list[str], toxic: np.ndarray, max_features: int, prior: float, st
     least = min(LEAST_Z, max(sure.values(), default=0) / 2)  # a very small sample is never sure
     chosen = sorted((f for f in odds if odds[f] >= 1 and sure[f] >= least), key=lambda f: (-sure[f], f))[:max_features]
     number = {f: i for i, f in enumerate(chosen)}
-    entries = [(i, number[f], x) for i, text in enumerate(texts) for f, x in features(text).items() if f in number]
-    row, col, val = (np.array(x, kind) for x, kind in zip(zip(*entries, strict=True) if entries else ([], [], []), (int, int, float), strict=True))
-    grades = _graded(np.bincount(row, val, len(texts)), toxic)
+    known = _knower(number, {})
+    bags = [[{number[f]: x for f, x in w.items()} for _, w in _windows(_words(text), known)] for text in texts]
+    # the window that counts is first chosen by the evidence of its features, then by their weights
+    strength = np.array([odds[f] for f in chosen])
+    for _ in range(2):
+        entries = [
+            (i, c, x) for i, bag in enumerate(bags) if bag for c, x in max(bag, key=lambda w: sum(strength[c] * x for c, x in w.items())).items()
+        ]
+        row, col, val = (np.array(x, kind) for x, kind in zip(zip(*entries, strict=True) if entries else ([], [], []), (int, int, float), strict=True))
+        strength, thresholds = _solved(row, col, val, toxic, len(chosen), prior, steps)
+    return OrdinalModel({f: float(x) for f, x in zip(chosen, strength, strict=True)}, thresholds)
+
+
+def _solved(
+    row: np.ndarray, col: np.ndarray, val: np.ndarray, toxic: np.ndarray, features: int, prior: float, steps: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds for the values ``val`` of the features ``col`` in the texts ``row``."""
+    texts, n_in, n_out = len(toxic), toxic.sum(), (~toxic).sum()
+    grades = _graded(np.bincount(row, val, texts), toxic)
     weight = np.where(toxic, prior / n_in, (1 - prior) / n_out)
     above = grades[:, None] > np.arange(GRADES - 1)[None, :]
 
     # without evidence a text is rarely toxic, even where half of the labelled ones are
-    w, first = np.zeros(len(chosen)), 2 + max(0.0, np.log((1 - prior) / prior))
+    w, first = np.zeros(features), 2 + max(0.0, np.log((1 - prior) / prior))
     gaps = np.full(GRADES - 2, 0.0)  # exponents: thresholds stay ordered
-    moment = [np.zeros(len(chosen) + GRADES - 1) for _ in range(2)]
+    moment = [np.zeros(features + GRADES - 1) for _ in range(2)]
     for step in range(1, steps + 1):
         t = first + np.concatenate([[0], np.cumsum(np.exp(gaps))])
-        score = np.bincount(row, w[col] * val, len(texts))
+        score = np.bincount(row, w[col] * val, texts)
         p = 1 / (1 + np.exp(np.clip(t[None, :] - score[:, None], -50, 50)))
         err = (p - above) * weight[:, None]
-        gw = np.bincount(col, err.sum(1)[row] * val, len(chosen)) + 1e-5 * w
+        gw = np.bincount(col, err.sum(1)[row] * val, features) + 1e-5 * w
         gt = -err.sum(0)
         gradient = np.concatenate([gw, [gt.sum()], [gt[k + 1 :].sum() * np.exp(gaps[k]) for k in range(GRADES - 2)]])
         moment[0] = 0.9 * moment[0] + 0.1 * gradient
@@ -141,7 +174,7 @@ def fit(texts: list[str], toxic: np.ndarray, max_features: int, prior: float, st
         move = 0.05 * (moment[0] / (1 - 0.9**step)) / (np.sqrt(moment[1] / (1 - 0.999**step)) + 1e-9)
         w, first, gaps = np.maximum(w - move[: len(w)], 0), first - move[len(w)], np.clip(gaps - move[len(w) + 1 :], -5, 5)
     thresholds = first + np.concatenate([[0], np.cumsum(np.exp(gaps))])
-    return OrdinalModel({f: float(x) for f, x in zip(chosen, w, strict=True)}, thresholds)
+    return w, thresholds
 
 
 def train(
@@ -154,17 +187,42 @@ def train(
         marked.where(F.col("is_toxic") == flag).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows) for flag in (False, True)
     ]
     ids = picked[0].unionByName(picked[1]).distinct()
-    # at most 2 * sample_rows rows
-    rows = (
-        docs.where((F.length("text") > 0) & (F.length("text") <= sample_chars))
-        .join(F.broadcast(ids), "doc_id")
-        .select("doc_id", "text", "is_toxic")
-        .limit(4 * sample_rows)
-        .toPandas()
-        .sort_values(["doc_id", "text"])
-    )
     share = totals.get(True, 0) / max(1, sum(totals.values()))
-    return fit(rows["text"].tolist(), rows["is_toxic"].to_numpy(bool), max_features, share)
+    labelled = docs.where(F.length("text") > 0).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "is_toxic")
+
+    def fitted(rows: pd.DataFrame) -> OrdinalModel:
+        rows = rows.sort_values(["doc_id", "text"])
+        return fit(rows["text"].tolist(), rows["is_toxic"].to_numpy(bool), max_features, share)
+
+    # at most 2 * sample_rows rows
+    rows = labelled.where(F.length("text") <= sample_chars).limit(4 * sample_rows).toPandas()
+    model = fitted(rows)
+
+    def excerpts(model: OrdinalModel) -> pd.DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+
+        @F.pandas_udf("string")
+        def excerpt(texts: pd.Series) -> pd.Series:
+            model, seen = shared.value, {}
+            return texts.map(lambda text: _excerpt(text, model, seen, sample_chars))
+
+        long = labelled.where(F.length("text") > sample_chars)
+        return long.withColumn("text", excerpt("text")).limit(4 * sample_rows).toPandas()
+
+    long = excerpts(model)
+    if len(long) and not model.weights:
+        model = fitted(pd.concat([rows, long]))
+        long = excerpts(model)
+    return fitted(pd.concat([rows, long])) if len(long) else model
+
+
+def _excerpt(text: str, model: OrdinalModel, seen: dict[str, tuple[str, ...]], most: int) -> str:
+    """The strongest window of a text; for a model that knows nothing yet, its different words. At most ``most`` characters."""
+    words = _words(text)
+    if not model.weights:
+        return " ".join(dict.fromkeys(words))[:most]
+    _, at = model.strongest(words, seen)
+    return " ".join(words[at : at + PER_WORDS])[:most]
 
 
 def predict(docs: DataFrame, model: OrdinalModel) -> DataFrame:
