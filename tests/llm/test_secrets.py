@@ -144,3 +144,24 @@ def test_keys_are_redacted_whole(spark):
 def test_many_headers_take_no_time():
     text = "-----BEGIN PRIVATE KEY-----\nabc def\n" * 20_000
     assert len(secrets.spans(text, secrets.Rule("pem", secrets.PEM), re.compile(secrets.PEM))) == 20_000
+
+
+def test_a_ledger_is_opened_again(spark):
+    root = new_run_dir(spark, "test-ledger")
+    first, second = versions(spark, [(1, TEXTS[0]), (2, "clean")]), versions(spark, [(3, TEXTS[0]), (4, TEXTS[2])])
+    secrets.Ledger(spark, root).add(first)
+    with pytest.raises(ValueError, match="1 contents"):
+        secrets.path_findings(second, secrets.Ledger(spark, root), strict=True)
+    scan_of = secrets.Ledger(spark, root)
+    assert secrets.scan_increment(second, scan_of.read()).count() == 1
+    scan_of.add(second)
+    # an increment that was begun and not finished counts for nothing and stays as it is
+    spark.range(1).selectExpr("unhex('00') AS blob").write.parquet(f"{root}/000002")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/000002/_SUCCESS")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, False)
+    again = secrets.Ledger(spark, root)
+    assert again.finished == ["000000", "000001"] and again.read().count() == 3
+    again.add(versions(spark, [(5, "new")]))
+    assert secrets.Ledger(spark, root).finished == ["000000", "000001", "000003"]
+    found = {r["path"]: len(r["found"]) for r in secrets.path_findings(first.unionByName(second), again, strict=True).collect()}
+    assert found == {1: 1, 2: 0, 3: 1, 4: 2}

@@ -126,19 +126,36 @@ def scan_increment(versions: DataFrame, ledger: DataFrame | None, rules: tuple[R
 
 
 class Ledger:
-    """Increments under one folder of the shared store, each written whole; reading takes them together."""
+    """Increments under one folder of the shared store, each written whole; reading takes them together. A ledger that is
+    opened again goes on behind the increments that are there; one that was not finished is neither read nor replaced."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.increments = 0
+        folder = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        held = [x.getPath() for x in files.listStatus(folder)] if files.exists(folder) else []
+        held = [x for x in held if re.fullmatch(r"\d{6,}", x.getName())]
+        self.finished = sorted(x.getName() for x in held if files.exists(spark._jvm.org.apache.hadoop.fs.Path(x, "_SUCCESS")))
+        self.next = 1 + max((int(x.getName()) for x in held), default=-1)
 
     def read(self) -> DataFrame | None:
-        paths = [f"{self.root}/{i:06d}" for i in range(self.increments)]
+        paths = [f"{self.root}/{name}" for name in self.finished]
         return self.spark.read.schema(LEDGER).parquet(*paths) if paths else None
 
     def add(self, versions: DataFrame, rules: tuple[Rule, ...] = RULES) -> None:
-        scan_increment(versions, self.read(), rules).write.mode("overwrite").parquet(f"{self.root}/{self.increments:06d}")
-        self.increments += 1
+        name, self.next = f"{self.next:06d}", self.next + 1
+        scan_increment(versions, self.read(), rules).write.mode("errorifexists").parquet(f"{self.root}/{name}")
+        self.finished.append(name)
+
+    def unscanned(self, versions: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """(blob): contents of ``versions`` that some of these rule versions have not read."""
+        blobs = with_blob(versions).select("blob").distinct()
+        ledger = self.read()
+        if ledger is None:
+            return blobs
+        keys = ledger.select("blob", F.explode("scanned").alias("key")).where(F.col("key").isin([r.key for r in rules]))
+        whole = keys.groupBy("blob").agg(F.count_distinct("key").alias("n")).where(F.col("n") == len({r.key for r in rules}))
+        return blobs.join(whole, "blob", "left_anti")
 
     def findings(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         """(blob, found): the spans of these rule versions, by start and rule; only blobs that have some."""
@@ -154,8 +171,11 @@ class Ledger:
         return one.groupBy("blob").agg(F.array_sort(F.collect_list("f")).alias("found"))
 
 
-def path_findings(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(path, blob, found) for every row of ``versions``; found is empty where nothing was."""
+def path_findings(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES, strict: bool = False) -> DataFrame:
+    """(path, blob, found) for every row of ``versions``; found is empty where nothing was, also where nothing was looked
+    for. ``strict``: contents that these rule versions have not read are an error."""
+    if strict and (missing := ledger.unscanned(versions, rules).count()):
+        raise ValueError(f"{missing} contents were not scanned by all of {[r.key for r in rules]}")
     found = ledger.findings(rules).withColumnRenamed("blob", "b")
     none = F.array().cast("array<struct<start:int,rank:int,end:int,rule:string>>")
     return (
