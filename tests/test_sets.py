@@ -119,6 +119,21 @@ def test_incremental_marks(spark):
     assert ingest.ingest_incremental(log, nothing.unionByName(mark)).count() == 1
 
 
+def test_changes_without_a_time_and_very_old_ones_pass(spark, tmp_path):
+    rows = [(1, -(2**40), 1), (2, None, 2), (3, 5, 3), (4, None, None)]
+    log = spark.createDataFrame(rows, "record_id long, change_ts long, seq long")
+    mark = ingest.high_water_mark(log)
+    ids = lambda since, **more: sorted(r.record_id for r in ingest.ingest_incremental(log, since, **more).collect())
+    assert ids(None) == ids(mark.limit(0)) == ids(mark.limit(0), seq=None) == [1, 2, 3, 4]
+    assert ids(ingest.high_water_mark(log.limit(0))) == [1, 2, 3, 4]
+    assert ids(mark) == [2, 4] and ids(mark, seq=None) == [2, 3, 4]
+    timed = log.withColumn("change_ts", F.timestamp_seconds("change_ts").cast("timestamp_ntz")).where("record_id > 1")
+    store = ingest.MarkStore(spark, str(tmp_path / "marks"))
+    first = ingest.ingest_incremental(timed, store.read("t")).count()
+    store.advance("other", timed)
+    assert ingest.ingest_incremental(timed, store.read("t")).count() == first == 3
+
+
 def test_the_scan_skips_what_is_older(spark, tmp_path):
     """Row groups before the mark are not read: the comparison reaches the scan with the mark's value."""
     path = str(tmp_path / "log")

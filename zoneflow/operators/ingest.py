@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from zoneflow.operators.cdc import DELETE
 from zoneflow.operators.limits import latest_per_key
@@ -41,13 +40,6 @@ def ingest_full(table_rows: DataFrame, messages: DataFrame, table: str) -> DataF
     return table_rows.where(filter_table(messages, table).exists())
 
 
-def _first_mark(kind: T.DataType) -> Column:
-    """Before every change: the mark of a table that has none yet."""
-    if isinstance(kind, T.NumericType):
-        return F.lit(-(2**31)).cast(kind)
-    return F.lit("0001-01-01 00:00:00" if not isinstance(kind, T.StringType) else "").cast(kind)
-
-
 def ingest_incremental(
     changes: DataFrame, since: DataFrame | None, change_ts: str = "change_ts", seq: str | None = "seq"
 ) -> DataFrame:
@@ -55,18 +47,20 @@ def ingest_incremental(
 
     Of several marks the greatest counts; None, no mark and a null mark pass everything. Changes with the time of the mark pass if their
     sequence number is greater, so one that is committed late is not lost; without ``seq`` they all pass again, for an idempotent target.
-    The comparison with the time alone has no alternative beside it, so the scan can skip what is older.
+    Changes without a time are never known to be old: they always pass, again and again, for an idempotent target.
+    Both alternatives are on the time alone, so the scan can skip what is older. Whether there is a mark is looked up at once.
     """
-    if since is None:
+    if since is None or since.where("high_water_mark IS NOT NULL").isEmpty():
         return changes
     kind = changes.schema[change_ts].dataType
-    newest = since.agg(F.coalesce(F.max("high_water_mark").cast(kind), _first_mark(kind)).alias("m")).scalar()
-    after = changes.where(F.col(change_ts) >= newest)
+    newest = since.agg(F.max("high_water_mark").cast(kind).alias("m")).scalar()
+    untimed = F.col(change_ts).isNull()
+    after = changes.where((F.col(change_ts) >= newest) | untimed)
     if seq is None:
         return after
     number = changes.schema[seq].dataType
     last = since.agg(F.max(F.struct("high_water_mark", "high_water_seq"))["high_water_seq"].cast(number).alias("s")).scalar()
-    return after.where((F.col(change_ts) > newest) | F.coalesce(F.col(seq) > last, F.lit(True)))
+    return after.where((F.col(change_ts) > newest) | F.coalesce(F.col(seq) > last, F.lit(True)) | untimed)
 
 
 def high_water_mark(changes: DataFrame, change_ts: str = "change_ts", seq: str | None = "seq") -> DataFrame:
