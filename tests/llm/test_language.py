@@ -54,3 +54,13 @@ def test_nothing_to_learn_from(spark):
 def test_whole_texts_count(spark):
     network = language.train(small(spark))
     assert network.predict(["das haus und " * 10 + "the dog and " * 200])[0].argmax() == network.languages.index("en")
+
+
+def test_numerals_are_no_letters(spark):
+    texts = ["\u00b2", "\u00bd \u2460 \u2167", "12_\u00b3"]
+    docs = small(spark)
+    network = language.train(docs)
+    signs = spark.createDataFrame([(i, t, None, "c") for i, t in enumerate(texts)], docs.schema)
+    assert {(r["lang_pred"], r["score"]) for r in language.predict(signs, network).collect()} == {("und", 0.0)}
+    assert language.identified(signs, network).count() == 0
+    assert language.has_letter("\u00b2 m") and language.has_letter("\u5bb6")

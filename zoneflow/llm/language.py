@@ -32,7 +32,12 @@ WINDOWS_A_DOC = 8
 #: Windows in one pass of the network: what they need stays in the processor's cache.
 BATCH = 48
 _REACH = max(WIDTHS) - 1
-_LETTER = re.compile(r"[^\W\d_]")
+#: Every letter, and numerals such as a superscript two.
+_MAY_BE_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in _MAY_BE_LETTER.finditer(text))
 
 
 def tiles(text: str) -> np.ndarray:
@@ -184,7 +189,7 @@ def _predictor(docs: DataFrame, network: ByteNetwork | None):
     @F.pandas_udf("lang_pred string, score double")
     def predicted(column: pd.Series) -> pd.DataFrame:
         network, texts = shared.value, column.tolist()
-        known = [i for i, t in enumerate(texts) if network is not None and t is not None and _LETTER.search(t)]
+        known = [i for i, t in enumerate(texts) if network is not None and t is not None and has_letter(t)]
         lang, score = np.full(len(texts), UNDETERMINED, object), np.zeros(len(texts))
         for s in range(0, len(known), 64):
             part = known[s : s + 64]
