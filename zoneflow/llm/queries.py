@@ -7,17 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import chat, decontaminate, jaccard, language, packing, pages, revisits, secrets, severity, topk
+from zoneflow.llm import bestfit, chat, decontaminate, infill, jaccard, language, packing, pages, revisits, secrets, severity, topk
 from zoneflow.llm.common import load, on_executors
 from zoneflow.session import new_run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -83,10 +83,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.path_findings(versions, ledger))
 
 
+@query
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack_best_fit(load(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digest(infill.fill_in_middle(load(spark, sf_dir, "documents")))
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_revisit_resolution": revisits.SQL,
     "op3_chat_formatting": chat.SQL,
     "op6_ngram_jaccard_join": jaccard.SQL,
     "op7_benchmark_decontamination": decontaminate.SQL,
     "op9_exact_top_k": topk.SQL,
+    "op13_fill_in_middle": infill.SQL,
 }
