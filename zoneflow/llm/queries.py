@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import bestfit, chat, decontaminate, infill, jaccard, language, packing, pages, revisits, secrets, severity, topk
+from zoneflow.llm import bestfit, chat, decontaminate, infill, jaccard, language, packing, pages, repair, revisits, secrets, severity, topk
 from zoneflow.llm.common import load, on_executors
 from zoneflow.session import new_run_dir
 
@@ -88,6 +88,12 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.pack_best_fit(load(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = load(spark, sf_dir, "conversations")
+    return repair.digest(conversations, repair.repair(repair.damaged(conversations)))
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digest(infill.fill_in_middle(load(spark, sf_dir, "documents")))

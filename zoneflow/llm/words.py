@@ -8,7 +8,9 @@ white space reaches over such a cut are encoded as a whole, as are texts with a
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +20,12 @@ import pyarrow.compute as pc
 #: Characters of texts taken together; a longer text is a slice of its own.
 SLICE_CHARS = 8_000_000
 KEPT_WORDS = 600_000
+#: Words encoded in one text.
+TOGETHER = 256
+
+#: Latin letters whose lower case is one letter, and a mark that is always split from them.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+[,.]?")
+_NO_SPACE = re.compile(r"\S+")
 
 
 class TextEncoder:
@@ -30,13 +38,14 @@ class TextEncoder:
         self.encoder = Tokenizer.from_file(path)
         self.space = space
         self.special = [t.content for t in self.encoder.get_added_tokens_decoder().values()]
-        self._forget()
-
-    def _forget(self) -> None:
+        tokens = self.encoder.get_vocab(with_added_tokens=True)
+        #: Ids that begin a word with its space, or end a word where white space is dropped.
+        self.edge = np.zeros(max(tokens.values()) + 1, bool)
+        self.edge[[i for t, i in tokens.items() if (t.startswith("\u0120") if space else t.endswith("</w>"))]] = True
         self.index: dict[str, int] = {}
         self.flat = np.zeros(0, "<u4")
-        self.starts = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int64)
+        self.starts, self.lengths, self.slices = (np.zeros(0, np.int64) for _ in range(3))
+        self.left, self.right, self.alone = (np.zeros(0, bool) for _ in range(3))
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         begin = chars = 0
@@ -56,40 +65,33 @@ class TextEncoder:
         at = split.offsets.to_numpy()
         words = coded.dictionary.to_pylist()
         code = coded.indices.to_numpy()
-        whole = self._whole(words, code, at) if self.space else np.zeros(len(texts), bool)
         if self.space:  # the first word of a text has no space before it
-            first = at[:-1]
-            own, code = self._first_words(words, code, first)
-            words = [self.space + w for w in words] + own
-        known = self._known(words)
-        lengths = self.lengths[known][code]
+            distinct, new = np.unique(code[at[:-1]], return_inverse=True)
+            code = code.astype(np.int64)
+            code[at[:-1]] = len(words) + new
+            words = [self.space + w for w in words] + [words[i] for i in distinct.tolist()]
+        place = self._known(words)[code]
+        lengths = self.lengths[place]
         ends = np.cumsum(lengths)
-        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[known][code] - ends + lengths, lengths)]
+        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[place] - ends + lengths, lengths)]
         bounds = np.concatenate([[0], ends])[at]
+        whole = self._whole(place, at) if self.space else np.zeros(len(texts), bool)
         for i, text in enumerate(texts):
             if whole[i]:
                 yield np.array(self.encoder.encode(text, add_special_tokens=False).ids, "<u4")
             else:
                 yield ids[bounds[i] : bounds[i + 1]]
 
-    def _first_words(self, words: list[str], code: np.ndarray, first: np.ndarray) -> tuple[list[str], np.ndarray]:
-        distinct, new = np.unique(code[first], return_inverse=True)
-        code = code.astype(np.int64)
-        code[first] = len(words) + new
-        return [words[i] for i in distinct.tolist()], code
-
-    def _whole(self, words: list[str], code: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Which texts must be encoded as a whole."""
-        left = np.fromiter((not w or w[-1].isspace() for w in words), bool, len(words))
-        right = np.fromiter((not w or w[0].isspace() for w in words), bool, len(words))
-        special = np.fromiter((any(s in w for s in self.special) if "|" in w else False for w in words), bool, len(words))
-        bad = special[code]
-        bad[:-1] |= left[code[:-1]] & right[code[1:]]
-        bad[at[1:-1] - 1] = special[code[at[1:-1] - 1]]  # the last word of a text and the first of the next do not meet
+    def _whole(self, place: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Which texts must be encoded as a whole: white space meets at a cut, or a special token is inside."""
+        bad = self.left[place]
+        bad[:-1] &= self.right[place[1:]]
+        bad[at[1:] - 1] = False  # the last word of a text and the first of the next do not meet
+        bad |= self.alone[place]
         return np.bincount(np.repeat(np.arange(len(at) - 1), np.diff(at))[bad], minlength=len(at) - 1) > 0
 
     def _known(self, words: list[str]) -> np.ndarray:
-        """Place in ``starts`` and ``lengths`` of each word."""
+        """Place in the arrays of each word."""
         get = self.index.get
         found = [get(w, -1) for w in words]
         missing = [w for w, i in zip(words, found, strict=True) if i < 0]
@@ -99,20 +101,77 @@ class TextEncoder:
         if missing:
             self._learn(missing)
             found = [self.index[w] for w in words]
-        return np.array(found, np.int64)
+        places = np.array(found, np.int64)
+        self.slices[places] += 1
+        return places
+
+    def _forget(self) -> None:
+        """Words that came in several slices stay, if they are less than half of those to keep."""
+        kept = np.flatnonzero(self.slices > 1)
+        if 2 * len(kept) > KEPT_WORDS:
+            kept = kept[:0]
+        words = list(self.index)
+        self.index = {words[i]: k for k, i in enumerate(kept.tolist())}
+        lengths = self.lengths[kept]
+        ends = np.cumsum(lengths)
+        self.flat = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[kept] - ends + lengths, lengths)]
+        self.starts, self.lengths, self.slices = ends - lengths, lengths, np.zeros(len(kept), np.int64)
+        self.left, self.right, self.alone = self.left[kept], self.right[kept], self.alone[kept]
 
     def _learn(self, missing: list[str]) -> None:
-        parts, lengths = [self.flat], []
-        for i in range(0, len(missing), 10_000):
-            ids = [e.ids for e in self.encoder.encode_batch_fast(missing[i : i + 10_000], add_special_tokens=False)]
-            lengths += map(len, ids)
-            parts.append(np.fromiter((x for word in ids for x in word), "<u4", sum(map(len, ids))))
+        if self.space:
+            bare = [w.removeprefix(self.space) for w in missing]
+            alone = [("|" in w and any(s in w for s in self.special)) for w in bare]
+            joint = [w is not b and not a and bool(_NO_SPACE.fullmatch(b)) for w, b, a in zip(missing, bare, alone, strict=True)]
+            self.left = np.append(self.left, [not w or w[-1].isspace() for w in bare])
+            self.right = np.append(self.right, [not w or w[0].isspace() for w in bare])
+        else:
+            alone = [False] * len(missing)
+            joint = [bool(_LATIN.fullmatch(w)) for w in missing]
+            self.left = self.right = np.zeros(len(self.left) + len(missing), bool)
+        self.alone = np.append(self.alone, np.array(alone, bool))
+        missing = [w for w, j in zip(missing, joint, strict=True) if j] + [w for w, j in zip(missing, joint, strict=True) if not j]
+        order = np.argsort(~np.array(joint, bool), kind="stable") + len(self.index)
+        for flags in ("alone",) if not self.space else ("left", "right", "alone"):
+            held = getattr(self, flags)
+            held[len(self.index) :] = held[order]
+        count = sum(joint)
+        flat, lengths = [self.flat], []
+        for i in range(0, count, 64 * TOGETHER):
+            self._learn_together(missing[i : min(count, i + 64 * TOGETHER)], flat, lengths)
+        for i in range(count, len(missing), 10_000):
+            self._learn_each(missing[i : i + 10_000], flat, lengths)
         known = len(self.index)
         self.index.update(zip(missing, range(known, known + len(missing)), strict=True))
-        new = np.array(lengths, np.int64)
+        new = np.concatenate(lengths)
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(new) - new])
         self.lengths = np.concatenate([self.lengths, new])
-        self.flat = np.concatenate(parts)
+        self.slices = np.concatenate([self.slices, np.zeros(len(new), np.int64)])
+        self.flat = np.concatenate(flat)
+
+    def _learn_each(self, words: list[str], flat: list[np.ndarray], lengths: list[np.ndarray]) -> None:
+        ids = [e.ids for e in self.encoder.encode_batch_fast(words, add_special_tokens=False)]
+        lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+        flat.append(np.fromiter(itertools.chain.from_iterable(ids), "<u4", int(lengths[-1].sum())))
+
+    def _learn_together(self, words: list[str], flat: list[np.ndarray], lengths: list[np.ndarray]) -> None:
+        """Many words in one text. How many ids of each word are edges is known, so the edges say where it ends."""
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        texts = [("" if self.space else " ").join(g) for g in groups]
+        for group, e in zip(groups, self.encoder.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            edges = np.flatnonzero(self.edge[ids])
+            if self.space:
+                expected, ends = len(group), np.append(edges[1:], len(ids))
+            else:
+                own = np.fromiter((1 + (w[-1] in ",.") for w in group), np.int64, len(group))
+                expected = int(own.sum())
+                ends = edges[np.minimum(np.cumsum(own), len(edges)) - 1] + 1
+            if len(edges) != expected:
+                self._learn_each(group, flat, lengths)
+                continue
+            lengths.append(np.diff(ends, prepend=0))
+            flat.append(ids)
 
 
 _loaded: dict[tuple[str, str], TextEncoder] = {}
