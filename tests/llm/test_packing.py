@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -15,26 +16,12 @@ ODD = [
     "a b  c\t d\x1ce <|endoftext|>x <|startoftext|> É́ Σας ΣΑΣ İstanbul don't I'LL 12a ̈b",
     "",
     "  \n ",
-    "İstanbul, Ab. ,. a.. İİ",
+    "İstanbul, Ab. ,. a.. İİ TAKSİ. TAKSİ, ढ़, שׁ.",
     "ein Satz. Noch einer!",
     "x" * 5000,
 ]
 
 
-def test_words_give_the_ids_of_whole_texts():
-    plain, words = Tokenizer.from_file(PATH), packing.WordTokenizer(PATH)
-    texts = ODD + ["The the, THE. mid-dle " * 50]
-    assert [x.tolist() for x in words.encode(texts)] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
-
-
-def test_forgotten_words_are_learned_again(monkeypatch):
-    monkeypatch.setattr(packing, "KEPT_WORDS", 5)
-    plain, words = Tokenizer.from_file(PATH), packing.WordTokenizer(PATH)
-    rng = random.Random(0)
-    texts = [" ".join(rng.choice(["ab", "cd.", "ef,", "gh", "i1", "jk", "l.", "M"]) for _ in range(30)) for _ in range(20)]
-    assert [x.tolist() for x in words.encode(texts)] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
-
-
 def cost(at, penalty, cuts, capacity):
     return sum(penalty[j] + capacity - (at[j] - at[i]) for i, j in zip(cuts, cuts[1:]))
 
@@ -56,10 +43,22 @@ def test_cuts_are_the_cheapest():
         assert cost(at, penalty, cuts, capacity) == best[-1]
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 5, 4095])
-def test_powers_of_two(n):
-    parts = packing.powers_of_two(n)
-    assert sum(parts) == n and all(p & (p - 1) == 0 for p in parts)
+def test_tail_cuts_are_the_cheapest():
+    rng = random.Random(6)
+    for _ in range(200):
+        capacity = rng.choice([4, 8, 13])
+        at = [0]
+        for _ in range(rng.randint(0, 6)):
+            at.append(at[-1] + rng.randint(1, capacity))
+        penalty = dict(zip(at, [rng.choice([0, 0, 2, 7]) for _ in at]))
+        places = sorted({p for a in at for p in (a, *(a + 2**k for k in range(capacity.bit_length()))) if p <= at[-1]})
+        window = lambda n: 0 if n & (n - 1) == 0 else capacity - n
+        best = {0: 0}
+        for b in places[1:]:
+            best[b] = min(best[a] + window(b - a) for a in places if 0 < b - a <= capacity) + penalty.get(b, packing.MIDDLE_PENALTY)
+        cuts = packing.tail_cuts(at, [penalty[a] for a in at], capacity)
+        assert cuts[0] == 0 and cuts[-1] == at[-1]
+        assert sum(window(b - a) + penalty.get(b, packing.MIDDLE_PENALTY) for a, b in zip(cuts, cuts[1:])) == best[at[-1]]
 
 
 def checked(rows, docs, capacity):
@@ -98,11 +97,26 @@ def test_round_trip_of_the_table(spark, sf):
     assert padding < 0.02 * sum(lengths)
 
 
+def rows_in_process(docs, capacity):
+    """Blocks far smaller than a document."""
+    encoder = packing.text_encoder(PATH)
+    stream = packing._Stream(0, capacity, packing.ends_sentence(encoder))
+    out = []
+    for (i, _), ids in zip(docs, encoder.encode([t or "" for _, t in docs])):
+        out.extend(stream.add(i, np.append(ids, 2).astype("<u4")))
+        assert stream.held < packing.BLOCK_TOKENS + capacity
+    out.extend(stream.flush(final=True))
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    return [SimpleNamespace(**dict(zip(names, row)), ids=row[-1].tolist()) for row in out]
+
+
 def test_odd_rows(spark, monkeypatch):
     docs = [*enumerate(ODD), (7, None), (None, "no id"), (2**60 + 1, "word. " * 9000)]
     df = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, start int").coalesce(1)
     checked(packing.pack_documents(df, PATH, with_ids=True).collect(), docs, 4096)
     checked(packing.pack_documents(df, PATH, capacity=64, with_ids=True).collect(), docs, 64)
+    monkeypatch.setattr(packing, "BLOCK_TOKENS", 200)
+    checked([r for r in rows_in_process(docs, 64)], docs, 64)
     twice = packing.pack_documents(df.unionByName(df), PATH)
     assert twice.agg({"length": "sum"}).first()[0] == 2 * packing.pack_documents(df, PATH).agg({"length": "sum"}).first()[0]
     assert packing.pack_documents(df.limit(0), PATH).count() == 0

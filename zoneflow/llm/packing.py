@@ -8,7 +8,8 @@ right, with the candidates for the last cut in a monotone queue:
     best[i] = penalty[i] + capacity - at[i] + min(best[j] + at[j])    over cuts j with at[i] - at[j] <= capacity
 
 The stream is cut in blocks of some dozens of windows; what follows the last cut of a block begins the next one,
-so a task holds one block. At a partition's end the rest is cut into powers of two, which need no padding.
+so a task holds one block; a longer document enters it part by part. At a partition's end the rest is cut by the same costs,
+where sequences whose length is a power of two count as unpadded.
 
 Sequences never span partitions, so nothing is shuffled, and a task that runs again makes the same rows.
 ``sequence_id`` is the partition's number times 2**32 plus the sequence's number there.
@@ -20,7 +21,6 @@ their own; a null ``doc_id`` stays null; an empty table gives no rows. Other col
 from __future__ import annotations
 
 import itertools
-import os
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -31,6 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zoneflow.llm.words import TextEncoder, text_encoder
+
 END_ID = 2
 CAPACITY = 4096
 SENTENCE_PENALTY = 16
@@ -39,93 +41,23 @@ MIDDLE_PENALTY = 256
 LONG_SENTENCE = 512
 MIDDLE_STEP = 256
 BLOCK_TOKENS = 64 * CAPACITY
-KEPT_WORDS = 400_000
+#: Pieces handed on together.
+FRAME_ROWS = 2000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
 
 
-class WordTokenizer:
-    """Ids of whole texts, by white-space separated words, each distinct word encoded once while it is remembered.
-
-    Only for tokenizers whose words never reach over a space or a newline and that drop both.
-    """
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.encoder = Tokenizer.from_file(path)
-        vocabulary = self.encoder.get_vocab(with_added_tokens=True)
-        self.ends_sentence = np.zeros(max(vocabulary.values()) + 1, bool)
-        for token, i in vocabulary.items():
-            self.ends_sentence[i] = token.removesuffix("</w>").endswith((".", "!", "?"))
-        self.ends_word = np.zeros(len(self.ends_sentence), bool)
-        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.earlier: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            distinct = set(words)
-            while missing := [w for w in distinct if w not in self.words]:
-                self._learn(missing)
-            yield np.frombuffer(b"".join(map(self.words.__getitem__, words)), "<u4")
-
-    def _learn(self, missing: list[str]) -> None:
-        """Words come from the generation before or are encoded; a full generation makes room for the next.
-        The words of one text stay together, whatever their number."""
-        if len(self.words) > KEPT_WORDS:
-            self.earlier, self.words = self.words, {}
-            return
-        self.words.update((w, self.earlier[w]) for w in missing if w in self.earlier)
-        stems, marked, others = set(), [], []
-        for w in missing:
-            if w in self.words:
-                continue
-            if w.isalpha():
-                stems.add(w)
-            elif w[-1:] in (",", ".") and w[:-1].isalpha():  # letters and a mark are always split there
-                marked.append(w)
-                if w[:-1] not in self.words:
-                    stems.add(w[:-1])
-            else:
-                others.append(w)
-        others += [m for m in (",", ".") if m not in self.words]
-        self._encode_letters(sorted(stems))
-        self._encode_each(others)
-        self.words.update((w, self.words[w[:-1]] + self.words[w[-1]]) for w in marked)
-
-    def _encode_each(self, words: list[str]) -> None:
-        for w, e in zip(words, self.encoder.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self.words[w] = np.array(e.ids, "<u4").tobytes()
-
-    def _encode_letters(self, stems: list[str], together: int = 256) -> None:
-        """Words of letters only, many in one text: each ends at an id that ends a word."""
-        groups = [stems[i : i + together] for i in range(0, len(stems), together)]
-        for group, e in zip(groups, self.encoder.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
-            if len(ends) != len(group):  # a letter whose lower case is no single letter
-                self._encode_each(group)
-                continue
-            packed = ids.tobytes()
-            self.words.update((w, packed[s:t]) for w, s, t in zip(group, [0, *ends[:-1].tolist()], ends.tolist(), strict=True))
+def ends_sentence(encoder: TextEncoder) -> np.ndarray:
+    """Which ids end a sentence."""
+    vocabulary = encoder.encoder.get_vocab(with_added_tokens=True)
+    out = np.zeros(max(vocabulary.values()) + 1, bool)
+    out[[i for token, i in vocabulary.items() if token.removesuffix("</w>").endswith((".", "!", "?"))]] = True
+    return out
 
 
-_loaded: dict[str, WordTokenizer] = {}
-
-
-def tokenizer(path: str) -> WordTokenizer:
-    """One per Python worker."""
-    if path not in _loaded:
-        _loaded[path] = WordTokenizer(path)
-    return _loaded[path]
-
-
-def best_cuts(at: list[int], penalty: list[int], capacity: int, whole: bool) -> list[int]:
+def best_cuts(at: list[int], penalty: list[int], capacity: int, whole: bool = False) -> list[int]:
     """Indices into ``at`` (``at[0]`` = 0, gaps up to ``capacity``) of the cheapest cuts, 0 first.
 
     ``whole``: the last place must be a cut. Otherwise the best cut within ``capacity`` of it ends the block.
@@ -155,8 +87,25 @@ def best_cuts(at: list[int], penalty: list[int], capacity: int, whole: bool) ->
     return cuts[::-1]
 
 
-def powers_of_two(n: int) -> list[int]:
-    return [1 << b for b in range(n.bit_length() - 1, -1, -1) if n >> b & 1]
+def tail_cuts(at: list[int], penalty: list[int], capacity: int) -> list[int]:
+    """Places of the cheapest cuts of what is left at a partition's end, 0 and ``at[-1]`` included.
+
+    A sequence whose length is a power of two needs no padding, so each place also offers the places a power of two behind it.
+    """
+    natural, cost_there = np.array(at, np.int64), dict(zip(at, penalty, strict=True))
+    ahead = (natural[:, None] + (1 << np.arange(capacity.bit_length()))[None, :]).ravel()
+    places = np.union1d(natural, ahead[ahead < natural[-1]])
+    best, back = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+    for i in range(1, len(places)):
+        first = int(np.searchsorted(places, places[i] - capacity))
+        length = places[i] - places[first:i]
+        cost = best[first:i] + np.where(length & (length - 1) == 0, 0, capacity - length)
+        back[i] = first + int(np.argmin(cost))
+        best[i] = cost.min() + cost_there.get(int(places[i]), MIDDLE_PENALTY)
+    cuts = [len(places) - 1]
+    while cuts[-1]:
+        cuts.append(int(back[cuts[-1]]))
+    return places[cuts[::-1]].tolist()
 
 
 class _Stream:
@@ -168,32 +117,41 @@ class _Stream:
         self.parts: list[tuple[object, int, np.ndarray, int]] = []  # doc_id, start, ids, doc_tokens
         self.held = 0
 
-    def add(self, doc_id: object, ids: np.ndarray) -> None:
-        self.parts.append((doc_id, 0, ids, len(ids)))
-        self.held += len(ids)
-
-    def _places(self) -> tuple[list[int], list[int]]:
-        ends = np.cumsum([len(p[2]) for p in self.parts])
-        whole = np.concatenate([p[2] for p in self.parts])
-        stops = np.union1d(np.flatnonzero(self.ends_sentence[whole]) + 1, ends)
+    def add(self, doc_id: object, ids: np.ndarray) -> Iterator[tuple]:
+        """Takes a document in, block by block; hands on what is packed."""
+        for start in range(0, len(ids), BLOCK_TOKENS):
+            part = ids[start : start + BLOCK_TOKENS]
+            self.parts.append((doc_id, start, part, len(ids)))
+            self.held += len(part)
+            if self.held >= BLOCK_TOKENS:
+                yield from self.flush(final=False)
+
+    def _places(self, skipped: int = 0) -> tuple[list[int], list[int]]:
+        """Where the tokens after the first ``skipped`` may be cut, and what a cut costs there."""
+        until = np.cumsum([len(ids) for _, _, ids, _ in self.parts])
+        complete = np.array([start + len(ids) == total for _, start, ids, total in self.parts])
+        whole = np.concatenate([ids for _, _, ids, _ in self.parts])
+        ends = until[complete]
+        stops = np.union1d(np.flatnonzero(self.ends_sentence[whole]) + 1, np.append(ends, until[-1]))
         gaps = np.diff(stops, prepend=0)
         step = min(MIDDLE_STEP, self.capacity)
         between = [
             np.arange(stop - gap + step, stop, step) for stop, gap in zip(stops, gaps, strict=True) if gap > min(LONG_SENTENCE, self.capacity)
         ]
-        places = np.unique(np.concatenate([[0], stops, *between])).astype(np.int64)
+        places = np.unique(np.concatenate([[skipped], stops, *between])).astype(np.int64)
+        places = places[places >= skipped]
         penalty = np.where(np.isin(places, ends), 0, np.where(np.isin(places, stops), SENTENCE_PENALTY, MIDDLE_PENALTY))
-        return places.tolist(), penalty.tolist()
+        return (places - skipped).tolist(), penalty.tolist()
 
-    def flush(self, final: bool) -> list[tuple]:
+    def flush(self, final: bool) -> Iterator[tuple]:
         if not self.held:
-            return []
+            return
         at, penalty = self._places()
-        cuts = [at[i] for i in best_cuts(at, penalty, self.capacity, whole=False)]
-        lengths = [b - a for a, b in itertools.pairwise(cuts)]
-        if final:
-            lengths += powers_of_two(self.held - cuts[-1])
-        return [row for n in lengths for row in self._take(n)]
+        cuts = [at[i] for i in best_cuts(at, penalty, self.capacity)]
+        if final and cuts[-1] < self.held:
+            cuts += [cuts[-1] + c for c in tail_cuts(*self._places(cuts[-1]), self.capacity)[1:]]
+        for a, b in itertools.pairwise(cuts):
+            yield from self._take(b - a)
 
     def _take(self, n: int) -> Iterator[tuple]:
         """The next ``n`` tokens as one sequence."""
@@ -220,16 +178,19 @@ def _pack(path: str, capacity: int, with_ids: bool):
         return out.assign(ids=[x.astype("i4") for x in out["ids"]]) if with_ids else out.drop(columns="ids")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = tokenizer(path)
-        stream = _Stream(TaskContext.get().partitionId() << 32, capacity, words.ends_sentence)
+        encoder = text_encoder(path)
+        stream = _Stream(TaskContext.get().partitionId() << 32, capacity, ends_sentence(encoder))
         end = np.array([END_ID], "<u4")
+        rows: list[tuple] = []
         for batch in batches:
             texts = [x or "" for x in batch["text"]]
-            for doc_id, ids in zip(batch["doc_id"], words.encode(texts), strict=True):
-                stream.add(doc_id, np.concatenate([ids, end]))
-                if stream.held >= BLOCK_TOKENS:
-                    yield frame(stream.flush(final=False))
-        yield frame(stream.flush(final=True))
+            for doc_id, ids in zip(batch["doc_id"], encoder.encode(texts), strict=True):
+                rows.extend(stream.add(doc_id, np.concatenate([ids, end])))
+                if len(rows) >= FRAME_ROWS:
+                    yield frame(rows)
+                    rows = []
+        rows.extend(stream.flush(final=True))
+        yield frame(rows)
 
     return run
 
