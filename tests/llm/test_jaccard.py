@@ -5,6 +5,7 @@ import random
 import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from zoneflow.llm import jaccard
 from zoneflow.llm.components import components
@@ -108,3 +109,20 @@ def test_similar_is_exact(x, y):
     assert (len(p), len(q)) == (len(a), len(b))
     assert len(np.intersect1d(p, q)) == len(a & b)
     assert similar(p, q, 75) == bool(a and b and 100 * len(a & b) >= 75 * len(a | b))
+
+
+def test_one_of_each_with_a_full_bitmap_and_repeated_ids(spark):
+    docs = corpus(6)
+    df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, marked_id string")
+    want = {c for i, _, c in brute(docs) if i == c}
+    for bits in (11, 29):
+        got = [r["doc_id"] for r in jaccard.one_of_each(df, max_bits=bits).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_bitmap_knows_every_id(spark):
+    ids = spark.range(0, 5000, 3).withColumnRenamed("id", "marked")
+    bits, bitmap = jaccard._ids_bitmap(ids, 29)
+    shared = spark.sparkContext.broadcast(bitmap)
+    maybe = {r[0] for r in spark.range(5000).where(jaccard._maybe_in(F.col("id"), bits, shared)).collect()}
+    assert set(range(0, 5000, 3)) <= maybe and len(maybe) < 2200

@@ -64,3 +64,60 @@ def test_numerals_are_no_letters(spark):
     assert {(r["lang_pred"], r["score"]) for r in language.predict(signs, network).collect()} == {("und", 0.0)}
     assert language.identified(signs, network).count() == 0
     assert language.has_letter("\u00b2 m") and language.has_letter("\u5bb6")
+
+
+def test_stage_writes_the_language(spark):
+    docs = small(spark).withColumn("language", F.lit("x")).withColumn("_language", F.lit("y"))
+    network = language.train(docs)
+    kept = language.identified(docs, network)
+    assert kept.columns == docs.columns
+    assert {(r["doc_id"], r["lang"]) for r in kept.where("doc_id IN (0, 1, 103)").collect()} == {(0, "en"), (1, "de"), (103, "de")}
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_a_corpus_without_labels_is_kept(spark):
+    docs = small(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = language.identified(docs, language.train(docs))
+    assert kept.columns == docs.columns and kept.count() == 44
+    assert kept.where("lang IS NOT NULL").count() == 0
+
+
+def test_ids_of_any_type_and_rows_without_id(spark):
+    docs = small(spark)
+    texts = docs.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id")))
+    assert language.train(texts).languages == ["de", "en"]
+    nobody = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    assert nobody.where(language.may_be_learned(F.col("doc_id"))).count() == 0
+    assert not any(r["held_out"] for r in language.predict(nobody, None).collect())
+
+
+def plain(network, text):
+    """Filters, their largest answer, the softmax and the mean over windows, written as loops."""
+    raw = text.encode().lower()
+    windows = -(-len(raw) // language.WINDOW)
+    raw += bytes(windows * language.WINDOW + language._REACH - len(raw))
+    total, weights = np.zeros(len(network.languages)), 0
+    for w in range(windows):
+        hidden = []
+        for f in range(network.filters.shape[1]):
+            answers = []
+            for t in range(w * language.WINDOW, (w + 1) * language.WINDOW):
+                answer = 0.0
+                for k in range(max(language.WIDTHS)):
+                    for d in range(language.EMBEDDING):
+                        answer += float(network.embedding[raw[t + k], d]) * float(network.filters[k * language.EMBEDDING + d, f])
+                answers.append(answer)
+            hidden.append(max(0.0, max(answers) + float(network.bias[f])))
+        scores = np.exp(np.array(hidden) @ network.dense + network.dense_bias)
+        used = sum(b != 0 for b in raw[w * language.WINDOW : (w + 1) * language.WINDOW])
+        total += used * scores / scores.sum()
+        weights += used
+    return total / weights
+
+
+def test_against_a_plain_convolution(spark):
+    network = language.train(small(spark))
+    texts = ["the dog and das haus", "x", "und das " * 20]
+    for text, got in zip(texts, network.predict(texts), strict=True):
+        assert np.allclose(got, plain(network, text), atol=1e-3)

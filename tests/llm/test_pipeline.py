@@ -62,6 +62,29 @@ def test_packing_has_every_document(staged):
     assert set(ids(staged[5])) == set(ids(staged[4]))
 
 
+CLASHING = ["marked_id", "marked_id_kept", "marked_id_rows", "_marked_id", "bad_id", "bad_content", "found_blob", "found_spans", "language", "node", "of", "of_id", "of_content", "component_id", "blob", "path", "h", "pos", "w", "t", "win", "label", "n", "grp", "text_a"]
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_extra_columns_with_the_names_used_inside(spark, sf, number):
+    """Every name that a stage uses itself may be a column of the documents; rows and values stay as without them."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60")
+    extra = docs.select("*", *[F.concat(F.lit(f"{c}:"), F.col("doc_id")).alias(c) for c in CLASHING])
+    stage = corpus_pipeline.STAGES[number][1]
+    plain = {r["doc_id"]: r["text"] for r in stage(spark, docs, sf).collect()}
+    out = stage(spark, extra, sf)
+    assert out.columns == extra.columns
+    rows = out.collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == plain
+    assert all(r[c] == f"{c}:{r['doc_id']}" for r in rows for c in CLASHING)
+
+
+def test_a_corpus_without_languages_is_kept(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    letters = docs.where(F.col("text").rlike(r"\p{L}")).count()
+    assert corpus_pipeline.STAGES[0][1](spark, docs, sf).count() == letters > 0
+
+
 def test_run(spark, sf, staged, tmp_path):
     """The whole chain over the same documents makes the rows that its stages make."""
     staged[0].coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))

@@ -165,3 +165,10 @@ def test_a_ledger_is_opened_again(spark):
     assert secrets.Ledger(spark, root).finished == ["000000", "000001", "000003"]
     found = {r["path"]: len(r["found"]) for r in secrets.path_findings(first.unionByName(second), again, strict=True).collect()}
     assert found == {1: 1, 2: 0, 3: 1, 4: 2}
+
+
+def test_an_empty_ledger_has_no_findings(spark):
+    ledger = secrets.Ledger(spark, new_run_dir(spark, "empty-ledger"))
+    assert ledger.findings().count() == 0
+    versions = spark.createDataFrame([("a", "token=abcdefgh12")], "path string, text string")
+    assert [len(r["found"]) for r in secrets.path_findings(versions, ledger).collect()] == [0]

@@ -80,3 +80,56 @@ def test_long_labelled_texts_are_learned_from(spark):
         assert model.weights.get("vile", 0) > 0 and model.weights.get("scum", 0) > 0
         rows = severity.predict(d, model).collect()
         assert all(r["toxic"] == (r["doc_id"] % 2 == 1) for r in rows)
+
+
+def test_gradient_is_that_of_the_loss():
+    """One tiny step of the fit moves every weight and threshold against the numeric gradient of the weighted loss."""
+    rng = np.random.default_rng(0)
+    toxic = np.array([True, False, True, False, True, False])
+    row, col, val = np.repeat(np.arange(6), 2), rng.integers(0, 3, 12), rng.random(12) + 0.1
+    prior, features = 0.3, 3
+    grades = severity._graded(np.bincount(row, val, 6), toxic)
+    weight = np.where(toxic, prior / toxic.sum(), (1 - prior) / (~toxic).sum())
+
+    def loss(w, t):
+        score = np.bincount(row, w[col] * val, 6)
+        p = 1 / (1 + np.exp(t[None, :] - score[:, None]))
+        above = grades[:, None] > np.arange(severity.GRADES - 1)[None, :]
+        return -(weight[:, None] * np.where(above, np.log(p), np.log(1 - p))).sum() + 5e-6 * (w**2).sum()
+
+    before = severity._solved(row, col, val, toxic, features, prior, 300)
+    after = severity._solved(row, col, val, toxic, features, prior, 4000)
+    assert loss(*after) <= loss(*before) + 1e-9
+    w, t = after
+    for k in range(features):  # a minimum: no small move along a weight (kept at 0 or above) or all thresholds gains
+        for move in (1e-3, -1e-3):
+            if w[k] + move >= 0:
+                assert loss(w + move * (np.arange(features) == k), t) >= loss(w, t) - 1e-5
+    for move in (1e-3, -1e-3):
+        assert loss(w, t + move) >= loss(w, t) - 1e-5
+
+
+def test_windows_against_plain_ones():
+    words = [f"w{i % 7}" if i % 31 else "foul" for i in range(700)]
+    known = severity._knower({"foul", "w3"}, {})
+    got = dict(severity._windows(words, known))
+    half = severity.PER_WORDS // 2
+    for at in range(0, len(words), half):
+        part = words[at : at + 2 * half]
+        want = {f: np.log1p(part.count(f)) for f in ("foul", "w3") if part.count(f)}
+        if any(x in ("foul", "w3") for x in words[at : at + half]):
+            assert got[at] == want
+
+
+def test_training_does_not_depend_on_the_order_of_rows(spark):
+    docs, labels = tiny(spark)
+    one = severity.train(docs.repartition(7), labels.repartition(3))
+    two = severity.train(docs.orderBy(F.desc("doc_id")).coalesce(1), labels.coalesce(1))
+    assert one.weights == two.weights and (one.thresholds == two.thresholds).all()
+
+
+def test_several_documents_of_one_id(spark):
+    docs, labels = tiny(spark)
+    more = docs.unionByName(docs.withColumn("text", F.concat("text", F.lit(" again"))))
+    model = severity.train(more, labels)
+    assert model.weights and len(severity.predict(more, model).collect()) == 2 * docs.count()

@@ -55,6 +55,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other letter as it is."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

@@ -3,8 +3,8 @@
 Every benchmark item is cut into windows (10 consecutive words; a shorter item is one window). A window occurs
 in a document only if all of its word shingles do, so one shingle is a sufficient prefix: the rarest one, by its
 count over all documents. Documents meet windows on that shingle alone; the shingle's place gives the only place
-at which the window can start, which must lie inside the document (length and position), and the words there
-are compared one by one.
+at which the window can start, which must lie inside the document (length and position). Until then only hashes and
+places are moved; the words of the documents left are then fetched once and compared one by one.
 
 Defined results: null and empty texts have no words and no hits; an item without words has no window; a null
 ``item_id`` marks words but is not counted or listed; identical rows and rows with equal ids give one row each;
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from zoneflow.llm.common import ascii_lower, written
+from zoneflow.llm.common import ascii_lower, fresh_name, written
 
 #: A word, once A-Z is in lower case.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -68,23 +68,11 @@ def find_windows(docs: DataFrame, items: DataFrame, window: int = 10, shingle: i
     ).where(F.col("t.size") == F.least(F.size("win"), F.lit(shingle))).select("win", "t.pos", "t.h")
     wanted = written(tokens.select("h").distinct(), "window-shingles")
 
-    reach = window - shingle
     cut = docs.select("doc_id", F.xxhash64("text").alias("content"), words(F.col("text")).alias("w"))
-    placed = (
-        cut.select("doc_id", "content", "w", F.explode(_all_shingles(F.col("w"), sizes)).alias("t"))
-        .select("doc_id", "content", "w", F.col("t.pos").alias("pos"), F.col("t.h").alias("h"))
-        .join(wanted, "h")
-    )
-    first = F.greatest(F.col("pos") - reach, F.lit(0))
     seen = written(
-        placed.select(
-            "doc_id",
-            "content",
-            "pos",
-            "h",
-            first.alias("first"),
-            F.slice("w", first + 1, F.col("pos") - first + window).alias("near"),
-        ),
+        cut.select("doc_id", "content", F.explode(_all_shingles(F.col("w"), sizes)).alias("t"))
+        .select("doc_id", "content", F.col("t.pos").alias("pos"), F.col("t.h").alias("h"))
+        .join(wanted, "h"),
         "shingles-seen",
     )
     rarity = seen.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
@@ -97,12 +85,22 @@ def find_windows(docs: DataFrame, items: DataFrame, window: int = 10, shingle: i
         .select("win", F.col("rarest.pos").alias("at"), F.col("rarest.h").alias("h"))
     )
     start = F.col("pos") - F.col("at")
-    return (
-        seen.join(prefix, "h")
-        .where((start >= F.col("first")) & (start - F.col("first") + F.size("win") <= F.size("near")))
-        .where(F.slice("near", start - F.col("first") + 1, F.size("win")) == F.col("win"))
-        .select("doc_id", "content", start.alias("start"), F.size("win").alias("length"), "win")
+    possible = seen.join(prefix, "h").where(start >= 0).select("doc_id", "content", F.struct(start.alias("start"), "win").alias("c"))
+    # at most a document's own places, and as many windows as begin alike at each
+    candidates = written(
+        possible.groupBy(F.col("doc_id").alias("of_id"), F.col("content").alias("of_content")).agg(F.collect_set("c").alias("cs")), "candidates"
+    )
+    # the words of a document come once more, and only those of documents with a candidate
+    texts = docs.select("doc_id", F.xxhash64("text").alias("content"), "text").join(
+        candidates, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("content") == F.col("of_content"))
     )
+    placed = texts.select("doc_id", "content", "cs", words(F.col("text")).alias("w")).select(
+        "doc_id", "content", "w", F.explode("cs").alias("c")
+    )
+    length = F.size("c.win")
+    return placed.where(
+        (F.col("c.start") + length <= F.size("w")) & (F.slice("w", F.col("c.start") + 1, length) == F.col("c.win"))
+    ).select("doc_id", "content", F.col("c.start").alias("start"), length.alias("length"), F.col("c.win").alias("win"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5) -> DataFrame:
@@ -165,10 +163,9 @@ def digest(result: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5) -> DataFrame:
     """The rows of ``docs``, all columns, without contaminated documents."""
     found = find_windows(docs.select("doc_id", "text"), items.select("item_id", "text"), window, shingle)
-    bad = written(
-        found.select(F.col("doc_id").alias("__bad_id"), F.col("content").alias("__bad_content")).distinct(), "contaminated"
-    )
-    same = docs["doc_id"].eqNullSafe(F.col("__bad_id")) & (F.xxhash64(docs["text"]) == F.col("__bad_content"))
+    bad_id, bad_content = fresh_name(docs, "bad_id"), fresh_name(docs, "bad_content")
+    bad = written(found.select(F.col("doc_id").alias(bad_id), F.col("content").alias(bad_content)).distinct(), "contaminated")
+    same = docs["doc_id"].eqNullSafe(F.col(bad_id)) & (F.xxhash64(docs["text"]) == F.col(bad_content))
     return docs.join(bad, same, "left_anti")
 
 

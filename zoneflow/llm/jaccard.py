@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import written
+from zoneflow.llm.common import fresh_name, written
 from zoneflow.llm.components import components
 from zoneflow.llm.shingles import shingle_set, similar
 
@@ -254,13 +254,15 @@ class _Join:
         xs = node.select(F.col("grp").alias("g"), F.col("node").alias("p"), F.col("label").alias("pl"))
         if leader is None:
             ys = node.select(F.col("grp").alias("h"), F.col("node").alias("q"), F.col("label").alias("ql"))
-        else:  # one member stands for the leading group
-            ys = node.groupBy(F.col("grp").alias("h")).agg(leader(F.struct("node", "label")).alias("m")).select(
-                "h", F.col("m.node").alias("q"), F.col("m.label").alias("ql")
+        else:  # one member stands for the leading group; written, so that a hot group's pairs can be split
+            ys = written(
+                node.groupBy(F.col("grp").alias("h")).agg(leader(F.struct("node", "label")).alias("m")).select(
+                    "h", F.col("m.node").alias("q"), F.col("m.label").alias("ql")
+                ),
+                "leading-members",
             )
         return (
-            group_pairs.unionByName(within)
-            .join(xs, "g")
+            written(group_pairs.unionByName(within).join(xs, "g"), "group-pairs")
             .join(ys, "h")
             .where("pl != ql")
             .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
@@ -318,21 +320,51 @@ def digest(result: DataFrame) -> DataFrame:
     return result.select("doc_id", "n_shingles", "component_id")
 
 
-def one_of_each(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
+def _ids_bitmap(ids: DataFrame, max_bits: int) -> tuple[int, np.ndarray]:
+    """(log2 of its places, words of 64 bits) of a bitmap over the hashes of the one column of ``ids``."""
+    bits = min(max_bits, max(10, (16 * ids.count()).bit_length()))
+    place = F.shiftrightunsigned(F.xxhash64(ids.columns[0]), 64 - bits)
+    one = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    words = ids.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(one).alias("held")).toPandas()
+    bitmap = np.zeros(1 << (bits - 6), np.int64)
+    bitmap[words["word"].to_numpy(np.int64)] = words["held"].to_numpy(np.int64)
+    return bits, bitmap
+
+
+def _maybe_in(column: Column, bits: int, shared) -> Column:
+    """False only for values that surely are not in the bitmap."""
+
+    def look(hashes: pd.Series) -> pd.Series:
+        place = hashes.to_numpy(np.int64).view(np.uint64) >> np.uint64(64 - bits)
+        word = shared.value[(place >> np.uint64(6)).astype(np.int64)].view(np.uint64)
+        return pd.Series((word >> (place & np.uint64(63))) & np.uint64(1) == 1)
+
+    look.__annotations__ = {"hashes": pd.Series, "return": pd.Series}
+    return F.pandas_udf(look, "boolean")(F.xxhash64(column))
+
+
+def one_of_each(docs: DataFrame, percent: int = 75, size: int = 5, max_bits: int = 29) -> DataFrame:
     """The rows of ``docs``, all columns, that are the smallest id of their component. An id stands for one document:
-    of rows with equal ids one stays."""
-    result = written(similar_components(docs, percent, size).select("doc_id", "component_id"), "components")
-    kept = written(
-        result.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("doc_id").alias("__kept"))
-        .agg(F.count(F.lit(1)).alias("__rows")),
-        "kept",
+    of rows with equal ids one stays.
+
+    Most rows stay. A bitmap of at most ``2 ** max_bits`` bits over the ids that go or repeat is broadcast; rows it does not
+    know are kept where they are, and only the others meet the list of those ids. Full, it only sends more rows there.
+    """
+    result = written(similar_components(docs, percent, size, max_bits).select("doc_id", "component_id"), "components")
+    least = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    name = fresh_name(docs, "marked_id")
+    marked = written(
+        result.groupBy(F.col("doc_id").alias(name))
+        .agg(least.alias(f"{name}_kept"), F.count(F.lit(1)).alias(f"{name}_rows"))
+        .where(~F.col(f"{name}_kept") | (F.col(f"{name}_rows") > 1)),
+        "marked",
     )
-    # a table of its own, whose size the planner knows: it is empty unless ids repeat, and then the documents need no second shuffle
-    several = written(kept.where("__rows > 1"), "kept-several")
-    same = docs["doc_id"].eqNullSafe(F.col("__kept"))
-    once = docs.join(kept.where("__rows = 1"), same, "left_semi")
-    return once.unionByName(docs.join(several, same, "left_semi").dropDuplicates(["doc_id"]))
+    bits, bitmap = _ids_bitmap(marked.select(name), max_bits)
+    known = _maybe_in(docs["doc_id"], bits, docs.sparkSession.sparkContext.broadcast(bitmap))
+    doubtful = docs.where(known)
+    same = doubtful["doc_id"].eqNullSafe(F.col(name))
+    several = doubtful.join(marked.where(F.col(f"{name}_kept")), same, "left_semi").dropDuplicates(["doc_id"])
+    return docs.where(~known).unionByName(doubtful.join(marked, same, "left_anti")).unionByName(several)
 
 
 SQL = r"""

@@ -4,12 +4,12 @@ A text's bytes are embedded, filters of several widths slide over them, and the
 within a window of ``WINDOW`` bytes goes through a softmax layer. The windows tile the whole text; a text's
 probabilities are those of its windows, weighted by their bytes. The layer sizes are fixed, so is the model's size.
 
-The fit uses windows of at most ``sample_docs`` documents in all, spread evenly over the languages and chosen by a
-hash of the id, ``WINDOWS_A_DOC`` windows of each at most; nothing but text and language enters.
+The fit uses windows of at most ``sample_docs`` documents in all, as many of each language, chosen by a
+hash of id and text, ``WINDOWS_A_DOC`` windows of each at most; nothing but text and language enters.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; identical rows are predicted one
-by one; without a labelled row every other text is ``und`` with score 0 too; rows with a null language are
-predicted but never learned from. Other columns are ignored.
+by one; without a labelled row every other text is ``und`` with score 0 too; rows with a null language or a null ``doc_id`` are
+predicted but never learned from; ids may be of any type. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,9 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from zoneflow.llm.common import fresh_name
+
 UNDETERMINED = "und"
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -147,7 +149,17 @@ def fit(windows: np.ndarray, labels: np.ndarray, languages: list[str], epochs: i
 
 
 def is_held_out(doc_id: Column) -> Column:
-    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
+    """A row without an id is not held out."""
+    return F.coalesce(_remainder(doc_id) == 0, F.lit(False))
+
+
+def may_be_learned(doc_id: Column) -> Column:
+    """Only rows that are known not to be held out: a row without an id is neither held out nor learned from."""
+    return F.coalesce(_remainder(doc_id) != 0, F.lit(False))
+
+
+def _remainder(doc_id: Column) -> Column:
+    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5))
 
 
 def _sampled_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -163,17 +175,20 @@ def _sampled_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def train(labelled: DataFrame, sample_docs: int = 3000) -> ByteNetwork | None:
-    """``labelled``: doc_id, text, lang of the rows to learn from. What comes to the driver: at most
-    ``2 * sample_docs`` documents' windows (the sample is drawn by hash, so its size varies a little)."""
-    usable = labelled.where("lang IS NOT NULL AND length(text) > 0").select("doc_id", "text", "lang")
+    """``labelled``: doc_id, text, lang of the rows to learn from. What comes to the driver: windows of at most
+    ``sample_docs`` documents and one more for each language, those of the least hashes in each language."""
+    usable = labelled.where("lang IS NOT NULL AND length(text) > 0").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang")
     totals = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not totals:
         return None
     each = max(1, sample_docs // len(totals))
-    share = F.create_map(*(F.lit(x) for lang, n in totals.items() for x in (lang, min(1.0, each / n))))
+    # rows that surely are not among the least are left out before they are ordered
+    share = F.create_map(*(F.lit(x) for lang, n in totals.items() for x in (lang, min(1.0, (each + 6 * each**0.5 + 20) / n))))
     drawn = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1_000_003)) / 1_000_003
-    sample = usable.where(drawn < share[F.col("lang")]).limit(2 * sample_docs)
-    rows = sample.mapInPandas(_sampled_windows, "doc_id long, lang string, at int, bytes binary").toPandas()
+    likely = usable.withColumn("drawn", drawn).where(F.col("drawn") < share[F.col("lang")])
+    order = Window.partitionBy("lang").orderBy("drawn", "doc_id", "text")
+    sample = likely.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
+    rows = sample.select("doc_id", "lang", "text").mapInPandas(_sampled_windows, "doc_id string, lang string, at int, bytes binary").toPandas()
     rows = rows.sort_values(["doc_id", "at", "bytes"])
     languages = sorted(rows["lang"].unique())
     if not languages:
@@ -208,5 +223,15 @@ def predict(docs: DataFrame, network: ByteNetwork | None) -> DataFrame:
 
 
 def identified(docs: DataFrame, network: ByteNetwork | None) -> DataFrame:
-    """The rows of ``docs`` whose language was determined, all columns."""
-    return docs.where(_predictor(docs, network)("text")["lang_pred"] != UNDETERMINED)
+    """The rows of ``docs`` whose language was determined, all columns; ``lang`` (if there) becomes what was predicted.
+
+    Without a network, as in a corpus without labels, nothing can be told: every row that has a letter stays, unchanged.
+    """
+    if network is None:
+        return docs.where(F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False)))
+    name = fresh_name(docs, "language")
+    # as it is not called deterministic, the filter on its answer does not make it run twice
+    told = docs.withColumn(name, _predictor(docs, network).asNondeterministic()("text")["lang_pred"]).where(F.col(name) != UNDETERMINED)
+    if "lang" in docs.columns:
+        told = told.withColumn("lang", F.col(name).cast(docs.schema["lang"].dataType))
+    return told.select(*docs.columns)

@@ -43,7 +43,7 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    return language.predict(docs, language.train(docs.where(~language.is_held_out(F.col("doc_id")))))
+    return language.predict(docs, language.train(docs.where(language.may_be_learned(F.col("doc_id")))))
 
 
 @query

@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zoneflow.llm.common import fresh_name
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -159,10 +161,12 @@ class Ledger:
 
     def findings(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         """(blob, found): the spans of these rule versions, by start and rule; only blobs that have some."""
+        ledger = self.read()
+        if ledger is None:
+            ledger = self.spark.createDataFrame([], LEDGER)
         ranks = F.create_map(*(F.lit(x) for rank, r in enumerate(rules) for x in (r.key, rank)))
         one = (
-            self.read()
-            .where(F.size("found") > 0)
+            ledger.where(F.size("found") > 0)
             .select("blob", F.explode("found").alias("f"))
             .where(F.col("f.rule").isin([r.key for r in rules]))
             .select("blob", F.struct("f.start", ranks[F.col("f.rule")].alias("rank"), "f.end", "f.rule").alias("f"))
@@ -228,11 +232,12 @@ def without_secrets(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = R
     """The rows of ``docs``, all columns, with secrets replaced in ``text`` and ``n_chars`` (if there) renewed where
     something was. Scans what the ledger lacks first."""
     ledger.add(docs.select(F.col("doc_id").alias("path"), "text"), rules)
-    found = ledger.findings(rules).select(F.col("blob").alias("__blob"), F.col("found").alias("__found"))
+    of, spans = fresh_name(docs, "found_blob"), fresh_name(docs, "found_spans")
+    found = ledger.findings(rules).select(F.col("blob").alias(of), F.col("found").alias(spans))
     blob = F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")).cast("binary"), 256))
-    joined = docs.join(found, blob == F.col("__blob"), "left")
-    hit = F.col("__found").isNotNull()
-    out = joined.withColumn("text", F.when(hit, redacted(F.col("text"), F.col("__found"))).otherwise(F.col("text")))
+    joined = docs.join(found, blob == F.col(of), "left")
+    hit = F.col(spans).isNotNull()
+    out = joined.withColumn("text", F.when(hit, redacted(F.col("text"), F.col(spans))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

@@ -6,12 +6,12 @@ it; the window with the highest score counts, so a toxic passage weighs the same
 thresholds, P(grade > k) = sigmoid(w x - t_k) with t_0 < t_1 < ..., so the predicted grades are ordered too; the
 expected severity is the sum of these probabilities.
 
-The fit uses a bounded sample of labelled rows (``sample_rows`` of each label, chosen by a hash of the id) and keeps at most
-``max_features`` features. Of texts of more than ``sample_chars`` characters it takes the window that scores highest by a first fit on
-the others, found among all their windows. Every document is scored on its whole text.
+The fit uses a bounded sample of labelled rows (``sample_rows`` of each label, chosen by a hash of the id). What marks toxic texts is
+counted over whole texts in the cluster, at most ``max_features`` features stay, and of every text, short or
+long, the FIT_WINDOWS windows with the most of them enter the fit. Every document is scored on its whole text.
 
 Defined results: null, empty and word-free texts have severity 0, grade 0 and are not toxic; labels that are null or without a
-document are left out; documents with equal ids are scored one by one; without both labels in the sample nothing is
+document are left out, an id with both labels is toxic, and of documents with equal ids one is learned from; documents with equal ids are scored one by one; without both labels in the sample nothing is
 toxic. Other columns are ignored.
 """
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import string
 from collections import Counter
-from collections.abc import Callable, Container
+from collections.abc import Callable, Container, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -27,12 +27,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zoneflow.llm.common import written
+
 GRADES = 4
 #: Probability of a grade above 0 from which a text is called toxic.
 TOXIC_FROM = 0.4
 KEPT_WORDS = 300_000
 #: Counts are taken in windows of so many words.
 PER_WORDS = 200
+#: Windows of a text that the fit chooses from.
+FIT_WINDOWS = 16
 #: Lengths of word beginnings that are features beside the word itself.
 BEGINNINGS = (4, 5, 6)
 #: A feature is of so many toxic texts of the sample at least.
@@ -111,41 +115,61 @@ def _graded(amount: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return np.where(toxic, 1 + np.searchsorted(cuts, amount), 0)
 
 
-def fit(texts: list[str], toxic: np.ndarray, max_features: int, prior: float, steps: int = 400) -> OrdinalModel:
-    """``prior``: the share of toxic rows among all labelled ones; the sample is weighted back to it."""
-    toxic = np.asarray(toxic, bool)
-    if toxic.all() or not toxic.any():
-        return OrdinalModel()
-    inside: Counter = Counter()
-    for text, t in zip(texts, toxic, strict=True):
-        if t:
-            inside.update(_features(text))
-    inside = Counter({f: n for f, n in inside.items() if n >= LEAST_TEXTS})
-    outside: Counter = Counter()  # of what toxic texts have; the vocabulary of all others is not needed
-    for text, t in zip(texts, toxic, strict=True):
-        if not t:
-            outside.update(inside.keys() & _features(text))
-    n_in, n_out = toxic.sum(), (~toxic).sum()
-    odds, sure = {}, {}
-    for f, a in inside.items():
-        b = outside[f]
-        odds[f] = np.log((a + 0.5) / (n_in + 1)) - np.log((b + 0.5) / (n_out + 1))
-        sure[f] = odds[f] / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-    # evidence is for toxicity only: what marks other texts is their subject, not their tone; weights stay at 0 or above
-    least = min(LEAST_Z, max(sure.values(), default=0) / 2)  # a very small sample is never sure
-    chosen = sorted((f for f in odds if odds[f] >= 1 and sure[f] >= least), key=lambda f: (-sure[f], f))[:max_features]
-    number = {f: i for i, f in enumerate(chosen)}
-    known = _knower(number, {})
-    bags = [[{number[f]: x for f, x in w.items()} for _, w in _windows(_words(text), known)] for text in texts]
-    # the window that counts is first chosen by the evidence of its features, then by their weights
-    strength = np.array([odds[f] for f in chosen])
+def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(feature, toxic texts with it, other texts with it) of each batch."""
+    for batch in batches:
+        inside, outside = Counter(), Counter()
+        for text, toxic in zip(batch["text"], batch["is_toxic"], strict=True):
+            (inside if toxic else outside).update(_features(text))
+        names = sorted(inside.keys() | outside.keys())
+        yield pd.DataFrame({"feature": names, "a": [inside[f] for f in names], "b": [outside[f] for f in names]})
+
+
+def evidence(labelled: DataFrame, n_in: int, n_out: int, max_features: int) -> dict[str, float]:
+    """Log odds of the features that mark toxic texts, the surest first; counted over whole texts in the cluster."""
+    counts = labelled.select("text", "is_toxic").mapInPandas(_counted, "feature string, a long, b long")
+    a, b = F.col("a") + 0.5, F.col("b") + 0.5
+    odds = F.log(a / (n_in + 1)) - F.log(b / (n_out + 1))
+    known = counts.groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where(F.col("a") >= LEAST_TEXTS)
+    known = known.select("feature", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("sure"))
+    # evidence is for toxicity only: what marks other texts is their subject, not their tone
+    best = known.where("odds >= 1").orderBy(F.desc("sure"), "feature").limit(max_features).toPandas()
+    least = min(LEAST_Z, best["sure"].max() / 2) if len(best) else 0  # a very small sample is never sure
+    return {f: o for f, o, s in best.itertuples(index=False) if s >= least}
+
+
+def _strong_windows(odds: dict[str, float]):
+    """Of every text, whatever its length, the FIT_WINDOWS windows with the most evidence, as numbers and values of features."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number = {f: i for i, f in enumerate(odds)}
+        known = _knower(number, {})
+        for batch in batches:
+            rows = []
+            for doc_id, toxic, text in zip(batch["doc_id"], batch["is_toxic"], batch["text"], strict=True):
+                windows = _windows(_words(text), known)
+                windows.sort(key=lambda w: (-sum(odds[f] * x for f, x in w[1].items()), w[0]))
+                for k, (_, values) in enumerate(windows[:FIT_WINDOWS] or [(0, {})]):
+                    rows.append((doc_id, toxic, k, [number[f] for f in values], list(values.values())))
+            yield pd.DataFrame(rows, columns=["doc_id", "is_toxic", "k", "features", "amounts"])
+
+    return run
+
+
+def fit(bags: list[list[dict[int, float]]], toxic: np.ndarray, odds: np.ndarray, prior: float, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds for texts given as the values of the features in their windows.
+
+    ``odds``: the evidence of each feature; ``prior``: the share of toxic rows among all labelled ones, to which the sample is weighted
+    back. The window of a text that counts is first chosen by the evidence of its features, then by their weights, which stay at 0 or above.
+    """
+    strength = odds
     for _ in range(2):
         entries = [
             (i, c, x) for i, bag in enumerate(bags) if bag for c, x in max(bag, key=lambda w: sum(strength[c] * x for c, x in w.items())).items()
         ]
         row, col, val = (np.array(x, kind) for x, kind in zip(zip(*entries, strict=True) if entries else ([], [], []), (int, int, float), strict=True))
-        strength, thresholds = _solved(row, col, val, toxic, len(chosen), prior, steps)
-    return OrdinalModel({f: float(x) for f, x in zip(chosen, strength, strict=True)}, thresholds)
+        strength, thresholds = _solved(row, col, val, toxic, len(odds), prior, steps)
+    return strength, thresholds
 
 
 def _solved(
@@ -177,52 +201,36 @@ def _solved(
     return w, thresholds
 
 
-def train(
-    docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, sample_chars: int = 20_000, max_features: int = 50_000
-) -> OrdinalModel:
-    """Fits on at most ``sample_rows`` rows of each label; they are what comes to the driver."""
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, max_features: int = 50_000) -> OrdinalModel:
+    """Fits on at most ``sample_rows`` ids of each label, those with the least hashes, and one text of each id.
+
+    What comes to the driver: at most ``max_features`` features, and of each of those texts FIT_WINDOWS windows of numbers.
+    """
     marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").select("doc_id", (F.col("toxic") > 0).alias("is_toxic"))
     totals = dict(marked.groupBy("is_toxic").count().collect())
     picked = [
         marked.where(F.col("is_toxic") == flag).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows) for flag in (False, True)
     ]
-    ids = picked[0].unionByName(picked[1]).distinct()
+    # an id with both labels is toxic
+    ids = picked[0].unionByName(picked[1]).groupBy("doc_id").agg(F.max("is_toxic").alias("is_toxic"))
     share = totals.get(True, 0) / max(1, sum(totals.values()))
-    labelled = docs.where(F.length("text") > 0).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "is_toxic")
-
-    def fitted(rows: pd.DataFrame) -> OrdinalModel:
-        rows = rows.sort_values(["doc_id", "text"])
-        return fit(rows["text"].tolist(), rows["is_toxic"].to_numpy(bool), max_features, share)
-
-    # at most 2 * sample_rows rows
-    rows = labelled.where(F.length("text") <= sample_chars).limit(4 * sample_rows).toPandas()
-    model = fitted(rows)
-
-    def excerpts(model: OrdinalModel) -> pd.DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(model)
-
-        @F.pandas_udf("string")
-        def excerpt(texts: pd.Series) -> pd.Series:
-            model, seen = shared.value, {}
-            return texts.map(lambda text: _excerpt(text, model, seen, sample_chars))
-
-        long = labelled.where(F.length("text") > sample_chars)
-        return long.withColumn("text", excerpt("text")).limit(4 * sample_rows).toPandas()
-
-    long = excerpts(model)
-    if len(long) and not model.weights:
-        model = fitted(pd.concat([rows, long]))
-        long = excerpts(model)
-    return fitted(pd.concat([rows, long])) if len(long) else model
-
-
-def _excerpt(text: str, model: OrdinalModel, seen: dict[str, tuple[str, ...]], most: int) -> str:
-    """The strongest window of a text; for a model that knows nothing yet, its different words. At most ``most`` characters."""
-    words = _words(text)
-    if not model.weights:
-        return " ".join(dict.fromkeys(words))[:most]
-    _, at = model.strongest(words, seen)
-    return " ".join(words[at : at + PER_WORDS])[:most]
+    found = docs.where(F.length("text") > 0).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "is_toxic")
+    one_text = F.min_by("text", F.struct(F.xxhash64("text"), "text"))
+    labelled = written(found.groupBy("doc_id").agg(F.max("is_toxic").alias("is_toxic"), one_text.alias("text")), "labelled")
+    held = dict(labelled.groupBy("is_toxic").count().collect())
+    n_in, n_out = held.get(True, 0), held.get(False, 0)
+    if not n_in or not n_out:
+        return OrdinalModel()
+    odds = evidence(labelled, n_in, n_out, max_features)
+    schema = "doc_id string, is_toxic boolean, k int, features array<int>, amounts array<double>"
+    texts = labelled.select(F.col("doc_id").cast("string").alias("doc_id"), "is_toxic", "text")
+    rows = texts.mapInPandas(_strong_windows(odds), schema).toPandas().sort_values(["doc_id", "k"])
+    bags, toxic = [], []
+    for _, text in rows.groupby("doc_id", sort=True):
+        bags.append([dict(zip(f, x, strict=True)) for f, x in zip(text["features"], text["amounts"], strict=True)])
+        toxic.append(bool(text["is_toxic"].iloc[0]))
+    weights, thresholds = fit(bags, np.array(toxic), np.array(list(odds.values()), float), share)
+    return OrdinalModel({f: float(x) for f, x in zip(odds, weights, strict=True)}, thresholds)
 
 
 def predict(docs: DataFrame, model: OrdinalModel) -> DataFrame:
