@@ -17,8 +17,9 @@ from zoneflow.session import new_run_dir
 
 @on_executors
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language cannot be determined: null texts and texts without a letter."""
-    network = language.train(docs.where(~language.is_held_out(F.col("doc_id"))))
+    """Drops documents whose language cannot be determined: null texts and texts without a letter. ``lang`` becomes the predicted
+    language; where no document has a language to learn from, every text with a letter stays as it is."""
+    network = language.train(docs.where(language.may_be_learned(F.col("doc_id"))))
     return language.identified(docs, network)
 
 
