@@ -540,6 +540,27 @@ def _sql() -> dict[str, str]:
     )
     put("stream_dedup", "SELECT DISTINCT message_id, payload FROM notif_dup", "notif_dup")
     put("stream_zone_chain", ZONE_ROWS, "notif", "src_member", ctes=RECORDS)
+    for name, same in (
+        ("fetched_rows_pruned", "fetched_rows"),
+        ("native_key_fetch_pruned", "native_key_fetch"),
+        ("ingest_upsert_buckets", "ingest_upsert"),
+        ("reconcile_hash_tree", "reconcile_diff_orders"),
+        ("stream_zone_chain_pruned", "stream_zone_chain"),
+    ):
+        q[name] = q[same]
+    q["stream_state_table"] = q["stream_state_last_op"]
+    put(
+        "stream_state_resumed",
+        """SELECT user_id, event_id, upper(event_type) AS kind FROM events
+           QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    )
+    put(
+        "stream_unique",
+        """SELECT event_id, count(*) OVER (PARTITION BY user_id, event_type, d) = 1
+                            AND d = min(d) OVER (PARTITION BY user_id, event_type) AS is_unique
+           FROM (SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS d
+                 FROM events)""",
+    )
     for name in ("fetched_rows", "reconcile_diff", "dq_unique"):
         q[f"{name}_split"] = q[name]
     put(

@@ -15,7 +15,7 @@ from zoneflow.config import ZoneConfig
 from zoneflow.functions.text import fingerprint
 from zoneflow.operators import audit, dependency, ingest, quality, reconcile, windows
 from zoneflow.operators.cdc import cdc_classify, raw_rows
-from zoneflow.operators.fetch import affected_rows, lookup_fetch, row_map, to_text_columns
+from zoneflow.operators.fetch import affected_rows, bucketed_fetch, lookup_fetch, row_map, to_text_columns
 from zoneflow.operators.limits import latest_per_key, limit_per_group, top_n
 from zoneflow.operators.mapping import map_keys, map_schema
 from zoneflow.operators.metrics import metric_rows, observe
@@ -43,9 +43,11 @@ from zoneflow.plans.zones import (
 from zoneflow.session import new_run_dir
 from zoneflow.sinks import tables as sink
 from zoneflow.sources import snapshots
+from zoneflow.sources.buckets import BUCKET, create_bucketed
 from zoneflow.sources.notifications import from_kafka, read_messages, stream_messages, with_event_time
 from zoneflow.sources.tables import SchemaRegistry, apply_schema, read_table
 from zoneflow.streaming import state as stream_state
+from zoneflow.streaming import unique as stream_unique_rows
 from zoneflow.streaming import windows as stream_windows
 from zoneflow.streaming.zones import zone_stream
 
@@ -422,6 +424,28 @@ def fetched_rows_split(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def fetched_rows_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """From a table kept by key bucket: only the buckets of the ids that are named are read."""
+    table = create_bucketed(load(spark, sf, "src_member"), new_run_dir(spark, "members"), "record_id", buckets=64)
+    return bucketed_fetch(_parsed(spark, sf), table).select(
+        F.col("_notif_message_id").alias("message_id"),
+        F.col("_notif_event_type").alias("event_type"),
+        "record_id",
+        "name",
+        "email",
+        "balance",
+    )
+
+
+@query
+def native_key_fetch_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    table = create_bucketed(load(spark, sf, "orders"), new_run_dir(spark, "orders"), "o_custkey", buckets=64)
+    return bucketed_fetch(_parsed(spark, sf), table).select(
+        F.col("_notif_message_id").alias("message_id"), F.col("_record_id").alias("record_id"), "o_orderkey", "o_totalprice"
+    )
+
+
 @query
 def lookup_semi(spark: SparkSession, sf: str) -> DataFrame:
     return affected_rows(_parsed(spark, sf), load(spark, sf, "src_member")).select("record_id", "name", "email")
@@ -462,6 +486,12 @@ def reconcile_diff_orders(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.column_diff(load(spark, sf, "src_order"), _legacy_orders(spark, sf))
 
 
+@query
+def reconcile_hash_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Only key ranges whose digests differ are joined."""
+    return reconcile.hash_tree_diff(load(spark, sf, "src_order"), _legacy_orders(spark, sf))
+
+
 @query
 def reconcile_map_diff(spark: SparkSession, sf: str) -> DataFrame:
     ours = load(spark, sf, "src_member")
@@ -728,6 +758,18 @@ def ingest_upsert(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def ingest_upsert_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """In place: a delta reads and replaces only the key buckets it touches."""
+    log = load(spark, sf, "cdc_log")
+    order = ["change_ts", "seq"]
+    first = ingest.ingest_upsert(log.where(F.expr(f"change_ts < {CUTOFF}")), None, ["record_id"], order)
+    table = create_bucketed(first, new_run_dir(spark, "upsert_buckets"), "record_id", buckets=64)
+    ingest.upsert_buckets(log.where(F.expr(f"change_ts >= {REPLAY}")), table, order)
+    rows = table.read(spark).drop(BUCKET)
+    return rows.select("record_id", "seq", "op", "amount", F.col("_is_deleted").alias("is_deleted"))
+
+
 @query
 def ingest_transform_structure(spark: SparkSession, sf: str) -> DataFrame:
     enrich = {"net": F.col("price") * (F.lit(1.0) - F.col("discount"))}
@@ -1056,6 +1098,83 @@ def stream_state_last_op(spark: SparkSession, sf: str) -> DataFrame:
     return stream_state.newest_state(sink.read_batches(spark, path), "user_id").select("user_id", "event_id", "event_type")
 
 
+STATE_ORDER = ["event_ts", "event_id"]
+
+
+@query
+def stream_state_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The state itself, read from the checkpoint."""
+    path, checkpoint = new_run_dir(spark, "state"), new_run_dir(spark, "checkpoint")
+    _arrivals(
+        spark,
+        sf,
+        [SECOND, FIRST, THIRD],
+        lambda s: stream_state.last_change(s, path, checkpoint, "user_id", STATE_ORDER, ["event_type"], trigger=stream_windows.AVAILABLE),
+    )
+    return stream_state.read_last_change(spark, checkpoint, "user_id").select("user_id", "event_id", "event_type")
+
+
+@query
+def stream_state_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """A query with another output, on a checkpoint of its own, goes on from the state of the one before."""
+    old, old_checkpoint = new_run_dir(spark, "state"), new_run_dir(spark, "checkpoint")
+    new, new_checkpoint, begin = (new_run_dir(spark, n) for n in ("state", "checkpoint", "state-kept"))
+    _arrivals(
+        spark,
+        sf,
+        [SECOND, FIRST],
+        lambda s: stream_state.last_change(s, old, old_checkpoint, "user_id", STATE_ORDER, ["event_type"], trigger=stream_windows.AVAILABLE),
+    )
+    kept = stream_state.read_last_change(spark, old_checkpoint, "user_id")
+
+    def go_on(stream: DataFrame) -> object:
+        rows = stream.select("user_id", *STATE_ORDER, "event_type")
+        return stream_state.last_change(
+            stream_state.beginning_with(rows, kept, begin),
+            new,
+            new_checkpoint,
+            "user_id",
+            STATE_ORDER,
+            ["event_type"],
+            trigger=stream_windows.AVAILABLE,
+            output=lambda df: df.select("user_id", "event_id", F.upper("event_type").alias("kind")),
+        )
+
+    _arrivals(spark, sf, [THIRD], go_on)
+    return stream_state.newest_state(sink.read_batches(spark, new), "user_id").select("user_id", "event_id", "kind")
+
+
+@query
+def stream_unique(spark: SparkSession, sf: str) -> DataFrame:
+    """The uniqueness rule over three deliveries: a user that came before fails in every later one."""
+    path, checkpoint = new_run_dir(spark, "unique"), new_run_dir(spark, "checkpoint")
+    ledger = stream_unique_rows.KeyLedger(new_run_dir(spark, "key-ledger"), buckets=16)
+    _arrivals(
+        spark,
+        sf,
+        [FIRST, SECOND, THIRD],
+        lambda s: stream_unique_rows.unique_stream(s, ["user_id", "event_type"], path, ledger, checkpoint, trigger=stream_windows.AVAILABLE),
+    )
+    return sink.read_batches(spark, path).select("event_id", F.col("_unique").alias("is_unique"))
+
+
+@query
+def stream_zone_chain_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """The zone chain on a stream whose source table is kept by key bucket."""
+    root, checkpoint = new_run_dir(spark, "zones"), new_run_dir(spark, "checkpoint")
+    table = create_bucketed(load(spark, sf, "src_member"), new_run_dir(spark, "members"), "record_id", buckets=64)
+    zone_stream(
+        stream_messages(spark, _topic(spark, sf, "notif_dup")),
+        lambda: table,
+        MEMBER_CONFIG,
+        root,
+        checkpoint,
+        snapshots={"raw": _legacy_members(spark, sf)},
+        trigger=stream_windows.AVAILABLE,
+    ).awaitTermination()
+    return _zone_output(quality.passed(sink.read_batches(spark, MEMBER_CONFIG.table_path(root, "analytics"))))
+
+
 @query
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     path, checkpoint = new_run_dir(spark, "dedup"), new_run_dir(spark, "checkpoint")

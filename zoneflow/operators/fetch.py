@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from zoneflow.functions.text import stable_id
 from zoneflow.operators.skew import DEFAULT_SKEW, SkewPlan, skew_join
+from zoneflow.sources.buckets import BUCKET, BucketedTable, pruned
 
 NOTIFICATION_COLUMNS = {
     "message_id": "_notif_message_id",
@@ -83,6 +84,20 @@ def lookup_fetch(
     return _with_record_id(fetched.drop("_id"), table, id_column)
 
 
+def bucketed_fetch(
+    notifications: DataFrame,
+    table: BucketedTable,
+    skew: SkewPlan | None = DEFAULT_SKEW,
+    look_at: DataFrame | None = None,
+    look_at_share: float = 1.0,
+) -> DataFrame:
+    """``lookup_fetch`` from a table kept in buckets of its key: only the buckets that the batch's ids fall into are listed and
+    read, so a small batch does not pass over the table. Rows with a null key are named by no id."""
+    rows = table.read(notifications.sparkSession).drop(BUCKET)
+    named = _keyed_ids(notifications, rows, table.key).select("_id")
+    return lookup_fetch(notifications, pruned(table, named).drop(BUCKET), table.key, skew, look_at, look_at_share)
+
+
 def affected_rows(notifications: DataFrame, table: DataFrame, id_column: str = "record_id") -> DataFrame:
     """Each table row that some notification names, once. The table is read in the join alone; adaptive execution splits its hot ids."""
     ids = _keyed_ids(notifications, table, id_column).select("_id").distinct()

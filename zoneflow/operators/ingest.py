@@ -12,6 +12,8 @@ from zoneflow.operators.cdc import DELETE
 from zoneflow.operators.limits import latest_per_key
 from zoneflow.operators.notify import filter_table
 from zoneflow.operators.structure import structure_cast
+from zoneflow.session import new_run_dir
+from zoneflow.sources.buckets import BUCKET, BucketedTable, pruned, write_buckets
 
 # Accepted mode names.
 DEFAULT_MODE = "incremental"
@@ -91,6 +93,20 @@ def ingest_upsert(
     return latest_per_key(rows, keys, [*order, "_of_target"]).drop("_of_target")
 
 
+def upsert_buckets(delta: DataFrame, table: BucketedTable, order: Sequence[str], op_column: str = "op", split: int = 1) -> None:
+    """``ingest_upsert`` into a target kept in buckets of its key, in place: of the target only the buckets that the delta's keys
+    fall into are read, merged and replaced; all others keep their files.
+
+    The merged buckets are written beside the target first. A run that fails while they take their places is simply run
+    again with the same delta: a change that is there already is not applied twice, and every bucket is replaced as a whole.
+    """
+    touched = pruned(table, delta.select(table.key)).drop(BUCKET)
+    merged = ingest_upsert(delta, touched, [table.key], order, op_column)
+    staged = new_run_dir(delta.sparkSession, "upsert-staged")
+    merged.write.parquet(staged)
+    write_buckets(delta.sparkSession.read.schema(merged.schema).parquet(staged), table, "overwrite", split, only_these=True)
+
+
 def ingest_transform_structure(
     rows: DataFrame,
     mapping: Mapping[str, str],

@@ -13,9 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.functions.text import differs, stable_id
+from zoneflow.functions.text import differs, fingerprint, stable_id
 from zoneflow.operators.limits import limit_per_group
 from zoneflow.operators.skew import DEFAULT_SKEW, SkewPlan, skew_join
+from zoneflow.session import new_run_dir
 
 SAMPLE_LIMIT = 5  # fixed value: mismatch samples kept per result
 
@@ -173,6 +174,90 @@ def column_diff(
     )
 
 
+# -- hash tree -------------------------------------------------------------------------------------------------------
+
+#: Bits of a key's hash by level, from the root's children to the leaves.
+TREE_LEVELS = (6, 12, 18)
+_DIGEST = ("_rows", "_s0", "_s1", "_s2", "_s3")
+
+
+def key_range(id_column: str, bits: int) -> Column:
+    """The leaf of a key: the upper bits of its hash."""
+    return F.shiftrightunsigned(F.xxhash64(F.col(id_column).cast("string")), 64 - bits)
+
+
+def range_digests(
+    df: DataFrame, id_column: str, columns: Sequence[str], levels: Sequence[int] = TREE_LEVELS
+) -> DataFrame:
+    """(``_range``, row count and four sums) for each leaf that has rows; at most ``2 ** levels[-1]`` rows.
+
+    The sums are over the four words of the rows' fingerprints, so neither order nor partitioning matters, and those of a
+    range are the sums over the ranges in it. One pass with map-side combine; the result may be kept beside a snapshot
+    that does not change.
+    """
+    mark = fingerprint(_as_text(df, id_column, columns))
+    words = [F.conv(F.substring("_mark", 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(4)]
+    rows = df.where(F.col(id_column).isNotNull()).select(key_range(id_column, levels[-1]).alias("_range"), mark.alias("_mark"))
+    return rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(w).alias(f"_s{i}") for i, w in enumerate(words)])
+
+
+def differing_ranges(ours: DataFrame, theirs: DataFrame, levels: Sequence[int] = TREE_LEVELS) -> DataFrame:
+    """(``_range``): leaves whose digests differ, found from the root down; below a range that is equal nothing is compared."""
+
+    def at(side: DataFrame, bits: int) -> DataFrame:
+        place = F.shiftright("_range", levels[-1] - bits)
+        return side.groupBy(place.alias("_range")).agg(*[F.sum(c).alias(c) for c in _DIGEST])
+
+    open_ranges = None
+    for above, bits in zip((0, *levels), levels):
+        sides = []
+        for side, name in ((ours, "g"), (theirs, "a")):
+            level = at(side, bits)
+            if open_ranges is not None:
+                parent = F.shiftright("_range", bits - above)
+                level = level.join(F.broadcast(open_ranges.withColumnRenamed("_range", "_parent")), parent == F.col("_parent"), "left_semi")
+            sides.append(level.select("_range", F.struct(*_DIGEST).alias(name)))
+        met = sides[0].join(sides[1], "_range", "full_outer")
+        open_ranges = met.where(~F.col("g").eqNullSafe(F.col("a"))).select("_range")
+    return open_ranges
+
+
+def hash_tree_diff(
+    records: DataFrame,
+    snapshot: DataFrame,
+    id_column: str = "record_id",
+    columns: Sequence[str] | None = None,
+    levels: Sequence[int] = TREE_LEVELS,
+    our_digests: DataFrame | None = None,
+    their_digests: DataFrame | None = None,
+    skew: SkewPlan | None = DEFAULT_SKEW,
+) -> DataFrame:
+    """``column_diff`` that joins only key ranges in which the sides differ.
+
+    Both sides are summed up by key range without moving their rows; digests kept from before spare even that. Rows of equal
+    ranges are left out before anything is shuffled. An id that has the same several rows on both sides, in
+    a range that is equal, counts as equal here, while ``column_diff`` pairs its rows crosswise.
+    """
+    names = list(columns) if columns is not None else compared_columns(records, snapshot, id_column)
+    spark = records.sparkSession
+
+    def kept(digests: DataFrame, name: str) -> DataFrame:
+        path = new_run_dir(spark, name)
+        digests.write.parquet(path)
+        return spark.read.schema(digests.schema).parquet(path)
+
+    ours = our_digests if our_digests is not None else kept(range_digests(records, id_column, names, levels), "digests-ours")
+    theirs = their_digests if their_digests is not None else kept(range_digests(snapshot, id_column, names, levels), "digests-theirs")
+    open_ranges = kept(differing_ranges(ours, theirs, levels), "open-ranges")
+
+    def within(side: DataFrame) -> DataFrame:
+        place = key_range(id_column, levels[-1])
+        listed = open_ranges.withColumnRenamed("_range", "_open_range")
+        return side.join(F.broadcast(listed), place == F.col("_open_range"), "left_semi")
+
+    return column_diff(within(records), within(snapshot), id_column, names, skew=skew)
+
+
 def map_diff(ours: Column, theirs: Column) -> Column:
     """Comma-joined sorted names of differing keys of two ``map<string,string>`` rows.
 

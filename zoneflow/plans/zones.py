@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from zoneflow.config import ZoneConfig
 from zoneflow.operators.audit import audit_log, dq_log, stage_counts
 from zoneflow.operators.cdc import ZONES, cdc_classify, raw_rows, tag_zone
-from zoneflow.operators.fetch import lookup_fetch
+from zoneflow.operators.fetch import bucketed_fetch, lookup_fetch
 from zoneflow.operators.mapping import map_schema
 from zoneflow.operators.notify import dedup_messages, parse_notifications
 from zoneflow.operators.quality import passed, quarantined, with_flags
@@ -25,6 +25,7 @@ from zoneflow.operators.reconcile import column_diff, compared_columns, reconcil
 from zoneflow.operators.structure import structure_cast
 from zoneflow.operators.windows import window_bounds
 from zoneflow.sinks.tables import remove_batch, write_batch, write_log
+from zoneflow.sources.buckets import BucketedTable
 from zoneflow.sources.snapshots import scan_jsonl_columns
 
 Hook = Callable[[DataFrame], DataFrame]
@@ -53,13 +54,18 @@ class ZoneRun:
         return quarantined(self.written[zone])
 
 
-def fetch_changes(messages: DataFrame, table_rows: DataFrame, cfg: ZoneConfig) -> DataFrame:
-    """The current rows that the messages for the configured table name.
+def fetch_changes(messages: DataFrame, table_rows: DataFrame | BucketedTable, cfg: ZoneConfig) -> DataFrame:
+    """The current rows that the messages for the configured table name; of a bucketed table (by ``cfg.id_column``) only the
+    buckets that hold them are read.
 
     Hot ids are looked for in a random share of the messages, so that most payloads are parsed
     once; all messages are fetched.
     """
     part = parse_notifications(messages.sample(LOOK_AT_SHARE, seed=7), cfg.table)
+    if isinstance(table_rows, BucketedTable):
+        if table_rows.key != cfg.id_column:
+            raise ValueError(f"the table is kept by {table_rows.key!r}, the configuration names {cfg.id_column!r}")
+        return bucketed_fetch(parse_notifications(messages, cfg.table), table_rows, look_at=part, look_at_share=LOOK_AT_SHARE)
     return lookup_fetch(
         parse_notifications(messages, cfg.table),
         table_rows,
@@ -69,7 +75,7 @@ def fetch_changes(messages: DataFrame, table_rows: DataFrame, cfg: ZoneConfig) -
     )
 
 
-def changed_records(messages: DataFrame, table_rows: DataFrame, cfg: ZoneConfig, deduped: bool = False) -> DataFrame:
+def changed_records(messages: DataFrame, table_rows: DataFrame | BucketedTable, cfg: ZoneConfig, deduped: bool = False) -> DataFrame:
     """Notifications to classified change records. A redelivered message counts once; ``deduped`` says that it
     was taken care of already, as on a stream."""
     once = messages if deduped else dedup_messages(messages)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from zoneflow.config import ZoneConfig
 from zoneflow.operators.notify import dedup_messages
 from zoneflow.plans.zones import Hook, changed_records, run_zones
+from zoneflow.sources.buckets import BucketedTable
 from zoneflow.streaming.windows import PROCESSING
 
 REDELIVERY = "10 minutes"  # fixed value: arrival time in which a message may come again
@@ -18,7 +19,7 @@ REDELIVERY = "10 minutes"  # fixed value: arrival time in which a message may co
 
 def zone_stream(
     messages: DataFrame,
-    table_rows: Callable[[], DataFrame],
+    table_rows: Callable[[], DataFrame | BucketedTable],
     cfg: ZoneConfig,
     root: str,
     checkpoint: str,
@@ -32,7 +33,8 @@ def zone_stream(
 
     Redelivery is judged by arrival time, so a message with an old event time still gets through.
 
-    ``table_rows`` is called per batch, so every batch fetches the rows as they are then; ``snapshots`` may be a call too,
+    ``table_rows`` is called per batch, so every batch fetches the rows as they are then, from a bucketed table only the buckets
+    that its ids fall into; ``snapshots`` may be a call too,
     which sees snapshot objects that arrive later. A batch replaces its own output folders, so running it again leaves the same rows.
     """
 
