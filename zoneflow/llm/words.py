@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 #: Characters of texts taken together; a longer text is a slice of its own.
 SLICE_CHARS = 8_000_000
-KEPT_WORDS = 600_000
+KEPT_WORDS = 800_000
 #: Words encoded in one text.
 TOGETHER = 256
 
@@ -106,16 +106,15 @@ class TextEncoder:
         return places
 
     def _forget(self) -> None:
-        """Words that came in several slices stay, if they are less than half of those to keep."""
-        kept = np.flatnonzero(self.slices > 1)
-        if 2 * len(kept) > KEPT_WORDS:
-            kept = kept[:0]
+        """Of the words that came in several slices, those of the most stay: at most half of what is kept."""
+        often = np.flatnonzero(self.slices > 1)
+        kept = np.sort(often[np.argsort(-self.slices[often], kind="stable")[: KEPT_WORDS // 2]])
         words = list(self.index)
         self.index = {words[i]: k for k, i in enumerate(kept.tolist())}
         lengths = self.lengths[kept]
         ends = np.cumsum(lengths)
         self.flat = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[kept] - ends + lengths, lengths)]
-        self.starts, self.lengths, self.slices = ends - lengths, lengths, np.zeros(len(kept), np.int64)
+        self.starts, self.lengths, self.slices = ends - lengths, lengths, self.slices[kept] // 2
         self.left, self.right, self.alone = self.left[kept], self.right[kept], self.alone[kept]
 
     def _learn(self, missing: list[str]) -> None:
