@@ -546,6 +546,7 @@ def _sql() -> dict[str, str]:
         ("ingest_upsert_buckets", "ingest_upsert"),
         ("reconcile_hash_tree", "reconcile_diff_orders"),
         ("stream_zone_chain_pruned", "stream_zone_chain"),
+        ("analytics_incremental", "analytics_member"),
     ):
         q[name] = q[same]
     q["stream_state_table"] = q["stream_state_last_op"]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from zoneflow.functions.casts import to_double, to_long
 from zoneflow.operators.cdc import DELETE
 from zoneflow.operators.skew import skew_join
+from zoneflow.plans.kpis import KpiStore, Measures
 
 
 def order_totals(orders: DataFrame) -> DataFrame:
@@ -65,3 +66,25 @@ def member_kpis(refined: DataFrame) -> DataFrame:
         F.sum("n_orders").alias("n_orders"),
         F.sum("order_total").cast("double").alias("order_total"),
     )
+
+
+#: What ``member_kpis`` counts, as sums that changes can be added to and taken out of.
+MEMBER_MEASURES = Measures(
+    groups={"region_name": "coalesce(region_name, 'UNKNOWN')"},
+    amounts={
+        "members": "1",
+        "active_members": "CASE WHEN is_active THEN 1 ELSE 0 END",
+        "reachable_members": "CASE WHEN email_domain IS NOT NULL THEN 1 ELSE 0 END",
+        "total_balance": "balance_value",
+        "n_orders": "n_orders",
+        "order_total": "order_total",
+    },
+)
+
+
+def member_figures(store: KpiStore) -> DataFrame:
+    """The maintained figures in the form of ``member_kpis``."""
+    whole = ("members", "active_members", "reachable_members", "n_orders")
+    return store.figures().withColumns(
+        {n: F.col(n).cast("bigint" if n in whole else "double") for n in MEMBER_MEASURES.amounts}
+    )
