@@ -50,18 +50,26 @@ def ingest_incremental(
     Of several marks the greatest counts; None, no mark and a null mark pass everything. Changes with the time of the mark pass if their
     sequence number is greater, so one that is committed late is not lost; without ``seq`` they all pass again, for an idempotent target.
     Changes without a time are never known to be old: they always pass, again and again, for an idempotent target.
-    Both alternatives are on the time alone, so the scan can skip what is older. Whether there is a mark is looked up at once.
+    Both alternatives are on the time alone, so the scan can skip what is older. The mark is read at once, in one job, and
+    becomes a literal of the filter.
     """
-    if since is None or since.where("high_water_mark IS NOT NULL").isEmpty():
-        return changes
     kind = changes.schema[change_ts].dataType
-    newest = since.agg(F.max("high_water_mark").cast(kind).alias("m")).scalar()
+    mark = None
+    if since is not None:
+        in_zone = kind.typeName() == "timestamp"  # text of such a time depends on the zone and can be ambiguous
+        timed = since.where("high_water_mark IS NOT NULL").agg(F.max(F.struct("high_water_mark", "high_water_seq")).alias("m"))
+        at = F.col("m.high_water_mark").cast(kind)
+        text = F.unix_micros(at) if in_zone else at.cast("string")
+        mark = timed.select(text.alias("at"), F.col("m.high_water_seq").cast("string").alias("seq")).first()
+    if mark is None or mark["at"] is None:
+        return changes
+    newest = F.timestamp_micros(F.lit(mark["at"])) if in_zone else F.lit(mark["at"]).cast(kind)
     untimed = F.col(change_ts).isNull()
     after = changes.where((F.col(change_ts) >= newest) | untimed)
     if seq is None:
         return after
     number = changes.schema[seq].dataType
-    last = since.agg(F.max(F.struct("high_water_mark", "high_water_seq"))["high_water_seq"].cast(number).alias("s")).scalar()
+    last = F.lit(mark["seq"]).cast(number)
     return after.where((F.col(change_ts) > newest) | F.coalesce(F.col(seq) > last, F.lit(True)) | untimed)
 
 
