@@ -108,6 +108,22 @@ FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS w, event_type FROM events {wher
 HAVING w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 5 MINUTE"""
 LATE = "ts < TIMESTAMP '2024-01-11 00:00:00' AND event_type = 'error'"
 
+# Part d of the stream, windows w of a day, open for three more. A window has passed in part d if an earlier part has a row at
+# or behind its end; part 4 is the end of the stream.
+PANES = f"""WITH e AS (
+  SELECT CASE WHEN {LATE} OR (ts >= TIMESTAMP '2024-01-16' AND ts < TIMESTAMP '2024-01-21' AND event_type = 'view' AND hour(ts) >= 12) THEN 2
+              WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 3 END AS d,
+         date_trunc('day', ts)::TIMESTAMP AS w, event_type, ts FROM events),
+seen AS (SELECT t.d, (SELECT max(ts) FROM e WHERE e.d < t.d) AS mark FROM range(5) t(d)),
+s AS (SELECT e.d, w, event_type, coalesce(mark >= w + INTERVAL 1 DAY, false) AS passed, count(*) AS n
+      FROM e JOIN seen ON e.d = seen.d WHERE mark IS NULL OR mark < w + INTERVAL 4 DAY GROUP BY e.d, w, event_type, mark),
+p AS (SELECT w, event_type, d, CASE WHEN passed THEN 'LATE' ELSE 'EARLY' END AS pane, n FROM s WHERE passed OR {{early}}
+      UNION ALL
+      SELECT w, event_type, max(d) + 0.5, 'ON_TIME', sum(CASE WHEN {{early}} THEN 0 ELSE n END)::BIGINT
+      FROM s WHERE NOT passed AND w + INTERVAL 1 DAY <= (SELECT max(ts) FROM e) GROUP BY w, event_type)
+SELECT CAST(w AS VARCHAR) AS window_start, event_type, pane,
+       row_number() OVER (PARTITION BY w, event_type ORDER BY d) - 1 AS number, n FROM p"""
+
 ZONE_ROWS = f"""SELECT message_id, record_id, email, {_double('balance')} AS balance, {_long('nation_key')} AS nation_key,
        event_op, 'analytics' AS zone FROM rec WHERE record_id IS NOT NULL AND email IS NOT NULL"""
 AUDIT_ID = f"md5({_encode("'member'", "'raw'", 'message_id', 'record_id')})"
@@ -533,6 +549,8 @@ def _sql() -> dict[str, str]:
                    ::BIGINT AS batch_id, CAST(date_trunc('day', ts)::TIMESTAMP AS VARCHAR) AS window_start, count(*) AS n
             FROM events GROUP BY 1, 2""",
     )
+    put("stream_panes_early", PANES.format(early="true"))
+    put("stream_panes_on_time", PANES.format(early="false"))
     put(
         "stream_state_last_op",
         """SELECT user_id, event_id, event_type FROM events

@@ -47,6 +47,7 @@ from zoneflow.sources import snapshots
 from zoneflow.sources.buckets import BUCKET, create_bucketed
 from zoneflow.sources.notifications import from_kafka, read_messages, stream_messages, with_event_time
 from zoneflow.sources.tables import SchemaRegistry, apply_schema, read_table
+from zoneflow.streaming import panes as stream_panes
 from zoneflow.streaming import state as stream_state
 from zoneflow.streaming import unique as stream_unique_rows
 from zoneflow.streaming import windows as stream_windows
@@ -1107,6 +1108,37 @@ def stream_discarding_panes(spark: SparkSession, sf: str) -> DataFrame:
     return sink.read_batches(spark, path).select(F.col("_batch_id").cast("bigint").alias("batch_id"), start, "n")
 
 
+def _panes(spark: SparkSession, sf: str, early: str) -> DataFrame:
+    """Windows of a day that stay open for three more; late errors and views come after the second part."""
+    path, checkpoint = new_run_dir(spark, "panes"), new_run_dir(spark, "checkpoint")
+    late = f"{FIRST} AND event_type = 'error'"
+    on_time = f"{FIRST} AND event_type <> 'error'"
+    older = "event_ts >= '2024-01-16 00:00:00' AND event_ts < '2024-01-21 00:00:00' AND event_type = 'view' AND hour(event_ts) >= 12"
+    second = f"{SECOND} AND NOT ({older})"
+    _arrivals(
+        spark,
+        sf,
+        [on_time, second, f"({late}) OR ({older})", THIRD],
+        lambda s: stream_panes.pane_stream(
+            s, path, checkpoint, size="1 day", groups=["event_type"], early=early, lateness="3 days", trigger=stream_windows.AVAILABLE
+        ),
+    )
+    start = F.col("window_start").cast("timestamp_ntz").cast("string").alias("window_start")
+    return sink.read_batches(spark, path).select(start, "event_type", "pane", "number", "n")
+
+
+@query
+def stream_panes_early(spark: SparkSession, sf: str) -> DataFrame:
+    """Every part makes an early pane."""
+    return _panes(spark, sf, "0 seconds")
+
+
+@query
+def stream_panes_on_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Early panes never come due."""
+    return _panes(spark, sf, "10000 days")
+
+
 @query
 def stream_state_last_op(spark: SparkSession, sf: str) -> DataFrame:
     path, checkpoint = new_run_dir(spark, "state"), new_run_dir(spark, "checkpoint")
