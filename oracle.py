@@ -186,6 +186,8 @@ def _sql() -> dict[str, str]:
     put("snapshot_jsonl_scan", "SELECT user_id, user_name, user_email FROM aws_member", "aws_member")
     put("snapshot_typed_scan", "SELECT user_id, user_name, user_email FROM aws_member", "aws_member")
     put("snapshot_listing", "SELECT DISTINCT 'state=' || state AS folder FROM aws_order ORDER BY 1 LIMIT 2", "aws_order")
+    put("snapshot_changes", "SELECT 'state=P' AS folder, unnest(['added', 'gone']) AS change")
+    put("snapshot_changed_rows", "SELECT id, amount FROM aws_order WHERE state = 'P'", "aws_order")
     put("json_sink_readback", "SELECT record_id, part_id, quantity, price, is_returned FROM src_line", "src_line")
     put("audit_records", AUDIT_ROW, "notif", "src_member", ctes=RECORDS)
     put(

@@ -239,6 +239,32 @@ def snapshot_listing(spark: SparkSession, sf: str) -> DataFrame:
     return listed.select(F.regexp_extract("key", r"/(state=[^/]*)/[^/]*$", 1).alias("folder"))
 
 
+def _changed_snapshot(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """One object per status; after the first listing those of orders under way are written anew. The path and the changes."""
+    path, kept = new_run_dir(spark, "snapshot"), new_run_dir(spark, "listing")
+    lines = load(spark, sf, "aws_order").select("state", F.to_json(F.struct("id", "amount")).alias("value"))
+    lines.repartition("state").write.partitionBy("state").text(path)
+    sink.write_table(snapshots.listing(spark, path), f"{kept}/first")
+    replaced = lines.where("state = 'P'").repartition(1)
+    replaced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("state").text(path)
+    sink.write_table(snapshots.listing(spark, path), f"{kept}/second")
+    first, second = (spark.read.parquet(f"{kept}/{n}") for n in ("first", "second"))
+    sink.write_table(snapshots.listing_changes(first, second), f"{kept}/changes")
+    return path, spark.read.parquet(f"{kept}/changes")
+
+
+@query
+def snapshot_changes(spark: SparkSession, sf: str) -> DataFrame:
+    _, changes = _changed_snapshot(spark, sf)
+    return changes.select(F.regexp_extract("key", r"/(state=[^/]*)/[^/]*$", 1).alias("folder"), "change")
+
+
+@query
+def snapshot_changed_rows(spark: SparkSession, sf: str) -> DataFrame:
+    path, changes = _changed_snapshot(spark, sf)
+    return snapshots.scan_changed(spark, path, changes, ["id", "amount"])
+
+
 @query
 def snapshot_binary_scan(spark: SparkSession, sf: str) -> DataFrame:
     objects = snapshots.read_objects(spark, _order_objects(spark, sf))

@@ -58,9 +58,62 @@ def scan_jsonl_columns(
     if max_lines_per_object is not None:
         rows = scan_jsonl(spark, prefix, max_lines_per_object)
         return rows.select(*[F.try_element_at("row", F.lit(c)).alias(c) for c in columns])
+    return _columns_of(spark.read.option("recursiveFileLookup", "true").text(prefix), columns)
+
+
+def _columns_of(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_corrupt"]])
-    lines = spark.read.option("recursiveFileLookup", "true").text(prefix)
     # the JSON reader would take an array for as many rows; here, as above, a line is an object or nothing
     objects = lines.where(F.ltrim("value", F.lit(" \t\r\n")).startswith("{"))
     parsed = objects.select(F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
     return parsed.where(F.col("r").isNotNull() & F.col("r._corrupt").isNull()).select(*[F.col(f"r.{c}").alias(c) for c in columns])
+
+
+def listing(spark: SparkSession, prefix: str) -> DataFrame:
+    """``key, length, modified`` of the objects under ``prefix``, to be stored and compared with a later one; no object is opened.
+
+    The key is the one under which ``scan_changed`` finds the object's lines. Objects without a byte hold no lines and are not
+    listed; one that becomes empty is gone.
+    """
+    return _binary(spark, prefix).select(
+        F.col("_metadata.file_path").alias("key"),
+        F.col("_metadata.file_size").alias("length"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    )
+
+
+def listing_changes(before: DataFrame, now: DataFrame) -> DataFrame:
+    """``key, length, modified, change``: objects that are ``added``, ``changed`` in length or time, or ``gone`` (length and time
+    as they were). Both sides are listings; one aggregate over both finds the changes."""
+    sides = before.select("key", "length", "modified", F.lit(0).alias("_side")).unionByName(
+        now.select("key", "length", "modified", F.lit(1).alias("_side"))
+    )
+    at = F.struct("length", "modified")
+    both = sides.groupBy("key").agg(
+        F.max(F.when(F.col("_side") == 0, at)).alias("_old"), F.max(F.when(F.col("_side") == 1, at)).alias("_new")
+    )
+    change = (
+        F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "gone").when(F.col("_old") != F.col("_new"), "changed")
+    )
+    last = F.coalesce("_new", "_old")
+    return both.withColumn("change", change).where(F.col("change").isNotNull()).select(
+        "key", last["length"].alias("length"), last["modified"].alias("modified"), "change"
+    )
+
+
+def scan_changed(spark: SparkSession, prefix: str, changes: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The lines of added and changed objects as ``scan_jsonl_columns`` gives them. ``changes`` should be a table.
+
+    Objects last modified before all of these are left out when the source lists its files, so they are not opened; of the rest
+    only the lines of changed objects are parsed. One time comes to the driver, never the list. An object that is written again
+    between listing and scan is read as it is then, and the next listing names it once more.
+    """
+    new = changes.where(F.col("change").isin("added", "changed"))
+    oldest = new.agg(F.date_format(F.min("modified") - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss").alias("oldest")).first()["oldest"]
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if oldest is None:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+    lines = reader.option("modifiedAfter", oldest).schema("value string").text(prefix)
+    wanted = new.select(F.col("key").alias("_key"))
+    changed = lines.withColumn("_file", F.col("_metadata.file_path")).join(wanted, F.col("_file") == F.col("_key"), "left_semi")
+    return _columns_of(changed.select("value"), columns)
