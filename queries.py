@@ -42,6 +42,7 @@ from zoneflow.plans.zones import (
     run_zones,
 )
 from zoneflow.session import new_run_dir
+from zoneflow.sinks import compaction
 from zoneflow.sinks import tables as sink
 from zoneflow.sources import snapshots
 from zoneflow.sources.buckets import BUCKET, create_bucketed
@@ -51,6 +52,7 @@ from zoneflow.streaming import panes as stream_panes
 from zoneflow.streaming import state as stream_state
 from zoneflow.streaming import unique as stream_unique_rows
 from zoneflow.streaming import windows as stream_windows
+from zoneflow.streaming.metrics import MetricWriter, observe_stream
 from zoneflow.streaming.zones import zone_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -553,6 +555,18 @@ def reconcile_map_diff(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def reconcile_variant_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines on both sides hold only what is not null, legacy ones at times a key more; no column is declared."""
+    paths = [new_run_dir(spark, name) for name in ("ours", "theirs")]
+    tier = F.when(F.col("user_id").endswith("3"), F.lit("gold"))
+    sides = (load(spark, sf, "src_member"), load(spark, sf, "aws_member").withColumn("loyalty tier", tier))
+    for path, rows in zip(paths, sides, strict=True):
+        sink.write_text(rows.select(F.to_json(F.struct("*")).alias("value")), path)
+    lines = [snapshots.scan_variant(spark, path) for path in paths]
+    return reconcile.variant_column_diff(*lines, renames=MEMBER_MAPPING["users"])
+
+
 @query
 def mismatch_samples(spark: SparkSession, sf: str) -> DataFrame:
     diffs = reconcile.column_diff(load(spark, sf, "src_order"), _legacy_orders(spark, sf))
@@ -900,6 +914,23 @@ def dependency_prev_day(spark: SparkSession, sf: str) -> DataFrame:
     return _dates_as_text(dependency.met(_wanted_runs(spark, sf), DEPENDENCIES, load(spark, sf, "run_log")))
 
 
+CHAIN = {
+    "users": ["snapshot_previous_day"],
+    "orders": ["snapshot_previous_day", {"condition": "snapshot_previous_day", "requires": "users"}],
+    "refined_orders": [{"condition": "same_day", "requires": "orders"}, {"condition": "snapshot_previous_day", "requires": "users"}],
+    "report": [{"condition": "same_day", "requires": "refined_orders"}, {"condition": "same_day", "requires": "orders"}],
+}
+
+
+@query
+def dependency_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """What the reports of all days wait for, over several tables and days."""
+    days = load(spark, sf, "events").select(F.to_date("ts").alias("run_date")).distinct()
+    wanted = days.withColumn("table_name", F.lit("report"))
+    chain = dependency.unmet_chain(wanted, CHAIN, load(spark, sf, "run_log"))
+    return chain.withColumns({c: F.col(c).cast("string") for c in ("run_date", "required_date")})
+
+
 @query
 def dependency_gate(spark: SparkSession, sf: str) -> DataFrame:
     name = F.when(F.col("event_type") == "view", "users").when(F.col("event_type") == "click", "refined_orders")
@@ -973,6 +1004,23 @@ def log_tables(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def log_compaction(spark: SparkSession, sf: str) -> DataFrame:
+    """Log rows of five batches: three compacted and their folders removed, one compacted and kept, one not compacted."""
+    path = new_run_dir(spark, "log")
+    keys = ["_notif_message_id", "record_id"]
+    for batch in range(5):
+        records = _records(spark, sf).where(F.substring("_notif_message_id", 2, 20).cast("bigint") % 5 == batch)
+        rows = audit.audit_records(records, "member", "raw", "member_framework", keys)
+        sink.write_log(rows, path, f"run-{batch}")
+        if batch in (2, 3):
+            compaction.compact_log(spark, path)
+        if batch == 2:
+            compaction.remove_compacted(spark, path)
+    rows = compaction.read_log(spark, path)
+    return rows.select("log_id", "pipeline_name", "domain", "zone", "table_name", "status", F.col("_batch_id").alias("batch_id"))
+
+
 def _member_changes(spark: SparkSession, sf: str) -> DataFrame:
     return _records(spark, sf, "notif_dup").withColumns(
         {
@@ -1101,6 +1149,28 @@ def stream_early_update(spark: SparkSession, sf: str) -> DataFrame:
     return _window_output(stream_windows.newest_panes(sink.read_batches(spark, path), ["event_type"]))
 
 
+@query
+def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """One set of rows for each micro-batch, written by a listener while the stream runs."""
+    path, checkpoint, figures = (new_run_dir(spark, n) for n in ("observed", "checkpoint", "figures"))
+    measures = {
+        "rows": F.count(F.lit(1)),
+        "errors": F.count_if(F.col("event_type") == "error"),
+        "max_value": F.max("value"),
+    }
+    with MetricWriter(spark, "events", figures) as writer:
+
+        def run(stream: DataFrame):
+            observed = observe_stream(stream, "events", measures)
+            running = observed.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+            running = running.trigger(**stream_windows.AVAILABLE).start(path)
+            writer.wait(running)
+            return running
+
+        _arrivals(spark, sf, [FIRST, SECOND, THIRD], run)
+    return sink.read_batches(spark, figures).select("pipeline_id", "batch_id", "name", "value")
+
+
 @query
 def late_data_filter(spark: SparkSession, sf: str) -> DataFrame:
     path, checkpoint = new_run_dir(spark, "late"), new_run_dir(spark, "checkpoint")

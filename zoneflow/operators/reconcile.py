@@ -17,6 +17,7 @@ from zoneflow.functions.text import differs, fingerprint, stable_id
 from zoneflow.operators.limits import limit_per_group
 from zoneflow.operators.skew import DEFAULT_SKEW, SkewPlan, skew_join
 from zoneflow.session import new_run_dir
+from zoneflow.sources.snapshots import variant_columns, variant_text
 
 SAMPLE_LIMIT = 5  # fixed value: mismatch samples kept per result
 
@@ -310,6 +311,59 @@ def _map_variants(df: DataFrame, id_column: str, name: str) -> DataFrame:
     )
 
 
+def variant_column_diff(
+    ours: DataFrame,
+    theirs: DataFrame,
+    id_column: str = "record_id",
+    renames: Mapping[str, str] | None = None,
+    skew: SkewPlan | None = DEFAULT_SKEW,
+) -> DataFrame:
+    """``column_diff`` for rows of JSON objects (``row variant``) whose keys differ by row and are declared nowhere.
+
+    The compared columns are all keys that a row of either side has, apart from the id and those that begin with ``_``; a key
+    that a row lacks counts as null there. ``renames`` maps keys of ``theirs`` to ours. Each side is parsed once, into a table
+    that both the search for keys and the comparison read. Keys never become column names, so any text may be one.
+    """
+    spark = ours.sparkSession
+    sides = []
+    for side, name in ((ours, "variant-ours"), (theirs, "variant-theirs")):
+        path = new_run_dir(spark, name)
+        side.select("row").write.parquet(path)
+        sides.append(spark.read.schema("row variant").parquet(path))
+    new = dict(renames or {})
+    old = {target: key for key, target in new.items()}
+    found = {*variant_columns(sides[0]), *(new.get(k, k) for k in variant_columns(sides[1]))}
+    names = sorted(k for k in found if k != id_column and not k.startswith("_"))
+
+    def reduced(side: DataFrame, keys: Mapping[str, str], name: str) -> DataFrame:
+        values = F.array(*[variant_text(F.col("row"), keys.get(c, c)) for c in names]).cast("array<string>")
+        own = variant_text(F.col("row"), keys.get(id_column, id_column))
+        rows = side.select(own.alias("_id"), values.alias(name)).where(F.col("_id").isNotNull())
+        return rows.groupBy("_id", name).agg(F.count(F.lit(1)).alias(f"_n_{name}"))
+
+    def own_ids(side: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+        return side.select(variant_text(F.col("row"), keys.get(id_column, id_column)).alias("_id"))
+
+    pairs = skew_join(
+        reduced(sides[0], {}, "g"),
+        reduced(sides[1], old, "a"),
+        ["_id"],
+        "inner",
+        spread_by=F.xxhash64("g"),
+        spread_right_by=F.xxhash64("a"),
+        plan=skew,
+        look_at=own_ids(sides[0], {}),
+        look_at_right=own_ids(sides[1], old),
+    )
+    bad = [F.when(differs(F.get("g", F.lit(i)), F.get("a", F.lit(i))), F.lit(c)) for i, c in enumerate(names)]
+    return (
+        pairs.select(F.col("_id").alias(id_column), F.concat_ws(",", *bad).alias("columns"), (F.col("_n_g") * F.col("_n_a")).alias("pairs"))
+        .where(F.col("columns") != "")
+        .groupBy(id_column, "columns")
+        .agg(F.sum("pairs").cast("bigint").alias("pairs"))
+    )
+
+
 def mismatch_samples(
     diffs: DataFrame,
     groups: Sequence[str],

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +71,36 @@ def _columns_of(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
     return parsed.where(F.col("r").isNotNull() & F.col("r._corrupt").isNull()).select(*[F.col(f"r.{c}").alias(c) for c in columns])
 
 
+def scan_variant(spark: SparkSession, prefix: str) -> DataFrame:
+    """Each JSON object line as ``row variant``, with the types its values have; other lines are skipped.
+
+    A line with a key twice is no object. Numbers keep their value, not their spelling (``1.50`` is 1.5).
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(prefix)
+    objects = lines.where(F.ltrim("value", F.lit(" \t\r\n")).startswith("{"))
+    return objects.select(F.try_parse_json("value").alias("row")).where(F.col("row").isNotNull())
+
+
+def variant_columns(*sides: DataFrame) -> list[str]:
+    """The keys that any ``row`` of the sides has, sorted: one aggregate over their schemas, merged inside the tasks first."""
+    rows = reduce(DataFrame.unionAll, [side.select("row") for side in sides])
+    found = rows.agg(F.schema_of_variant_agg("row").alias("schema")).first()["schema"]
+    if not found.startswith("OBJECT<"):  # no rows at all
+        return []
+    # an object is a struct under another name; text between backquotes is a key
+    struct = "".join(part if i % 2 else part.replace("OBJECT<", "STRUCT<") for i, part in enumerate(re.split("(`(?:[^`]|``)*`)", found)))
+    return sorted(T.DataType.fromDDL(struct).names)
+
+
+def variant_text(row: Column, key: str) -> Column:
+    """The value of a top-level key as text; null where the key is absent or null. Objects and arrays become JSON text."""
+    if "'" not in key:
+        return F.try_variant_get(row, f"$['{key}']", "string")
+    if '"' not in key:
+        return F.try_variant_get(row, f'$["{key}"]', "string")
+    return F.try_element_at(row.cast("map<string,string>"), F.lit(key))
+
+
 def listing(spark: SparkSession, prefix: str) -> DataFrame:
     """``key, length, modified`` of the objects under ``prefix``, to be stored and compared with a later one; no object is opened.
 
