@@ -24,7 +24,7 @@ KEPT_WORDS = 800_000
 TOGETHER = 256
 
 #: Latin letters whose lower case is one letter, and a mark that is always split from them.
-_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+[,.]?")
+_LATIN = r"\A[A-Za-zÀ-ÖØ-öø-įı-ɏ]+[,.]?\z"
 _NO_SPACE = re.compile(r"\S+")
 
 
@@ -42,7 +42,7 @@ class TextEncoder:
         #: Ids that begin a word with its space, or end a word where white space is dropped.
         self.edge = np.zeros(max(tokens.values()) + 1, bool)
         self.edge[[i for t, i in tokens.items() if (t.startswith("\u0120") if space else t.endswith("</w>"))]] = True
-        self.index: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.flat = np.zeros(0, "<u4")
         self.starts, self.lengths, self.slices = (np.zeros(0, np.int64) for _ in range(3))
         self.left, self.right, self.alone = (np.zeros(0, bool) for _ in range(3))
@@ -63,13 +63,14 @@ class TextEncoder:
         split = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
         coded = split.values.dictionary_encode()
         at = split.offsets.to_numpy()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary
         code = coded.indices.to_numpy()
         if self.space:  # the first word of a text has no space before it
             distinct, new = np.unique(code[at[:-1]], return_inverse=True)
             code = code.astype(np.int64)
             code[at[:-1]] = len(words) + new
-            words = [self.space + w for w in words] + [words[i] for i in distinct.tolist()]
+            spaced = pc.binary_join_element_wise(pa.scalar(self.space, pa.large_string()), words, pa.scalar("", pa.large_string()))
+            words = pa.concat_arrays([spaced, words.take(pa.array(distinct))])
         place = self._known(words)[code]
         lengths = self.lengths[place]
         ends = np.cumsum(lengths)
@@ -90,18 +91,16 @@ class TextEncoder:
         bad |= self.alone[place]
         return np.bincount(np.repeat(np.arange(len(at) - 1), np.diff(at))[bad], minlength=len(at) - 1) > 0
 
-    def _known(self, words: list[str]) -> np.ndarray:
+    def _known(self, words: pa.Array) -> np.ndarray:
         """Place in the arrays of each word."""
-        get = self.index.get
-        found = [get(w, -1) for w in words]
-        missing = [w for w, i in zip(words, found, strict=True) if i < 0]
-        if missing and len(self.index) + len(missing) > KEPT_WORDS and self.index:
+        found = pc.index_in(words, value_set=self.known)
+        missing = words.filter(found.is_null())
+        if len(missing) and len(self.known) + len(missing) > KEPT_WORDS and len(self.known):
             self._forget()
             return self._known(words)
-        if missing:
-            self._learn(missing)
-            found = [self.index[w] for w in words]
-        places = np.array(found, np.int64)
+        places = found.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(missing):
+            places[places < 0] = self._learn(missing)
         self.slices[places] += 1
         return places
 
@@ -109,44 +108,47 @@ class TextEncoder:
         """Of the words that came in several slices, those of the most stay: at most half of what is kept."""
         often = np.flatnonzero(self.slices > 1)
         kept = np.sort(often[np.argsort(-self.slices[often], kind="stable")[: KEPT_WORDS // 2]])
-        words = list(self.index)
-        self.index = {words[i]: k for k, i in enumerate(kept.tolist())}
+        self.known = self.known.take(pa.array(kept))
         lengths = self.lengths[kept]
         ends = np.cumsum(lengths)
         self.flat = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[kept] - ends + lengths, lengths)]
         self.starts, self.lengths, self.slices = ends - lengths, lengths, self.slices[kept] // 2
         self.left, self.right, self.alone = self.left[kept], self.right[kept], self.alone[kept]
 
-    def _learn(self, missing: list[str]) -> None:
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Takes distinct words in; returns their places."""
+        missing = words.to_pylist()
         if self.space:
             bare = [w.removeprefix(self.space) for w in missing]
             alone = [("|" in w and any(s in w for s in self.special)) for w in bare]
             joint = [w is not b and not a and bool(_NO_SPACE.fullmatch(b)) for w, b, a in zip(missing, bare, alone, strict=True)]
-            self.left = np.append(self.left, [not w or w[-1].isspace() for w in bare])
-            self.right = np.append(self.right, [not w or w[0].isspace() for w in bare])
+            left = [not w or w[-1].isspace() for w in bare]
+            right = [not w or w[0].isspace() for w in bare]
         else:
-            alone = [False] * len(missing)
-            joint = [bool(_LATIN.fullmatch(w)) for w in missing]
-            self.left = self.right = np.zeros(len(self.left) + len(missing), bool)
-        self.alone = np.append(self.alone, np.array(alone, bool))
-        missing = [w for w, j in zip(missing, joint, strict=True) if j] + [w for w, j in zip(missing, joint, strict=True) if not j]
-        order = np.argsort(~np.array(joint, bool), kind="stable") + len(self.index)
-        for flags in ("alone",) if not self.space else ("left", "right", "alone"):
-            held = getattr(self, flags)
-            held[len(self.index) :] = held[order]
-        count = sum(joint)
+            joint = pc.match_substring_regex(words, _LATIN).to_numpy(zero_copy_only=False)
+            left = right = alone = np.zeros(len(missing), bool)
+        # words that may be encoded together come first
+        order = np.argsort(~np.array(joint, bool), kind="stable")
+        self.left, self.right, self.alone = (
+            np.concatenate([held, np.array(new, bool)[order]])
+            for held, new in ((self.left, left), (self.right, right), (self.alone, alone))
+        )
+        missing = [missing[i] for i in order.tolist()]
+        count = int(np.sum(joint))
         flat, lengths = [self.flat], []
         for i in range(0, count, 64 * TOGETHER):
             self._learn_together(missing[i : min(count, i + 64 * TOGETHER)], flat, lengths)
         for i in range(count, len(missing), 10_000):
             self._learn_each(missing[i : i + 10_000], flat, lengths)
-        known = len(self.index)
-        self.index.update(zip(missing, range(known, known + len(missing)), strict=True))
+        places = np.empty(len(order), np.int64)
+        places[order] = len(self.known) + np.arange(len(order))
+        self.known = pa.concat_arrays([self.known, words.take(pa.array(order))])
         new = np.concatenate(lengths)
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(new) - new])
         self.lengths = np.concatenate([self.lengths, new])
         self.slices = np.concatenate([self.slices, np.zeros(len(new), np.int64)])
         self.flat = np.concatenate(flat)
+        return places
 
     def _learn_each(self, words: list[str], flat: list[np.ndarray], lengths: list[np.ndarray]) -> None:
         ids = [e.ids for e in self.encoder.encode_batch_fast(words, add_special_tokens=False)]
