@@ -102,6 +102,7 @@ class TextEncoder:
         if len(missing):
             places[places < 0] = self._learn(missing)
         self.slices[places] += 1
+        pa.default_memory_pool().release_unused()  # workers outlive the stage
         return places
 
     def _forget(self) -> None:
